@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import bands
 from ..operators.ranking import dense_ranked, top_with_ties
 from .measures import Where, evaluate
 from .star import Star
@@ -98,12 +99,13 @@ def top_customers(star: Star, n: int = 15, where: Where | None = None) -> DataFr
 
 def discount_combo(star: Star, where: Where | None = None) -> DataFrame:
     return evaluate(star, ["total_orders", "profit_margin"], ["discount_band"], where) \
-        .orderBy("discount_band")
+        .orderBy(bands.position("discount_band", bands.DISCOUNT_LABELS))
 
 
 def tier_matrix(star: Star, where: Where | None = None) -> DataFrame:
     return evaluate(star, ["total_customers", "total_revenue", "avg_order_value"],
-                    ["customer_tier"], where).orderBy("customer_tier")
+                    ["customer_tier"], where) \
+        .orderBy(bands.position("customer_tier", bands.TIER_LABELS))
 
 
 def drill_category(star: Star, category: str, where: Where | None = None) -> DataFrame:

@@ -192,7 +192,9 @@ def _tier(spark: SparkSession, folder: str) -> DataFrame:
 def _price(spark: SparkSession, folder: str) -> DataFrame:
     margin = F.create_map(*[F.lit(x) for k, v in tables.BASE_MARGIN.items()
                             for x in (k, v / 100)])
-    lines = raw(spark, folder).withColumn("unit_price", F.round("unit_price", 2)) \
+    # DECIMAL rounds an exact half up; rounding the double itself may not.
+    price = F.col("unit_price").cast("decimal(18,2)").cast("double")
+    lines = raw(spark, folder).withColumn("unit_price", price) \
         .select("order_id", "product_name", "region", "category", "unit_price", "quantity",
                 "discount")
     return pricing.price_lines(lines, margin[F.col("category")], REGION_FACTORS)
