@@ -40,6 +40,12 @@ def sum_units0(amount: Column | str, where: Column | None = None) -> Column:
     return F.coalesce(sum_units(amount, where), F.lit(0).cast("long"))
 
 
+def half_up(value: str, divisor: str) -> Column:
+    """Quotient of two BIGINT expressions, rounded half away from zero (divisor > 0)."""
+    return F.expr(f"CAST(sign({value}) AS BIGINT) * "
+                  f"((2 * abs({value}) + {divisor}) div (2 * {divisor}))")
+
+
 def rounded(value: Column, places: int) -> Column:
     return F.round(value, places).cast("double")
 

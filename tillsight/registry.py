@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bands, labels, questions
+from .functions.exact import half_up
 from .operators import features, pricing, quality
 from .plans import answers, business, dashboard, exploratory, measures
 from .plans import star as star_plan
@@ -192,11 +193,14 @@ def _tier(spark: SparkSession, folder: str) -> DataFrame:
 def _price(spark: SparkSession, folder: str) -> DataFrame:
     margin = F.create_map(*[F.lit(x) for k, v in tables.BASE_MARGIN.items()
                             for x in (k, v / 100)])
-    # DECIMAL rounds an exact half up; rounding the double itself may not.
-    price = F.col("unit_price").cast("decimal(18,2)").cast("double")
-    lines = raw(spark, folder).withColumn("unit_price", price) \
+    # Price per piece in cents from the exact list price of the line.
+    lines = (
+        raw(spark, folder)
+        .withColumn("_list", F.rint(F.col("unit_price") * F.col("quantity") * 100).cast("long"))
+        .withColumn("unit_price", half_up("_list", "quantity") / 100)
         .select("order_id", "product_name", "region", "category", "unit_price", "quantity",
                 "discount")
+    )
     return pricing.price_lines(lines, margin[F.col("category")], REGION_FACTORS)
 
 

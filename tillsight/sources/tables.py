@@ -12,9 +12,11 @@ generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exact import half_up
+
 # Share of sales kept as profit before discount, in percent, by part type.
 BASE_MARGIN = {"ECONOMY": 20, "STANDARD": 30, "SMALL": 35,
                "MEDIUM": 40, "LARGE": 45, "PROMO": 50}
@@ -24,12 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _half_up(value: str, divisor: str) -> Column:
-    """Whole-number division rounded half away from zero (divisor > 0)."""
-    return F.expr(f"CAST(sign({value}) AS BIGINT) * "
-                  f"((2 * abs({value}) + {divisor}) div (2 * {divisor}))")
-
-
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The 17 raw order columns."""
     places = (
@@ -59,9 +55,9 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.rint(F.col("l_tax") * 100).cast("long").alias("tax_u"),
         margin[F.col("p_type")].alias("base_u"),
     )
-    sized = sized.withColumn("sales_u", _half_up("(list_u * (100 - disc_u))", "100"))
+    sized = sized.withColumn("sales_u", half_up("(list_u * (100 - disc_u))", "100"))
     # hundredths x percent x thousandths = 1e-7; list price x tax is 1e-4.
-    sized = sized.withColumn("profit_u", _half_up(
+    sized = sized.withColumn("profit_u", half_up(
         "(sales_u * base_u * (1000 - 18 * disc_u) - list_u * tax_u * 1000)", "100000"))
     shared_name = F.when((F.col("c_custkey") % 7 == 0) & (F.col("c_custkey") > 0), 1).otherwise(0)
     return sized.select(
@@ -84,7 +80,7 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("disc_u") / 100).alias("discount"),
         (F.col("sales_u") / 100).alias("sales"),
         (F.col("profit_u") / 100).alias("profit"),
-        (F.when(F.col("sales_u") > 0, _half_up("(profit_u * 10000)", "sales_u"))
+        (F.when(F.col("sales_u") > 0, half_up("(profit_u * 10000)", "sales_u"))
          .otherwise(0) / 100).alias("profit_margin"),
     )
 
