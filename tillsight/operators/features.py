@@ -53,7 +53,7 @@ def with_row_features(sales: DataFrame) -> DataFrame:
 def customer_value(sales: DataFrame) -> DataFrame:
     """(customer_id, customer_ltv, customer_rows): sales to date per customer."""
     return (
-        sales.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
+        sales.dropna(subset=["customer_id"]).groupBy("customer_id")
         .agg(sum_units0("sales").alias("_u"), F.count("*").alias("customer_rows"))
         .select("customer_id", amount("_u").alias("customer_ltv"), "customer_rows")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import written
+
 HEAVY_KEYS = 10_000
 
 
@@ -13,14 +15,17 @@ def attach(rows: DataFrame, per_key: DataFrame, key: str, value: str, count: str
     """Left join ``value`` onto ``rows`` by ``key``, however uneven the key.
 
     ``per_key`` has one row per key and ``count``, the key's number of rows.
-    The ``heavy_keys`` largest keys go to a broadcast table of at most that
-    many rows; every other key holds less than 1/``heavy_keys`` of all rows
-    and takes the ordinary shuffle join. Rows of a heavy or missing key travel
-    through that join too, but under a salt made from ``spread_by``, so they
-    land on all tasks and match nothing there. All rows are kept.
+    It is written first, so its size is known when the join is planned: below
+    the session's broadcast limit the large side does not move at all.
+
+    Beyond that limit the join shuffles, and must not send a hot key to one
+    task. The ``heavy_keys`` largest keys go to a broadcast table of at most
+    that many rows; each other key holds less than 1/``heavy_keys`` of all
+    rows. Rows of a heavy or missing key still pass through the shuffle, but
+    under a salt made from ``spread_by``, so they land on all tasks and match
+    nothing there. All rows are kept.
     """
-    # Both uses read key, value and count, so one aggregation serves both.
-    known = per_key.where(F.col(count) > 0)
+    known = written(per_key.where(F.col(key).isNotNull()), "per_key")
     heavy = (known.orderBy(F.desc(count), key).limit(heavy_keys)
              .select(key, F.col(value).alias("_heavy_value"), F.lit(True).alias("_heavy")))
     light = known.select(key, F.col(value).alias("_light_value"),

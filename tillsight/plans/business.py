@@ -151,10 +151,14 @@ def discount_impact(sales: DataFrame) -> DataFrame:
 
 
 def above_segment_average(sales: DataFrame, multiple: float = 3, limit: int = 15) -> DataFrame:
-    """Customers who spent more than ``multiple`` mean orders of their segment."""
-    per_customer = sales.groupBy(*CUSTOMER).agg(_sales())
-    per_segment = sales.groupBy("segment").agg(
-        sum_units("sales").alias("_seg_s"), F.count("sales").alias("_seg_n"))
+    """Customers who spent more than ``multiple`` mean orders of their segment.
+
+    Segment means are rolled up from the customer lines, so the orders are read
+    once: both sides use the same columns and hence the same shuffle.
+    """
+    per_customer = sales.groupBy(*CUSTOMER).agg(_sales(), _priced()).where(F.col("_n") > 0)
+    per_segment = per_customer.groupBy("segment").agg(
+        F.sum("_s").alias("_seg_s"), F.sum("_n").alias("_seg_n"))
     enough = F.col("_s") > F.lit(float(multiple)) * F.try_divide("_seg_s", "_seg_n")
     return (
         per_customer.join(per_segment, "segment").where(enough)

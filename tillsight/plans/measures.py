@@ -4,7 +4,8 @@
 the facts to their foreign keys first, then joins the dimensions that the
 grouping or the filter names, and rolls up. The join therefore sees one row
 per key combination instead of one per order, so a dimension may be large and
-a customer, product or place may hold a third of all orders.
+a customer, product or place may hold a third of all orders. Only distinct
+counts join the facts themselves, against dimension files of known size.
 """
 
 from __future__ import annotations
@@ -117,20 +118,21 @@ def _condition(where: Where) -> Column | None:
     return condition
 
 
-def _rolled(star: Star, keys: Sequence[str], parts: Mapping[str, Column],
-            columns: Sequence[str], where: Where, extra: Sequence[str] = ()) -> DataFrame:
-    """Facts reduced to the foreign keys, with the named attributes attached."""
-    dims = _needed([*columns, *where])
+def _facts(star: Star, columns: Sequence[str], where: Where) -> DataFrame:
+    """Facts with the attributes they carry themselves."""
     own = [c for c in FACT_ATTRIBUTES if c in columns or c in where]
-    foreign = [DIMENSIONS[d][0] for d in dims]
-    group = list(dict.fromkeys([*foreign, *own, *extra]))
     facts = star.fact_sales.withColumns({c: FACT_ATTRIBUTES[c]() for c in own})
     if isinstance(where.get("year"), int):
         # A range on the key itself, so the scan can skip other years.
         first = where["year"] * 10_000
         facts = facts.where(F.col("date_key").between(first + 101, first + 1231))
-    lines = facts.groupBy(*group).agg(*[p.alias(n) for n, p in parts.items()])
-    for d in dims:
+    return facts
+
+
+def _attributed(star: Star, lines: DataFrame, columns: Sequence[str],
+                where: Where) -> DataFrame:
+    """Lines with the named dimension attributes, filtered."""
+    for d in _needed([*columns, *where]):
         key, names = DIMENSIONS[d]
         used = [n for n in names if n in columns or n in where]
         lines = lines.join(getattr(star, d).select(key, *used), key, "left")
@@ -138,54 +140,76 @@ def _rolled(star: Star, keys: Sequence[str], parts: Mapping[str, Column],
     return lines if condition is None else lines.where(condition)
 
 
+def _reduced(star: Star, parts: Mapping[str, Column], columns: Sequence[str],
+             where: Where) -> DataFrame:
+    """Facts summed per foreign key, then given the named attributes."""
+    keys = [DIMENSIONS[d][0] for d in _needed([*columns, *where])]
+    keys += [c for c in FACT_ATTRIBUTES if c in columns or c in where]
+    lines = _facts(star, columns, where).groupBy(*keys).agg(
+        *[p.alias(n) for n, p in parts.items()])
+    return _attributed(star, lines, columns, where)
+
+
+def _sums(star: Star, parts: Sequence[str], by: Sequence[str], where: Where) -> DataFrame:
+    lines = _reduced(star, {p: _SUMS[p]() for p in parts}, by, where)
+    return lines.groupBy(*by).agg(*[F.sum(p).alias(p) for p in parts])
+
+
+def _counts(star: Star, key: str, counts: Sequence[str], parts: Sequence[str],
+            by: Sequence[str], where: Where) -> DataFrame:
+    """Exact distinct counts of one key, with sums taken along the way.
+
+    Orders are nearly unique, so there is nothing to gain from reducing to
+    foreign keys; the one shuffle is by group and key, which no hot customer
+    or product can skew.
+    """
+    def seen(count: str) -> Column:
+        test = _DISTINCT[count][1]
+        return F.max(F.when(F.lit(True) if test is None else test(), 1).otherwise(0))
+
+    lines = _attributed(star, _facts(star, by, where), by, where)
+    per_key = lines.groupBy(*dict.fromkeys([*by, key])).agg(
+        *[_SUMS[p]().alias(p) for p in parts],
+        *[seen(c).alias(f"_is_{c}") for c in counts])
+    return per_key.groupBy(*by).agg(
+        *[F.sum(p).alias(p) for p in parts],
+        *[F.count_if((F.col(f"_is_{c}") == 1) & F.col(key).isNotNull()).alias(f"_n_{c}")
+          for c in counts])
+
+
+def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Two results over the same groups, side by side."""
+    added = [c for c in right.columns if c not in by]
+    if not by:
+        return left.withColumns({c: right.select(c).scalar() for c in added})
+    renamed = right.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [left[c].eqNullSafe(renamed[f"_{c}"]) for c in by]
+    return left.join(renamed, same, "left").select(*left.columns, *added)
+
+
 def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
              where: Where | None = None) -> DataFrame:
     """The named measures for every combination of ``by`` under the filter."""
     where = where or {}
     chosen = [MEASURES[m] for m in measures]
     parts = list(dict.fromkeys(p for needs, _, _ in chosen for p in needs))
-    counts = list(dict.fromkeys(c for _, needs, _ in chosen for c in needs))
-    # A distinct count needs its key in the reduced lines; orders and customers
-    # are counted in separate passes, each exact.
     by_key: dict[str, list[str]] = {}
-    for c in counts:
-        by_key.setdefault(_DISTINCT[c][0], []).append(c)
-
-    tables = []
-    for i, key in enumerate(by_key or {"": []}):
-        sums = {p: _SUMS[p]() for p in parts} if i == 0 else {}
-        flags = {}
-        for c in by_key.get(key, []):
-            test = _DISTINCT[c][1]
-            # 1 where any line of this key passes the count's test
-            flags[f"_is_{c}"] = F.max(
-                F.when(F.lit(True) if test is None else test(), 1).otherwise(0))
-        lines = _rolled(star, by, {**sums, **flags} or {"_one": F.count("*")}, by, where,
-                        extra=[key] if key else [])
-        if key:
-            # one row per group and key before counting: no distinct needed after
-            lines = lines.groupBy(*by, key).agg(
-                *[F.sum(p).alias(p) for p in sums], *[F.max(f).alias(f) for f in flags])
-        tables.append(lines.groupBy(*by).agg(
-            *[F.sum(p).alias(p) for p in sums],
-            *[F.count_if((F.col(f"_is_{c}") == 1) & F.col(key).isNotNull())
-              .alias(f"_n_{c}") for c in by_key.get(key, [])]))
-    joined = tables[0]
-    for other in tables[1:]:
-        if by:
-            renamed = other.withColumnsRenamed({c: f"_{c}" for c in by})
-            same = [joined[c].eqNullSafe(renamed[f"_{c}"]) for c in by]
-            joined = joined.join(renamed, same, "left").drop(*[f"_{c}" for c in by])
-        else:
-            counted = [c for c in other.columns]
-            joined = joined.withColumns({c: other.select(c).scalar() for c in counted})
-    return joined.select(*by, *[e().alias(m) for m, (_, _, e) in zip(measures, chosen)])
+    for count in dict.fromkeys(c for _, needs, _ in chosen for c in needs):
+        by_key.setdefault(_DISTINCT[count][0], []).append(count)
+    result = None
+    for key, counts in by_key.items():
+        taken = parts if result is None else []
+        table = _counts(star, key, counts, taken, by, where)
+        result = table if result is None else _beside(result, table, by)
+    if result is None:
+        result = _sums(star, parts, by, where)
+    return result.select(*by, *[e().alias(m) for m, (_, _, e) in zip(measures, chosen)])
 
 
 def segment_revenue(star: Star, by: Sequence[str] = (),
                     segments: Mapping[str, str] = SEGMENTS) -> DataFrame:
     """Revenue of each named segment side by side; NULL where it has none."""
-    lines = _rolled(star, by, {"_sales": _SUMS["_sales"]()}, [*by, "segment"], {})
+    lines = _reduced(star, {"_sales": _SUMS["_sales"]()}, [*by, "segment"], {})
     return lines.groupBy(*by).agg(*[
         (F.sum(F.when(F.col("segment") == s, F.col("_sales"))) / 100).alias(name)
         for name, s in segments.items()])

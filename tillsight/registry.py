@@ -79,7 +79,8 @@ def star(spark: SparkSession, folder: str) -> star_plan.Star:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stars:
         path = workspace.new_path(spark, "star")
-        star_plan.write_star(full(spark, folder), path, flat=False)
+        clean = workspace.written(full(spark, folder), "clean")
+        star_plan.write_star(clean, path, flat=False)
         _stars[key] = path
     return star_plan.read_star(spark, _stars[key])
 
@@ -130,7 +131,8 @@ def _snk_sales_table(spark: SparkSession, folder: str) -> DataFrame:
 def _snk_star(spark: SparkSession, folder: str) -> DataFrame:
     """Write everything, and count the rows that arrived."""
     path = workspace.new_path(spark, "star_and_flat")
-    star_plan.write_star(full(spark, folder), path)
+    clean = workspace.written(full(spark, folder), "clean")
+    star_plan.write_star(clean, path)
     counts = [spark.read.parquet(f"{path}/{t}")
               .agg(F.lit(t).alias("table_name"), F.count("*").alias("rows"))
               for t in (*star_plan.TABLES, "flat_sales")]

@@ -1,6 +1,9 @@
 """Run every query and its SQL on the same tables and compare all values.
 
-usage: python tools/check_oracle.py [FOLDER] [QUERY ...]
+usage: python tools/check_oracle.py [FOLDER] [QUERY ...] [--no-broadcast]
+
+With --no-broadcast every join of tables takes its shuffle plan, as it would
+with tables beyond the broadcast limit.
 """
 
 from __future__ import annotations
@@ -57,9 +60,12 @@ def compare(spark, con, folder: str, name: str, sql: str) -> str:
 
 
 def main() -> int:
-    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:]
-    spark, con, sql = local_session("check"), connect(folder), oracle.statements()
+    names = [a for a in sys.argv[1:] if not a.startswith("--")]
+    folder, wanted = (names[0], names[1:]) if names else ("/root/testdata/sf0.01", [])
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} \
+        if "--no-broadcast" in sys.argv else {}
+    spark, con, sql = local_session("check", **limits), connect(folder), oracle.statements()
     missing = set(registry.QUERIES) ^ set(sql)
     failed = 0
     for name, text in sql.items():
