@@ -27,13 +27,12 @@ def band(value: Column | str, limits: Sequence[float | None],
     open-ended.
     """
     value = col(value)
-    chain = None
-    for low, high, label in zip(limits, limits[1:], labels):
-        inside = value > F.lit(float(low))
-        if high is not None:
-            inside = inside & (value <= F.lit(float(high)))
-        inside = inside & ~F.isnan(value.cast("double"))
-        chain = F.when(inside, label) if chain is None else chain.when(inside, label)
+    chain = F.when(value <= float(limits[0]), None)
+    for high, label in zip(limits[1:], labels):
+        # NaN is above every limit, so only the open end has to turn it away.
+        inside = value <= float(high) if high is not None \
+            else value.isNotNull() & ~F.isnan(value.cast("double"))
+        chain = chain.when(inside, label)
     return chain
 
 

@@ -42,8 +42,8 @@ def sum_units0(amount: Column | str, where: Column | None = None) -> Column:
 
 def half_up(value: str, divisor: str) -> Column:
     """Quotient of two BIGINT expressions, rounded half away from zero (divisor > 0)."""
-    return F.expr(f"CAST(sign({value}) AS BIGINT) * "
-                  f"((2 * abs({value}) + {divisor}) div (2 * {divisor}))")
+    return F.expr(f"CASE WHEN ({value}) >= 0 THEN (2 * ({value}) + {divisor}) div (2 * {divisor}) "
+                  f"ELSE -(({divisor} - 2 * ({value})) div (2 * {divisor})) END")
 
 
 def rounded(value: Column, places: int) -> Column:

@@ -7,6 +7,7 @@ one projection: nothing is joined, exploded or shuffled to find the winner.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,42 +62,64 @@ TOP_PATTERN = r"top\s+(\d+)"
 YEAR_PATTERN = r"20\d\d"
 
 
-def _scores(lowered: Column, topics: Mapping[str, Sequence[str]]) -> dict[str, Column]:
-    return {
-        topic: sum((lowered.contains(word).cast("int") for word in words), F.lit(0))
-        for topic, words in topics.items()
-    }
+def _guards(topics: Mapping[str, Sequence[str]]) -> dict[str, str]:
+    """For each keyword one of its own words, chosen so that few differ.
+
+    A text without the word cannot contain the keyword, so most texts are
+    searched for the few words only, not for every keyword.
+    """
+    keywords = sorted({k for words in topics.values() for k in words})
+    # very short words sit in almost any text and guard nothing
+    words = {w for k in keywords for w in k.split() if len(w) > 3}
+    # a word inside another word is the better guard: ship for shipping
+    core = {w: min((x for x in words if x in w), key=lambda x: (len(x), x)) for w in words}
+    used = Counter(core[w] for k in keywords for w in set(k.split()) if w in core)
+    return {k: max({core[w] for w in k.split() if w in core},
+                   key=lambda w: (used[w], len(w), w), default=k)
+            for k in keywords}
+
+
+def _prepared(texts: DataFrame, text: str, topics: Mapping[str, Sequence[str]],
+              *keep: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Texts with their guard words looked up, and the score of each topic."""
+    guards = _guards(topics)
+    flags = {w: f"_has{i}" for i, w in enumerate(sorted(set(guards.values())))}
+    lowered = texts.select(*keep, F.lower(F.col(text)).alias("_lowered"))
+    looked_up = lowered.select("*", *[F.col("_lowered").contains(w).alias(f)
+                                      for w, f in flags.items()])
+
+    def hit(word: str) -> Column:
+        guard = F.col(flags[guards[word]])
+        if word == guards[word]:
+            return guard.cast("int")
+        return F.when(guard, F.col("_lowered").contains(word)).otherwise(False).cast("int")
+
+    return looked_up, {topic: sum((hit(w) for w in words), F.lit(0))
+                       for topic, words in topics.items()}
 
 
 def tag(texts: DataFrame, text: str = "text", into: str = "intent",
         topics: Mapping[str, Sequence[str]] = TOPICS) -> DataFrame:
     """Add the topic of each text; texts without a hit are ``unknown``."""
     size = len(topics)
+    looked_up, found = _prepared(texts, text, topics, *texts.columns)
     # score first, then the earlier topic: one integer per topic, one greatest().
-    weighed = [score * size + (size - 1 - place)
-               for place, score in enumerate(_scores(F.col("_lowered"), topics).values())]
+    weighed = [score * size + (size - 1 - place) for place, score in enumerate(found.values())]
     best = F.greatest(*weighed) if size > 1 else weighed[0]
     names = F.array(*[F.lit(topic) for topic in topics])
-    return (
-        texts.withColumn("_lowered", F.lower(F.col(text)))
-        .withColumn("_best", best)
-        .withColumn(into, F.when(F.col("_best") >= size,
-                                 F.element_at(names, size - F.col("_best") % size))
-                    .otherwise(UNKNOWN))
-        .drop("_lowered", "_best")
-    )
+    return looked_up.select(*texts.columns, best.alias("_best")).select(
+        *texts.columns,
+        F.when(F.col("_best") >= size, F.element_at(names, size - F.col("_best") % size))
+        .otherwise(UNKNOWN).alias(into))
 
 
 def scores(texts: DataFrame, key: str, text: str = "text",
            topics: Mapping[str, Sequence[str]] = TOPICS) -> DataFrame:
     """(key, intent, score) for every topic with at least one hit."""
-    found = F.array(*[F.struct(F.lit(topic).alias("intent"), score.alias("score"))
-                      for topic, score in _scores(F.col("_lowered"), topics).items()])
-    return (
-        texts.select(key, F.lower(F.col(text)).alias("_lowered"))
-        .select(key, F.inline(found))
-        .where(F.col("score") > 0)
-    )
+    looked_up, found = _prepared(texts, text, topics, key)
+    cells = F.array(*[F.struct(F.lit(topic).alias("intent"), score.alias("score"))
+                      for topic, score in found.items()])
+    return looked_up.select(key, F.inline(cells)).where(F.col("score") > 0)
 
 
 def volume(texts: DataFrame, text: str = "text") -> DataFrame:

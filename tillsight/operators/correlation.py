@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,26 +14,54 @@ NUMERIC = ("quantity", "unit_price", "discount", "sales", "profit", "profit_marg
 
 
 def correlation_matrix(rows: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:
-    """(col_a, col_b, r) for every ordered pair.
+    """(col_a, col_b, r) for every ordered pair; no lines for an empty table.
 
     Each pair uses the rows where both values are present; r is NULL when one
     of them does not vary there.
+
+    Rows are grouped by which columns they have: one group when nothing is
+    missing, never more than 2 to the number of columns. Within a group every
+    column is either always or never present, so its means, variances and
+    covariances serve all pairs; a pair then pools the groups that have both.
     """
+    names = list(columns)
+    size = range(len(names))
     values = rows.select(*[
-        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
-        for c in columns])
-    pairs = list(combinations_with_replacement(columns, 2))
-    parts = []
-    for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        parts += [F.covar_pop(x, y).alias(f"c{i}"),
-                  F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}")]
-    found = values.agg(*parts)
-    r = [F.try_divide(F.col(f"c{i}"), F.col(f"x{i}") * F.col(f"y{i}"))
-         for i in range(len(pairs))]
-    cells = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r[i].alias("r"))
-             for i, (a, b) in enumerate(pairs)]
-    cells += [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r[i].alias("r"))
-              for i, (a, b) in enumerate(pairs) if a != b]
-    return found.select(F.inline(F.array(*cells)))
+        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}")
+        for i, c in enumerate(names)])
+    held = " + ".join(f"IF(v{i} IS NULL, 0, {1 << i})" for i in size)
+    groups = values.groupBy(F.expr(held).alias("held")).agg(
+        F.count("*").cast("double").alias("n"),
+        *[F.avg(f"v{i}").alias(f"m{i}") for i in size],
+        *[F.var_pop(f"v{i}").alias(f"c{i}_{i}") for i in size],
+        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in combinations(size, 2)])
+
+    def pair(i: int, j: int) -> str:
+        return (f"named_struct('col_a', '{names[i]}', 'col_b', '{names[j]}', "
+                f"'both', (held & {(1 << i) | (1 << j)}) = {(1 << i) | (1 << j)}, 'n', n, "
+                f"'x', m{i}, 'y', m{j}, 'xx', c{i}_{i}, 'yy', c{j}_{j}, "
+                f"'xy', c{min(i, j)}_{max(i, j)})")
+
+    lines = groups.select(F.expr(f"inline(array({', '.join(pair(i, j) for i in size for j in size)}))"))
+    pooled = lines.groupBy("col_a", "col_b").agg(
+        F.expr("sum(n * x) FILTER (WHERE both)").alias("_sx"),
+        F.expr("sum(n * y) FILTER (WHERE both)").alias("_sy"),
+        F.expr("sum(n) FILTER (WHERE both)").alias("_n"),
+        F.expr("max(xx) FILTER (WHERE both) > 0 OR min(x) FILTER (WHERE both) < "
+               "max(x) FILTER (WHERE both)").alias("_x_varies"),
+        F.expr("max(yy) FILTER (WHERE both) > 0 OR min(y) FILTER (WHERE both) < "
+               "max(y) FILTER (WHERE both)").alias("_y_varies"),
+        F.expr("collect_list(struct(n, x, y, xx, yy, xy)) FILTER (WHERE both)").alias("_groups"),
+    ).withColumns({"_mx": F.try_divide("_sx", "_n"), "_my": F.try_divide("_sy", "_n")})
+
+    def total(inner: str) -> str:
+        return f"aggregate(_groups, 0D, (acc, g) -> acc + g.n * ({inner}))"
+
+    xy = total("g.xy + (g.x - _mx) * (g.y - _my)")
+    xx = total("g.xx + (g.x - _mx) * (g.x - _mx)")
+    yy = total("g.yy + (g.y - _my) * (g.y - _my)")
+    r = f"try_divide({xy}, sqrt({xx}) * sqrt({yy}))"
+    # Rounding may leave r a last digit beyond its range.
+    return pooled.select(
+        "col_a", "col_b",
+        F.expr(f"IF(_x_varies AND _y_varies, least(greatest({r}, -1D), 1D), NULL)").alias("r"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, questions
 from ..functions.exact import (amount, best_key, growth, mean, percent, ratio, sum_units,
-                               sum_units0, worst_key)
+                               sum_units0, units, worst_key)
 from .business import retained_customers
 from .exploratory import by
 
@@ -387,17 +387,21 @@ def summary(sales: DataFrame, category: str = "Electronics", region: str = "West
     customer, product) and overall; everything else is read off those totals.
     Customers and products are counted as groups, not as distinct values.
     """
-    margin = [sum_units("profit_margin").alias("_m"), F.count("profit_margin").alias("_k")]
-    cases = {"plain": F.col("discount") == 0, "steep": F.col("discount") > 0.3}
+    cases = {"": F.lit(True), "_plain": F.col("discount") == 0,
+             "_steep": F.col("discount") > 0.3}
+    q4 = F.col("order_quarter") == 4
+    amounts = {"_s": units("sales"), "_p": units("profit"), "_q4": F.when(q4, units("sales"))}
     for name, case in cases.items():
-        margin += [sum_units("profit_margin", case).alias(f"_m_{name}"),
-                   F.count(F.when(case, F.col("profit_margin"))).alias(f"_k_{name}")]
+        amounts[f"_m{name}"] = F.when(case, units("profit_margin"))
+        amounts[f"_k{name}"] = F.when(case & F.col("profit_margin").isNotNull(), 1)
+    # Amounts are taken before the rows are multiplied by the sets.
     totals = (
-        sales.groupingSets([[]] + [[F.col(side)] for side in _SIDES],
-                           *[F.col(side) for side in _SIDES])
-        .agg(_sales(), _profit(), F.count("*").alias("_rows"),
-             sum_units0("sales", F.col("order_quarter") == 4).alias("_q4"), *margin,
+        sales.select(*_SIDES, *[a.alias(n) for n, a in amounts.items()])
+        .groupingSets([[]] + [[F.col(side)] for side in _SIDES],
+                      *[F.col(side) for side in _SIDES])
+        .agg(F.count("*").alias("_rows"), *[F.sum(n).alias(n) for n in amounts],
              F.grouping_id().alias("_set"))
+        .fillna(0, subset=["_s", "_p", "_q4"])
     )
     whole = (1 << len(_SIDES)) - 1
     set_of = {side: whole - (1 << (len(_SIDES) - 1 - i)) for i, side in enumerate(_SIDES)}

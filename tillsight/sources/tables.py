@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exact import half_up
 
@@ -22,8 +23,16 @@ BASE_MARGIN = {"ECONOMY": 20, "STANDARD": 30, "SMALL": 35,
                "MEDIUM": 40, "LARGE": 45, "PROMO": 50}
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One table; its schema is read from the files once per application."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,10 +64,10 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.rint(F.col("l_tax") * 100).cast("long").alias("tax_u"),
         margin[F.col("p_type")].alias("base_u"),
     )
-    sized = sized.withColumn("sales_u", half_up("(list_u * (100 - disc_u))", "100"))
+    sized = sized.withColumn("sales_u", half_up("list_u * (100 - disc_u)", "100"))
     # hundredths x percent x thousandths = 1e-7; list price x tax is 1e-4.
     sized = sized.withColumn("profit_u", half_up(
-        "(sales_u * base_u * (1000 - 18 * disc_u) - list_u * tax_u * 1000)", "100000"))
+        "sales_u * base_u * (1000 - 18 * disc_u) - list_u * tax_u * 1000", "100000"))
     shared_name = F.when((F.col("c_custkey") % 7 == 0) & (F.col("c_custkey") > 0), 1).otherwise(0)
     return sized.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -80,7 +89,7 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("disc_u") / 100).alias("discount"),
         (F.col("sales_u") / 100).alias("sales"),
         (F.col("profit_u") / 100).alias("profit"),
-        (F.when(F.col("sales_u") > 0, half_up("(profit_u * 10000)", "sales_u"))
+        (F.when(F.col("sales_u") > 0, half_up("profit_u * 10000", "sales_u"))
          .otherwise(0) / 100).alias("profit_margin"),
     )
 
