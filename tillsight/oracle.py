@@ -239,8 +239,8 @@ def _foundation() -> dict[str, str]:
             "(SELECT customer_id, SUM(sales_c) AS c FROM sales GROUP BY customer_id)"),
         "fmt_pct": _with(
             f"SELECT product_name, printf('%.1f', {hu(six, 1000000, 1)}) || '%' AS label FROM "
-            f"(SELECT product_name, category, {S} AS s, {P} AS p FROM sales "
-            "GROUP BY product_name, category)"),
+            f"(SELECT product_name, {S} AS s, {P} AS p FROM sales "
+            "GROUP BY product_name)"),
     }
 
 
@@ -257,8 +257,8 @@ def _business() -> dict[str, str]:
     ranked = (
         f"t AS (SELECT customer_id, customer_name, region, {amt0(S)} AS total_sales, COUNT(*) AS "
         "orders FROM sales GROUP BY customer_id, customer_name, region), "
-        "r AS (SELECT *, dense_rank() OVER (PARTITION BY region ORDER BY total_sales DESC) AS "
-        "region_rank FROM t)")
+        "r AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY region ORDER BY total_sales DESC) AS "
+        "INTEGER) AS region_rank FROM t)")
     best = (
         f"t AS (SELECT category, product_name, {amt0(S)} AS total_sales, COUNT(*) AS orders, "
         f"{amt0(P)} AS total_profit FROM sales GROUP BY category, product_name), "

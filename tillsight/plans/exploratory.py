@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands
 from ..functions.exact import amount, mean, percent, sum_units, sum_units0
-from ..operators.correlation import NUMERIC, correlation_matrix
+from ..operators.correlation import NUMERIC, correlation_matrix, typical_values
 from ..operators.features import with_customer_value
 
 
@@ -100,9 +100,14 @@ def year_category_grid(sales: DataFrame, categories: list[str]) -> DataFrame:
 
 
 def correlations(sales: DataFrame, columns: tuple[str, ...] = NUMERIC) -> DataFrame:
+    """Correlation matrix; customer value is attached when it is asked for.
+
+    Typical values come from the orders as given, before that join.
+    """
+    centers = typical_values(sales, [c for c in columns if c in sales.columns])
     if "customer_ltv" in columns and "customer_ltv" not in sales.columns:
         sales = with_customer_value(sales)
-    return correlation_matrix(sales, columns)
+    return correlation_matrix(sales, columns, centers)
 
 
 def overall_kpis(sales: DataFrame) -> DataFrame:

@@ -19,6 +19,11 @@ from ..operators.ranking import numbered
 PRODUCT_ID = "PROD-%03d"
 GEO_ID = "GEO-%03d"
 FESTIVE_QUARTER = 4
+# What the star needs of the clean table.
+INPUT_COLUMNS = (
+    "order_id", "order_date", "ship_mode", "customer_id", "customer_name", "segment", "region",
+    "city", "category", "product_name", "quantity", "unit_price", "discount", "sales", "profit",
+    "profit_margin", "days_to_ship", "customer_ltv", "customer_tier")
 FACT_COLUMNS = ("order_id", "date_key", "customer_id", "product_id", "geo_id", "ship_mode",
                 "quantity", "unit_price", "discount", "sales", "profit", "profit_margin",
                 "days_to_ship")
@@ -122,7 +127,11 @@ TABLES = ("fact_sales", "dim_customer", "dim_product", "dim_geography", "dim_dat
 
 
 def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
-    """Write the five star tables, and the flat copy if wanted, as Parquet."""
+    """Write the five star tables, and the flat copy if wanted, as Parquet.
+
+    Each table is a pass over ``sales`` with the columns it needs, so give the
+    written clean table rather than a long plan.
+    """
     spark = sales.sparkSession
 
     def put(name: str, rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bands, labels, questions
-from .functions.exact import half_up
+from .functions.exact import half_up, percent, sum_units0
 from .operators import features, pricing, quality
 from .plans import answers, business, dashboard, exploratory, measures
 from .plans import star as star_plan
@@ -79,8 +79,8 @@ def star(spark: SparkSession, folder: str) -> star_plan.Star:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stars:
         path = workspace.new_path(spark, "star")
-        clean = workspace.written(full(spark, folder), "clean")
-        star_plan.write_star(clean, path, flat=False)
+        clean = full(spark, folder).select(*star_plan.INPUT_COLUMNS)
+        star_plan.write_star(workspace.written(clean, "clean"), path, flat=False)
         _stars[key] = path
     return star_plan.read_star(spark, _stars[key])
 
@@ -212,9 +212,9 @@ def _amount_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _percent_labels(spark: SparkSession, folder: str) -> DataFrame:
-    lines = answers._product_lines(sales(spark, folder))
-    return lines.select("product_name", labels.percent_label(
-        exploratory.percent("_p", "_s", 6)).alias("label"))
+    lines = exploratory.by(sales(spark, folder), "product_name").agg(
+        sum_units0("profit").alias("p"), sum_units0("sales").alias("s"))
+    return lines.select("product_name", labels.percent_label(percent("p", "s", 6)).alias("label"))
 
 
 def _on(base: Callable[[SparkSession, str], DataFrame], plan: Callable[..., DataFrame],
