@@ -376,41 +376,61 @@ def shipping_insight(sales: DataFrame) -> DataFrame:
 
 # ---- overview --------------------------------------------------------------
 
-_SIDES = ("region", "category", "order_year", "customer_name", "customer_id", "product_name")
+# What orders are grouped by first, and the sides read off those groups.
+_GROUPS = (("customer_id", "customer_name", "region"), ("product_name", "category"),
+           ("order_year",))
+_SIDES = tuple(side for group in _GROUPS for side in group)
 
 
-def summary(sales: DataFrame, category: str = "Electronics", region: str = "West",
-            top: int = 20) -> DataFrame:
-    """One row of headline figures from one pass over the orders.
+def _set_id(columns: tuple[str, ...]) -> int:
+    """``grouping_id`` of a grouping set over all sides: a bit per absent side."""
+    return sum(1 << (len(_SIDES) - 1 - i) for i, s in enumerate(_SIDES) if s not in columns)
 
-    Grouping sets total the orders once per side (region, category, year,
-    customer, product) and overall; everything else is read off those totals.
-    Customers and products are counted as groups, not as distinct values.
+
+def _side_totals(sales: DataFrame) -> DataFrame:
+    """Totals overall and per side, told apart by ``_set``.
+
+    The orders are multiplied three times only, once per group; the sides are
+    then totalled from those much smaller groups. The overall figures come
+    from the groups by year, which hold every order once.
     """
     cases = {"": F.lit(True), "_plain": F.col("discount") == 0,
              "_steep": F.col("discount") > 0.3}
-    q4 = F.col("order_quarter") == 4
-    amounts = {"_s": units("sales"), "_p": units("profit"), "_q4": F.when(q4, units("sales"))}
+    amounts = {"_rows": F.lit(1), "_s": units("sales"), "_p": units("profit"),
+               "_q4": F.when(F.col("order_quarter") == 4, units("sales"))}
     for name, case in cases.items():
         amounts[f"_m{name}"] = F.when(case, units("profit_margin"))
         amounts[f"_k{name}"] = F.when(case & F.col("profit_margin").isNotNull(), 1)
-    # Amounts are taken before the rows are multiplied by the sets.
-    totals = (
+    sides = [F.col(s) for s in _SIDES]
+    groups = (
         sales.select(*_SIDES, *[a.alias(n) for n, a in amounts.items()])
-        .groupingSets([[]] + [[F.col(side)] for side in _SIDES],
-                      *[F.col(side) for side in _SIDES])
-        .agg(F.count("*").alias("_rows"), *[F.sum(n).alias(n) for n in amounts],
+        .groupingSets([[F.col(s) for s in group] for group in _GROUPS], *sides)
+        .agg(*[F.sum(n).alias(n) for n in amounts], F.grouping_id().alias("_group"))
+    )
+    by_year = F.col("_group") == _set_id(("order_year",))
+    return (
+        groups.groupingSets([[]] + [[s] for s in sides], *sides)
+        .agg(*[F.sum(n).alias(n) for n in ("_s", "_m", "_k")],
+             *[F.sum(F.when(by_year, F.col(n))).alias(f"_all{n}") for n in amounts],
              F.grouping_id().alias("_set"))
-        .fillna(0, subset=["_s", "_p", "_q4"])
     )
-    whole = (1 << len(_SIDES)) - 1
-    set_of = {side: whole - (1 << (len(_SIDES) - 1 - i)) for i, side in enumerate(_SIDES)}
+
+
+def summary(sales: DataFrame, category: str = "Electronics", region: str = "West",
+            top: int = 20) -> DataFrame:
+    """One row of headline figures from one pass over the orders.
+
+    Customers and products are counted as groups, not as distinct values.
+    """
+    totals = _side_totals(sales).fillna(0, subset=["_s", "_all_s", "_all_p", "_all_q4"])
+    whole = _set_id(())
+    set_of = {side: _set_id((side,)) for side in _SIDES}
 
     def is_side(side: str):
         return (F.col("_set") == set_of[side]) & F.col(side).isNotNull()
 
     def overall(name: str):
-        return F.max(F.when(F.col("_set") == whole, F.col(name)))
+        return F.max(F.when(F.col("_set") == whole, F.col(f"_all{name}")))
 
     def best(side: str):
         return F.min_by(side, F.when(is_side(side), F.struct(-F.col("_s"), F.col(side))))
