@@ -53,13 +53,25 @@ ASKED = [
 ]
 
 
+_frames: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _planned(name: str, spark: SparkSession, folder: str, plan: Query) -> DataFrame:
+    """A lazy frame, planned once per application; it holds no data."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _frames:
+        _frames[key] = plan(spark, folder)
+    return _frames[key]
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.sales_raw(spark, folder)
+    return _planned("raw", spark, folder, tables.sales_raw)
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with every column that needs only the row itself."""
-    return features.with_row_features(raw(spark, folder))
+    return _planned("sales", spark, folder,
+                    lambda s, f: features.with_row_features(raw(s, f)))
 
 
 def full(spark: SparkSession, folder: str) -> DataFrame:
