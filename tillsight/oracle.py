@@ -724,6 +724,11 @@ def _star() -> dict[str, str]:
         "m_high_discount_pct": _with(
             f"SELECT order_year AS year, {frac(high, orders)} AS high_discount_pct FROM sales "
             "GROUP BY order_year"),
+        **{f"m_rev_{n}": by("category", revenue, where=f"WHERE segment = '{s}'") for n, s in
+           zip(("consumer", "corporate", "home_office"), R.SEGMENTS.values())},
+        "m_top20_revenue": _with(
+            f"SELECT {amt('SUM(s)')} AS top20_revenue FROM (SELECT {S} AS s, rank() OVER "
+            f"(ORDER BY {S} DESC) AS place FROM sales GROUP BY customer_name) WHERE place <= 20"),
         "m_segment_revenue": by("region", ", ".join(
             f"{amt(f'''SUM(sales_c) FILTER (segment = '{s}')''')} AS {n}"
             for n, s in R.SEGMENTS.items())),

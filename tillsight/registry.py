@@ -29,6 +29,7 @@ COMPARED = (1996, 1999)
 CATEGORY, REGION, YEAR = "ECONOMY", "ASIA", 1997
 YEARS = list(range(1995, 2002))
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# These segments stand for consumer, corporate and home office.
 SEGMENTS = {"revenue_building": "BUILDING", "revenue_machinery": "MACHINERY",
             "revenue_household": "HOUSEHOLD"}
 REGION_FACTORS = {"AFRICA": 1.0, "AMERICA": 1.05, "ASIA": 0.92, "EUROPE": 1.10,
@@ -248,6 +249,12 @@ def _measure(name: str, *by: str) -> Query:
     return _on(star, measures.evaluate, [name], by)
 
 
+def _one_segment(name: str) -> Query:
+    """Revenue per category, filtered to one segment."""
+    return _on(star, measures.evaluate, ["total_revenue"], ["category"],
+               {"segment": SEGMENTS[name]})
+
+
 def _time(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return measures.time_measures(star(spark, folder)).select(
@@ -418,7 +425,12 @@ _PLANS: dict[str, Query] = {
     "m_profit_margin_label": _measure("profit_margin_label", "product_name"),
     "m_high_discount_orders": _measure("high_discount_orders", "segment"),
     "m_high_discount_pct": _measure("high_discount_pct", "year"),
+    "m_rev_consumer": _one_segment("revenue_building"),
+    "m_rev_corporate": _one_segment("revenue_machinery"),
+    "m_rev_home_office": _one_segment("revenue_household"),
     "m_segment_revenue": _of_star(measures.segment_revenue, ("region",), SEGMENTS),
+    "m_top20_revenue": _of_star(
+        lambda s: measures.top_customer_share(s).select("top20_revenue")),
     "m_top20_contribution": _of_star(measures.top_customer_share),
     # dashboard
     "dash_kpis": _of_star(dashboard.kpis),
