@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import pathlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, token_files
+from . import decontaminate, packing, quality_rules, token_counts, token_files
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+#: Where Python workers find this package if it is not installed on them.
+ROOT = str(pathlib.Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -27,6 +33,12 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -35,6 +47,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     stored = token_files.through_files(table(spark, folder, "documents"),
                                        public_tokenizers.path(BYTE_BPE))
@@ -43,7 +59,9 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
+    "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
 }
 
