@@ -36,7 +36,7 @@ REACH = 3.0
 #: Measure: its formula, the least quartile distance, and whether small values are odd too.
 MEASURES = {
     "symbol_rate": ("n_symbols / n_words", 0.04, False),
-    "dup_line_rate": ("n_dup_lines / n_lines", 0.1, False),
+    "dup_line_rate": ("n_dup_lines / n_lines", 0.2, False),
     "repeat_rate": ("n_repeat_words / n_words", 0.1, False),
     "word_length": ("word_chars / n_words", 1.0, True),
 }

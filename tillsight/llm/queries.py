@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_rules, token_counts, token_files
+from . import (
+    decontaminate, licenses, packing, quality_rules, secret_scan, token_counts, token_files,
+)
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -47,6 +49,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
+def op6_license_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
@@ -57,14 +63,30 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+
+def op10_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(number, secret_scan.BASE),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
+    "op6_license_digests": op6_license_digests,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_secret_battery": op10_secret_battery,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_license_digests": licenses.oracle()}
