@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, licenses, packing, quality_rules, secret_scan, token_counts, token_files,
+    decontaminate, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -53,6 +53,11 @@ def op6_license_digests(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op6_license_digests": op6_license_digests,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_secret_battery": op10_secret_battery,
