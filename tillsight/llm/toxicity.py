@@ -40,11 +40,11 @@ from ..sources.workspace import written
 TOXIC, OTHER, FEATURES, GRADES = 2_000, 4_000, 1_024, 3
 #: A feature is in so many toxic documents of the sample at least, and so many times
 #: as often in them as in others.
-SUPPORT, TYPICAL = 4, 5.0
+SUPPORT, TYPICAL = 6, 8.0
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = range(4, 10)
 #: Of the fit: weight decay, steps and their size.
-DECAY, STEPS, RATE = 1e-4, 300, 0.05
+DECAY, STEPS, RATE = 2e-5, 400, 0.05
 KEPT = 300_000
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32
