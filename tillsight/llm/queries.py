@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity,
+    decontaminate, jaccard_join, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -49,6 +49,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents"))
+
+
 def op6_license_digests(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_license_digests": op6_license_digests,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
