@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, jaccard_join, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity,
+    decontaminate, jaccard_join, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity, url_filters,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -25,22 +25,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces with a checksum of their ids, and their places in sequences of 4096 tokens."""
     capacity = 4096
-    cut = packing.pieces(table(spark, folder, "documents"),
-                         public_tokenizers.path(WORD_BPE), 1, capacity)
+    cut = packing.pieces(docs, public_tokenizers.path(WORD_BPE), 1, capacity)
     narrow = cut.select("part", "row", "doc_id", "piece", "start", "length",
                         F.crc32("ids").alias("ids_crc32"))
     placed = packing.place(narrow, capacity, [F.col("part"), F.col("row"), F.col("piece")])
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
 
+def op3_url_words(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judge(table(spark, folder, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -89,6 +97,7 @@ def op10_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
+    "op3_url_words": op3_url_words,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_license_digests": op6_license_digests,
