@@ -114,19 +114,20 @@ def fences(measures: DataFrame, fewest: int = FEWEST) -> DataFrame:
             *(F.kll_merge_agg_double(name, SKETCH).alias(name) for name in MEASURES))
 
     def quartiles(rows: DataFrame, *by: str) -> DataFrame:
-        return rows.select(*by, "n", F.struct(*(
+        found = F.struct(*(
             F.kll_sketch_get_quantile_double(name, F.lit(rank)).alias(f"{name}_{part}")
-            for name in MEASURES for part, rank in (("q1", 0.25), ("q3", 0.75)))).alias("q"))
-
-    own, tongue, whole = (quartiles(sketches, "lang", "source").alias("own"),
-                          quartiles(merged("lang"), "lang").alias("tongue"),
-                          quartiles(merged()).where("n > 0").withColumn("_all", F.lit(1)).alias("whole"))
-    picked = (own.join(tongue, F.col("own.lang").eqNullSafe(F.col("tongue.lang")))
-              .withColumn("_all", F.lit(1)).join(F.broadcast(whole), "_all")  # one row
-              .select("own.lang", "own.source",
-                      F.when(F.col("own.n") >= fewest, F.col("own.q"))
-                      .when(F.col("tongue.n") >= fewest, F.col("tongue.q"))
-                      .otherwise(F.col("whole.q")).alias("q")))
+            for name in MEASURES for part, rank in (("q1", 0.25), ("q3", 0.75))))
+        return rows.select(*by, "n", F.when(F.col("n") > 0, found).alias("q"))
+
+    whole = quartiles(merged()).first()["q"]  # one row; null without documents
+    corpus = F.struct(*(F.lit(whole[f] if whole else None).cast("double").alias(f)
+                        for f in quartiles(sketches).schema["q"].dataType.fieldNames()))
+    own, tongue = (quartiles(sketches, "lang", "source").alias("own"),
+                   quartiles(merged("lang"), "lang").alias("tongue"))
+    picked = own.join(tongue, F.col("own.lang").eqNullSafe(F.col("tongue.lang"))).select(
+        "own.lang", "own.source",
+        F.when(F.col("own.n") >= fewest, F.col("own.q"))
+        .when(F.col("tongue.n") >= fewest, F.col("tongue.q")).otherwise(corpus).alias("q"))
     bounds = []
     for name, (_, least, two_sided) in MEASURES.items():
         q1, q3 = F.col(f"q.{name}_q1"), F.col(f"q.{name}_q3")

@@ -50,9 +50,9 @@ ENCODINGS = {
 }
 #: Ordinary text: chance that two of its letters are equal, change of class from one
 #: character to the next, and correlation of neighbours.
-COINCIDENCE, CHANGE, LIKENESS = 0.065, 0.15, 0.4
+COINCIDENCE, CHANGE, LIKENESS = 0.065, 0.3, 0.4
 #: False discovery rate; bound of the chi-squared test's own rejection.
-RATE, Z_RANDOM = 0.01, 3.3
+RATE, Z_RANDOM = 0.001, 5.0
 #: Lengths at which a new class begins, and bins of -10 log10 p.
 CLASSES, BINS = (20, 28, 40, 64), 120
 _BLOCK = 64
@@ -249,8 +249,8 @@ def redact(docs: DataFrame, mask: str = "[secret]", rate: float = RATE) -> DataF
                 acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
             .otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    changed = {"text": F.when(F.size(own) > 0, masked).otherwise(text)}
+    mended = marked.withColumn(own, F.when(F.size(own) > 0, masked))
+    changed = {"text": F.coalesce(own, text)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.size(own) > 0, F.length(masked).cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return marked.withColumns(changed).select(*docs.columns)
+        changed["n_chars"] = F.coalesce(F.length(own).cast(docs.schema["n_chars"].dataType), "n_chars")
+    return mended.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))

@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are words and their beginnings, lower-cased (A-Z), with value
-log2(1 + count). One weight vector w serves all thresholds t1 < t2 < ...:
+Features are words and their beginnings, lower-cased (A-Z), each as three steps:
+it occurs, twice, four times. One weight vector w serves all thresholds t1 < t2 < ...:
 P(grade >= k) = sigmoid(w.x - tk), and the expected severity is the sum of these.
 
 The labels say toxic or not. Toxic documents of the sample are graded 1 to
@@ -24,6 +24,7 @@ not read, or kept as they are where documents are filtered.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -38,9 +39,11 @@ from ..sources.workspace import written
 
 #: The bound of the sample, of the features, and the number of severity grades above 0.
 TOXIC, OTHER, FEATURES, GRADES = 2_000, 4_000, 1_024, 3
-#: A feature is in so many toxic documents of the sample at least, and so many times
-#: as often in them as in others.
-SUPPORT, TYPICAL = 6, 8.0
+#: A typical feature is in so many toxic documents of the sample at least, so many times
+#: as often in them as in others, and with so large a likelihood ratio statistic.
+SUPPORT, TYPICAL, EVIDENCE = 3, 8.0, 12.0
+#: Counts from which a feature's steps apply.
+COUNTS = (1, 2, 4)
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = range(4, 10)
 #: Of the fit: weight decay, steps and their size.
@@ -62,7 +65,8 @@ def features(word: bytes) -> list[bytes]:
 
 @dataclass
 class Model:
-    weights: dict[bytes, float]
+    #: For each feature, what it adds to the score from each of COUNTS on.
+    weights: dict[bytes, tuple[float, ...]]
     thresholds: list[float]
     known: dict[bytes, tuple[bytes, ...]] = field(default_factory=dict)
 
@@ -87,7 +91,7 @@ class Model:
         """P(grade >= k) for k = 1, 2, ..."""
         if not self.thresholds:
             return np.zeros(GRADES)
-        score = sum(self.weights[f] * np.log2(1 + n) for f, n in sorted(self.counts(text).items()))
+        score = sum(self.weights[f][bisect_right(COUNTS, n) - 1] for f, n in sorted(self.counts(text).items()))
         return 1 / (1 + np.exp(np.clip(np.array(self.thresholds) - score, -60, 60)))
 
     def toxic(self, text: str | None) -> bool:
@@ -156,10 +160,16 @@ def _typical(sample: DataFrame, toxic: int, other: int) -> list[bytes]:
 
     counts = sample.mapInArrow(present, "feature binary, toxic boolean").groupBy("feature").agg(
         F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
-    rate, base = F.col("a") / toxic, (F.col("b") + 0.5) / other
-    strength = rate * F.log(rate / base)
-    rows = counts.where((F.col("a") >= SUPPORT) & (rate >= TYPICAL * base)).orderBy(
-        strength.desc(), "feature").limit(FEATURES).select("feature").collect()
+    a, b, n = F.col("a"), F.col("b"), toxic + other
+
+    def part(seen, row, column):
+        return F.when(seen > 0, seen * F.log(seen * n / (row * column))).otherwise(0.0)
+
+    evidence = 2 * (part(a, a + b, F.lit(toxic)) + part(b, a + b, F.lit(other))
+                    + part(toxic - a, n - a - b, F.lit(toxic)) + part(other - b, n - a - b, F.lit(other)))
+    rows = counts.where((a >= SUPPORT) & (a / toxic >= TYPICAL * (b + 0.5) / other)).withColumn(
+        "evidence", evidence).where(F.col("evidence") >= EVIDENCE).orderBy(
+        F.desc("evidence"), "feature").limit(FEATURES).select("feature").collect()
     return [bytes(r["feature"]) for r in rows]
 
 
@@ -171,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = _typical(sample, sizes[True], sizes[False])
     if not chosen:
         return Model({}, [])
-    vocabulary = Model(dict.fromkeys(chosen, 1.0), [0.0])
+    vocabulary = Model(dict.fromkeys(chosen, ()), [0.0])
     place = {f: i for i, f in enumerate(chosen)}
 
     def vectors(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,16 +193,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame(out, columns=["doc_id", "toxic", "at", "counts"])
 
     rows = sample.mapInPandas(vectors, "doc_id long, toxic boolean, at array<int>, counts array<double>").orderBy("doc_id").collect()
-    x = np.zeros((len(rows), len(chosen)), dtype=np.float32)
+    x = np.zeros((len(rows), len(chosen), len(COUNTS)), dtype=np.float32)
     often = np.zeros(len(rows))
     for i, r in enumerate(rows):
-        x[i, r["at"]] = np.log2(1 + np.array(r["counts"]))
+        x[i, r["at"]] = np.array(r["counts"])[:, None] >= np.array(COUNTS)
         often[i] = sum(r["counts"])
     toxic = np.array([r["toxic"] for r in rows])
     cuts = np.quantile(often[toxic], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic, 1 + (often[:, None] > cuts).sum(axis=1), 0)
-    weights, thresholds = fit_thresholds(x, grade)
-    return Model({f: float(w) for f, w in zip(chosen, weights)}, [float(t) for t in thresholds])
+    weights, thresholds = fit_thresholds(x.reshape(len(rows), -1), grade)
+    steps = weights.reshape(len(chosen), -1).cumsum(axis=1)
+    return Model({f: tuple(w) for f, w in zip(chosen, steps.tolist())}, thresholds.tolist())
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("severity", pa.float64()), ("grade", pa.int32()),
