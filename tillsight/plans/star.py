@@ -61,12 +61,12 @@ def dim_product(sales: DataFrame) -> DataFrame:
     seen = (
         sales.where(F.col("product_name").isNotNull())
         .groupBy("product_name", "category")
-        .agg(F.min("order_date").alias("_seen"), F.sum("unit_price").alias("_price"),
+        .agg(F.min("order_date").alias("_seen"), F.sum(F.col("unit_price").cast("decimal(28,10)")).alias("_price"),
              F.count("unit_price").alias("_n"))
     )
     products = seen.groupBy("product_name").agg(
         _earliest("category").alias("category"),
-        F.round(F.try_divide(F.sum("_price"), F.sum("_n")), 2).alias("avg_unit_price"))
+        F.round(F.try_divide(F.sum("_price").cast("double"), F.sum("_n").cast("double")), 2).alias("avg_unit_price"))
     return numbered(products, "product_name", into="_no").select(
         F.format_string(PRODUCT_ID, "_no").alias("product_id"), "product_name", "category",
         "avg_unit_price")
@@ -135,6 +135,8 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
     spark = sales.sparkSession
 
     def put(name: str, rows: DataFrame) -> DataFrame:
+        if name == "fact_sales":  # by date, so that a page on one year reads few files
+            rows = rows.repartitionByRange("date_key").sortWithinPartitions("date_key")
         rows.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 

@@ -10,12 +10,21 @@ from . import schema as S
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Columns by the names in the header, in any order; others are left out.
+
+    A missing column, a file with another header and a value that does not fit its
+    type stop the load. A quoted value may hold quotes and commas, not line breaks.
+    """
     # Quotes inside a quoted value are doubled (Laptop Air 13""), hence escape='"'.
-    # FAILFAST: a value that does not fit its type stops the load.
-    return (spark.read.schema(schema)
-            .option("header", True).option("escape", '"')
-            .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
-            .csv(path))
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST"))
+    header = reader.csv(path).columns
+    missing = [n for n in schema.fieldNames() if n not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    kinds = {f.name: f for f in schema.fields}
+    in_file = T.StructType([kinds.get(n, T.StructField(n, T.StringType())) for n in header])
+    return reader.option("enforceSchema", False).schema(in_file).csv(path).select(*schema.fieldNames())
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -48,9 +57,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 def write_clean(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the clean table by year, so a report on one year reads one folder.
 
-    The year moves to the end of the column list on reading, as with any
-    partition column.
+    Rows are dealt by year and date first, so a task writes the files of a year or
+    two and not one for every year. The year moves to the end of the column list on
+    reading, as with any partition column.
     """
+    sales = sales.repartitionByRange("order_year", "order_date").sortWithinPartitions(
+        "order_year", "order_date")
     sales.write.mode(mode).partitionBy("order_year").parquet(path)
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,16 +16,29 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {SETTING} to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="tillsight-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir() or own
+    return _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tillsight-"))
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where everything written on the way by this application lies; it owns the folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tillsight/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has written on the way.
+
+    Frames that still read from it fail afterwards, so call this when results are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark).rstrip('/')}/tillsight/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
