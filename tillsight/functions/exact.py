@@ -1,7 +1,7 @@
 """Exact totals over two-decimal amounts.
 
-Every amount of the data model (sales, profit, margin percent, discount) has
-two decimals. Summing the hundredths as BIGINT keeps a total independent of
+Every amount of money of the data model and the margin percent have two decimals;
+an amount with more raises, as a cut would falsify totals. Summing the hundredths as BIGINT keeps a total independent of
 the order in which tasks deliver their parts, so a rounded or ranked total is
 the same after a task is run again, and ``.50`` ties round the same way every
 time. It costs as much as a double sum (measured: 0.5 s for 30 M rows, two
@@ -25,8 +25,20 @@ def col(c: Column | str) -> Column:
 
 
 def units(amount: Column | str) -> Column:
-    """Hundredths of an amount as BIGINT."""
-    return F.rint(col(amount) * 100).cast("long")
+    """Hundredths of an amount as BIGINT; raises if the amount has more decimals.
+
+    The tolerance is that of a double near a whole number of hundredths.
+    """
+    cents = col(amount) * 100
+    whole = F.rint(cents)
+    return F.when(cents.isNull() | (F.abs(cents - whole) <= 1e-6 + F.abs(cents) * 1e-14),
+                  whole.cast("long")).otherwise(F.raise_error(
+                      F.concat(F.lit("not a whole number of hundredths: "), col(amount).cast("string"))))
+
+
+def sum_fractions(value: Column | str) -> Column:
+    """Total of shares such as discounts, exact to twelve decimals in any order of rows."""
+    return F.sum(col(value).cast("decimal(20,12)"))
 
 
 def sum_units(amount: Column | str, where: Column | None = None) -> Column:

@@ -129,9 +129,10 @@ def volume(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def top_n(text: Column | str = "text", default: int = DEFAULT_TOP) -> Column:
-    """The number after "top", else the default."""
+    """The number after "top", else the default; one beyond BIGINT becomes the largest BIGINT."""
     found = F.regexp_extract(F.lower(col(text)), TOP_PATTERN, 1)
-    return F.coalesce(found.try_cast("long"), F.lit(default).cast("long"))
+    return F.coalesce(found.try_cast("long"),
+                      F.when(found != "", F.lit(2**63 - 1)), F.lit(default).cast("long"))
 
 
 def years(text: Column | str = "text") -> Column:

@@ -52,9 +52,12 @@ def drop_duplicates(rows: DataFrame) -> DataFrame:
 
 
 def column_types(rows: DataFrame) -> DataFrame:
-    """(column, type) of every column."""
-    pairs = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
-    return rows.sparkSession.createDataFrame(pairs, "column string, type string")
+    """(column, type, present) of every column; ``present`` counts its values in one pass."""
+    counted = rows.agg(*[F.count_if(~_missing(f)).alias(f.name) for f in rows.schema.fields])
+    lines = F.array(*[F.struct(
+        F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+        F.col(f"`{f.name}`").alias("present")) for f in rows.schema.fields])
+    return counted.select(F.inline(lines))
 
 
 def cast_dates(rows: DataFrame, columns: tuple[str, ...] = DATES) -> DataFrame:

@@ -183,6 +183,8 @@ def _foundation() -> dict[str, str]:
      WHEN c >= 100000 THEN 'Rs.' || printf('%.1f', {hu('c', 10**5, 1)}) || 'K'
      ELSE 'Rs.' || printf('%.0f', {hu('c', 100, 0)}) END"""
     six = f"{hu('p * 100', 's', 6)} * 1000000"
+    copies = f"c AS (SELECT {RAW_COLUMNS} FROM sales UNION ALL SELECT {RAW_COLUMNS} FROM sales WHERE " \
+             "quantity % 7 = 0)"
     return {
         "src_raw_csv": raw, "src_clean_csv": clean, "src_clean_text_dates": clean,
         "snk_clean": clean, "snk_sales_table": clean, "flat_sales": clean,
@@ -199,12 +201,14 @@ def _foundation() -> dict[str, str]:
         "dq_null_counts": _with(" UNION ALL ".join(
             f"SELECT '{n}' AS \"column\", COUNT(*) - COUNT({n if n != 'profit_margin' else 'margin_c'}) "
             "AS nulls FROM sales" for n in names)),
-        "dq_duplicate_count":
-            "SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber "
-            "FROM lineitem)) AS duplicate_rows FROM lineitem",
-        "clean_dedup": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+        "dq_duplicate_count": _with(
+            "SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM c)) AS duplicate_rows FROM c",
+            copies),
+        "clean_dedup": _with("SELECT DISTINCT * FROM c", copies),
         "dq_dtypes": _with(" UNION ALL ".join(
-            f"SELECT '{n}' AS \"column\", {kinds.format(n)} AS type FROM t" for n in names),
+            f"SELECT '{n}' AS \"column\", {kinds.format(n)} AS type, "
+            f"(SELECT COUNT({n if n != 'profit_margin' else 'margin_c'}) FROM sales) AS present FROM t"
+            for n in names),
             f"t AS (SELECT {typed} FROM sales)"),
         "clean_cast_dates": _with(
             f"SELECT order_id, {_DATE}, CAST(ship_date AS VARCHAR) AS ship_date, "
@@ -417,13 +421,10 @@ def _exploratory() -> dict[str, str]:
             "SELECT ship_mode, COUNT(*) AS orders FROM sales GROUP BY ship_mode"),
         "eda08_segment_revenue": total("segment"),
         "eda09_quarter_year_heatmap": _with(
-            "SELECT order_quarter, " + ", ".join(
-                f"{amt(f'SUM(sales_c) FILTER (order_year = {y})')} AS \"{y}\"" for y in R.YEARS)
-            + " FROM sales GROUP BY order_quarter"),
+            f"SELECT order_quarter, CAST(order_year AS VARCHAR) AS order_year, {amt(S)} AS sales "
+            "FROM sales GROUP BY order_quarter, sales.order_year"),
         "eda10_year_category": _with(
-            "SELECT order_year, " + ", ".join(
-                f"{amt(f'''SUM(sales_c) FILTER (category = '{c}')''')} AS \"{c}\""
-                for c in R.CATEGORIES) + " FROM sales GROUP BY order_year"),
+            f"SELECT order_year, category, {amt(S)} AS sales FROM sales GROUP BY order_year, category"),
         "eda11_correlation_matrix": _with(cells, VALUED, f"x AS (SELECT {values} FROM valued)"),
         "eda12_overall_kpis": _with(
             f"SELECT {amt0(S)} AS total_revenue, {amt0(P)} AS total_profit, {pct1(P, S)} AS "
@@ -586,12 +587,13 @@ def _answers() -> dict[str, str]:
 # ---- question texts --------------------------------------------------------
 
 def _questions() -> dict[str, str]:
-    listed = ", ".join(f"'{q}'" for q in R.ASKED)
-    asked = f"WITH t AS (SELECT event_id AS id, [{listed}][event_id % {len(R.ASKED)} + 1] AS text " \
-            "FROM events)"
     texts = ("WITH t AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL "
              "SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, text "
              "FROM conversations)")
+    asked = texts[:-1] + (
+        " UNION ALL SELECT 'q' || CAST(c_custkey AS VARCHAR) AS id, 'Top ' || CAST(c_custkey AS VARCHAR) "
+        "|| ' customers of ' || c_mktsegment || ' by profit in ' || CAST(2000 + c_nationkey AS VARCHAR) "
+        "|| ' and 2024' AS text FROM customer)")
     points = ", ".join(
         "(" + " + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in words)
         + f") AS s{i}" for i, words in enumerate(TOPICS.values()))
@@ -650,14 +652,39 @@ def _star() -> dict[str, str]:
         return _with(f"SELECT year_month, rev AS total_revenue, {expression} AS {name} FROM b",
                      days, months)
 
+    looks = f"""total_revenue, {amt("SUM(s) OVER (PARTITION BY region, y ORDER BY m)")} AS revenue_ytd,
+        prev_year AS revenue_prev_year, prev_month AS revenue_prev_month,
+        {amt("SUM(s) OVER (PARTITION BY region ORDER BY y * 12 + m RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)")}
+        AS rolling_3m, {change("prev_year")} AS revenue_yoy, {change("prev_month")} AS revenue_mom"""
+    line_columns = "CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, year_month"
+
+    def regional(where: str) -> str:
+        """The month lines of each region, as ``months`` has them of all orders."""
+        return f"""gm AS (SELECT region, m.* FROM (SELECT DISTINCT region FROM sales {where}) CROSS JOIN m),
+      gr AS (SELECT gm.*, s, CAST(s AS DOUBLE) / 100 AS rev FROM gm LEFT JOIN
+        (SELECT region, order_year, order_month, {S} AS s FROM sales {where} GROUP BY ALL) f
+        ON f.region = gm.region AND order_year = y AND order_month = m),
+      gb AS (SELECT gr.*, py.rev AS prev_year, pm.rev AS prev_month FROM gr
+        LEFT JOIN gr py ON py.region = gr.region AND py.y = gr.y - 1 AND py.m = gr.m
+        LEFT JOIN gr pm ON pm.region = gr.region AND pm.y * 12 + pm.m = gr.y * 12 + gr.m - 1)"""
+
+    def time_lines(where: str) -> str:
+        return _with(f"SELECT year, month, year_month, {looks_names} FROM (SELECT {line_columns}, {looks} FROM "
+                     f"(SELECT *, rev AS total_revenue, 0 AS region FROM b)) {where}", days, months)
+
+    looks_names = ("total_revenue, revenue_ytd, revenue_prev_year, revenue_prev_month, rolling_3m, "
+                   "revenue_yoy, revenue_mom")
+    sliced = f"WHERE order_year = {R.YEAR} AND region = '{R.REGION}' AND category = '{R.CATEGORY}'"
+    paged = f"WHERE order_year = {R.YEAR} AND category = '{R.CATEGORY}'"
+
     def by(keys: str, columns: str, tail: str = "", where: str = "") -> str:
         return _with(f"SELECT {keys}, {columns} FROM sales {where} GROUP BY {keys} {tail}")
 
-    def ranked(key: str, name: str) -> str:
+    def ranked(key: str, name: str, where: str = "") -> str:
         return _with(
             f"SELECT {key}, {amt('s')} AS total_revenue, CAST(dense_rank() OVER (ORDER BY s DESC) AS "
             f"{'INTEGER' if name == 'region_rank' else 'BIGINT'}) AS {name} FROM "
-            f"(SELECT {key}, {S} AS s FROM sales GROUP BY {key})")
+            f"(SELECT {key}, {S} AS s FROM sales {where} GROUP BY {key})")
 
     def top(key: str, n: int) -> str:
         return _with(
@@ -716,6 +743,22 @@ def _star() -> dict[str, str]:
         "m_customer_rank": ranked("customer_name", "customer_rank"),
         "m_product_rank": ranked("product_name", "product_rank"),
         "m_region_rank": ranked("region", "region_rank"),
+        "m_time_year": time_lines(f"WHERE year = {R.YEAR}"),
+        "m_time_month": time_lines(f"WHERE month = {R.MONTH}"),
+        "m_time_by_region": _with(
+            f"SELECT region, {line_columns}, {looks} FROM (SELECT *, rev AS total_revenue FROM gb)",
+            days, months, regional(f"WHERE category = '{R.CATEGORY}'")),
+        "m_customer_rank_slice": ranked("customer_name", "customer_rank", sliced),
+        "m_product_rank_slice": ranked("product_name", "product_rank", sliced),
+        "m_region_rank_slice": ranked("region", "region_rank", paged),
+        "m_top20_slice": _with(
+            f"SELECT {amt('SUM(s) FILTER (place <= 20)')} AS top20_revenue, "
+            f"{amt('SUM(s) FILTER (place <= 20)')} / {amt('SUM(s)')} AS top20_contribution FROM "
+            f"(SELECT customer_name, {S} AS s, rank() OVER (ORDER BY {S} DESC) AS place FROM sales "
+            f"{sliced} GROUP BY customer_name)"),
+        "m_segment_revenue_slice": by("region", ", ".join(
+            f"{amt(f'''SUM(sales_c) FILTER (segment = '{s}')''')} AS {n}"
+            for n, s in R.SEGMENTS.items()), where=paged),
         "m_revenue_cr": by("region", f"{amt(S)} / 10000000 AS revenue_cr"),
         "m_profit_l": by("region", f"{amt(P)} / 100000 AS profit_l"),
         "m_profit_margin_label": by(

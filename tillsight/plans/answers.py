@@ -497,6 +497,7 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
     "summary": summary,
 }
 COUNTED = ("top_customers", "top_products", "product_margin")
+MOST_LINES = 2**31 - 1
 
 
 def report(intent: str, sales: DataFrame, **parameters) -> DataFrame:
@@ -515,7 +516,8 @@ def ask(sales: DataFrame, question: str) -> DataFrame:
         .first()
     )
     if read.intent in COUNTED:
-        return report(read.intent, sales, n=read.n)
+        # A report cannot have more lines than an INT counts.
+        return report(read.intent, sales, n=min(read.n, MOST_LINES))
     if read.intent == "yearly_comparison":
         return report(read.intent, sales, year_1=read.y1, year_2=read.y2)
     return report(read.intent, sales)

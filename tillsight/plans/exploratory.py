@@ -80,20 +80,43 @@ def segment_revenue(sales: DataFrame) -> DataFrame:
     return totals_by(sales, "segment").orderBy("segment")
 
 
-def quarter_year_grid(sales: DataFrame, years: list[int]) -> DataFrame:
-    """Quarter by year; a cell without orders is NULL."""
+#: A grid with more columns than this is refused, not cut.
+GRID_COLUMNS = 1_000
+
+
+def _present(sales: DataFrame, column: str) -> list:
+    """The distinct values of a column that becomes the columns of a grid, in order."""
+    found = [r[0] for r in sales.select(column).dropna().distinct().limit(GRID_COLUMNS + 1).collect()]
+    if len(found) > GRID_COLUMNS:
+        raise ValueError(f"{column} has more than {GRID_COLUMNS} values")
+    return sorted(found)
+
+
+def quarter_year_grid(sales: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """Quarter by year; a cell without orders is NULL. Without ``years``: all in the data."""
+    years = _present(sales, "order_year") if years is None else years
     return (
         by(sales.dropna(subset=["order_year"]), "order_quarter")
-        .agg(*[amount(F.sum(F.when(
+        .agg(F.count("*").alias("_n"), *[amount(F.sum(F.when(
             F.col("order_year") == y,
             F.coalesce(F.rint(F.col("sales") * 100).cast("long"), F.lit(0))))
         ).alias(str(y)) for y in years])
-        .orderBy("order_quarter")
+        .drop("_n").orderBy("order_quarter")
     )
 
 
-def year_category_grid(sales: DataFrame, categories: list[str]) -> DataFrame:
-    """Year by category; a cell without orders is NULL."""
+def grid_cells(grid: DataFrame, column: str, value: str) -> DataFrame:
+    """A grid as rows (its first column, column, value); empty cells are left out."""
+    key, *names = grid.columns
+    cells = F.array(*[F.struct(F.lit(n).alias(column), F.col(f"`{n}`").alias(value)) for n in names])
+    if not names:
+        cells = F.array().cast(f"array<struct<{column}:string,{value}:double>>")
+    return grid.select(key, F.inline(cells)).where(F.col(value).isNotNull())
+
+
+def year_category_grid(sales: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """Year by category; a cell without orders is NULL. Without ``categories``: all in the data."""
+    categories = _present(sales, "category") if categories is None else categories
     cells = totals_by(sales, "order_year", "category")
     return cells.groupBy("order_year").pivot("category", categories).sum("sales") \
         .orderBy("order_year")

@@ -18,10 +18,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import bands
-from ..functions.exact import sum_units, units
+from ..functions.exact import sum_fractions, sum_units, units
 from ..functions.labels import fraction_label
 from ..operators.ranking import dense_ranked, top_with_ties
-from .star import Star
+from ..sources.workspace import written
+from .star import FESTIVE_QUARTER, Star
 
 # dimension: (foreign key, attributes usable in ``by`` and ``where``)
 DIMENSIONS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -53,7 +54,7 @@ _SUMS: dict[str, Callable[[], Column]] = {
     "_sales": lambda: sum_units("sales"),
     "_profit": lambda: sum_units("profit"),
     "_quantity": lambda: F.sum(F.col("quantity").cast("long")),
-    "_discount": lambda: sum_units("discount"),
+    "_discount": lambda: sum_fractions("discount"),
     "_discounts": lambda: F.count("discount"),
 }
 
@@ -80,7 +81,7 @@ MEASURES: dict[str, _Measure] = {
     "profit_margin": (("_sales", "_profit"), (),
                       lambda: _divide(F.col("_profit"), F.col("_sales"))),
     "avg_discount": (("_discount", "_discounts"), (),
-                     lambda: F.try_divide(_money("_discount"),
+                     lambda: F.try_divide(F.col("_discount").cast("double"),
                                           F.col("_discounts").cast("double"))),
     "revenue_cr": (("_sales",), (), lambda: _divide(_money("_sales"), F.lit(CRORE))),
     "profit_l": (("_profit",), (), lambda: _divide(_money("_profit"), F.lit(LAKH))),
@@ -207,9 +208,10 @@ def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
 
 
 def segment_revenue(star: Star, by: Sequence[str] = (),
-                    segments: Mapping[str, str] = SEGMENTS) -> DataFrame:
+                    segments: Mapping[str, str] = SEGMENTS,
+                    where: Where | None = None) -> DataFrame:
     """Revenue of each named segment side by side; NULL where it has none."""
-    lines = _reduced(star, {"_sales": _SUMS["_sales"]()}, [*by, "segment"], {})
+    lines = _reduced(star, {"_sales": _SUMS["_sales"]()}, [*by, "segment"], where or {})
     return lines.groupBy(*by).agg(*[
         (F.sum(F.when(F.col("segment") == s, F.col("_sales"))) / 100).alias(name)
         for name, s in segments.items()])
@@ -217,21 +219,46 @@ def segment_revenue(star: Star, by: Sequence[str] = (),
 
 # ---- time ------------------------------------------------------------------
 
-def monthly_revenue(star: Star, where: Where | None = None) -> DataFrame:
-    """Revenue of every calendar month; a month without orders has NULL.
+#: Attributes of the month spine. A filter on one picks lines; it does not hide the months
+#: that a line looks back on.
+_MONTHLY = ("year", "quarter", "quarter_name", "month", "month_name", "month_short", "year_month",
+            "is_festive_q")
 
-    The month spine comes from the gap-free date table, so the line before is
-    the month before.
-    """
-    months = star.dim_date.select("year", "month", "year_month").distinct()
-    found = evaluate(star, ["total_revenue"], by=["year", "month"], where=where)
-    return months.join(found, ["year", "month"], "left")
 
+def monthly_revenue(star: Star, where: Where | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Revenue of every calendar month for every combination of ``by``; a month
+    without orders has NULL.
 
-def time_measures(star: Star, where: Where | None = None) -> DataFrame:
-    """All revenue-over-time measures per calendar month."""
-    line = W.orderBy("year", "month")
-    so_far = W.partitionBy("year").orderBy("month").rowsBetween(
+    The months are those from the first to the last of the gap-free date table, so
+    the line before is the month before.
+    """
+    found = evaluate(star, ["total_revenue"], by=[*by, "year", "month"], where=where)
+    span = star.dim_date.agg(F.min("date").alias("_from"), F.max("date").alias("_to"))
+    groups = span
+    if by:
+        # The two ends are one row, so this adds two columns.
+        ends = {c: span.select(c).scalar() for c in ("_from", "_to")}
+        groups = evaluate(star, ["total_revenue"], by=by, where=where).select(*by).withColumns(ends)
+    first = F.explode(F.sequence(F.trunc("_from", "month"), F.col("_to"), F.expr("interval 1 month")))
+    months = groups.where("_from IS NOT NULL").select(*by, first.alias("_first")).select(
+        *by, F.year("_first").alias("year"), F.month("_first").alias("month"),
+        F.date_format("_first", "yyyy-MM").alias("year_month"))
+    return _beside(months, found, [*by, "year", "month"])
+
+
+def time_measures(star: Star, where: Where | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """All revenue-over-time measures per calendar month, and per combination of ``by``.
+
+    Filters on attributes of a month pick the lines that are shown, after every
+    measure has looked back over all months; other filters apply to the orders.
+    """
+    where = dict(where or {})
+    wanted = {k: where.pop(k) for k in list(where) if k in _MONTHLY}
+    beyond = [k for k in where if k in DIMENSIONS["dim_date"][1]]
+    if beyond:
+        raise ValueError(f"finer than a month: {beyond}")
+    line = W.partitionBy(*by).orderBy("year", "month")
+    so_far = W.partitionBy(*by, "year").orderBy("month").rowsBetween(
         W.unboundedPreceding, W.currentRow)
     now, zero = F.col("total_revenue"), F.lit(0.0)
 
@@ -242,52 +269,65 @@ def time_measures(star: Star, where: Where | None = None) -> DataFrame:
         return total / 100
 
     cents = units("total_revenue")
-    lagged = monthly_revenue(star, where).withColumns({
+    lagged = monthly_revenue(star, where, by).withColumns({
         "revenue_ytd": exact(F.sum(cents).over(so_far)),
         "revenue_prev_year": F.lag("total_revenue", 12).over(line),
         "revenue_prev_month": F.lag("total_revenue", 1).over(line),
         "rolling_3m": exact(F.sum(cents).over(line.rowsBetween(-2, W.currentRow))),
     })
-    return lagged.withColumns({
+    measured = lagged.withColumns({
         "revenue_yoy": change(F.col("revenue_prev_year")),
         "revenue_mom": change(F.col("revenue_prev_month")),
-    }).orderBy("year", "month")
+    })
+    if wanted:
+        first = F.make_date("year", "month", F.lit(1))
+        known = {"quarter": F.quarter(first), "month_name": F.date_format(first, "MMMM"),
+                 "quarter_name": F.concat(F.lit("Q"), F.quarter(first).cast("string")),
+                 "month_short": F.date_format(first, "MMM"),
+                 "is_festive_q": F.quarter(first) == FESTIVE_QUARTER}
+        shown = measured.columns
+        measured = measured.withColumns({k: v for k, v in known.items() if k in wanted}).where(
+            _condition(wanted)).select(*shown)
+    return measured.orderBy(*by, "year", "month")
 
 
 # ---- ranks and top customers -----------------------------------------------
 
 def revenue_rank(star: Star, attribute: str, into: str,
-                 extra: Sequence[str] = ()) -> DataFrame:
-    """Dense rank by revenue among all values of one attribute."""
-    totals = evaluate(star, ["total_revenue", *extra], by=[attribute])
+                 extra: Sequence[str] = (), where: Where | None = None) -> DataFrame:
+    """Dense rank by revenue among all values of one attribute, under the filter."""
+    totals = evaluate(star, ["total_revenue", *extra], by=[attribute], where=where)
     return dense_ranked(totals, "total_revenue", into=into)
 
 
-def customer_rank(star: Star) -> DataFrame:
-    return revenue_rank(star, "customer_name", "customer_rank")
+def customer_rank(star: Star, where: Where | None = None) -> DataFrame:
+    return revenue_rank(star, "customer_name", "customer_rank", where=where)
 
 
-def product_rank(star: Star) -> DataFrame:
-    return revenue_rank(star, "product_name", "product_rank")
+def product_rank(star: Star, where: Where | None = None) -> DataFrame:
+    return revenue_rank(star, "product_name", "product_rank", where=where)
 
 
-def region_rank(star: Star) -> DataFrame:
+def region_rank(star: Star, where: Where | None = None) -> DataFrame:
     # Regions are report lines: a plain window over a handful of rows.
-    return evaluate(star, ["total_revenue"], by=["region"]).withColumn(
+    return evaluate(star, ["total_revenue"], by=["region"], where=where).withColumn(
         "region_rank", F.dense_rank().over(W.orderBy(F.desc("total_revenue"))))
 
 
-def top_by_revenue(star: Star, attribute: str, n: int) -> DataFrame:
+def top_by_revenue(star: Star, attribute: str, n: int, where: Where | None = None) -> DataFrame:
     """The n best values of an attribute by revenue; ties at the end are kept."""
-    return top_with_ties(evaluate(star, ["total_revenue"], by=[attribute]),
+    return top_with_ties(evaluate(star, ["total_revenue"], by=[attribute], where=where),
                          "total_revenue", n, attribute)
 
 
-def top_customer_share(star: Star, n: int = TOP_CUSTOMERS) -> DataFrame:
-    """Revenue of the n best customer names and its share of all revenue."""
-    totals = evaluate(star, ["total_revenue"], by=["customer_name"])
+def top_customer_share(star: Star, n: int = TOP_CUSTOMERS, where: Where | None = None) -> DataFrame:
+    """Revenue of the n best customer names and its share of all revenue.
+
+    The totals by name hold every order, so they are written once and read for both.
+    """
+    totals = written(evaluate(star, ["total_revenue"], by=["customer_name"], where=where), "totals")
     best = top_with_ties(totals, "total_revenue", n)
-    everything = evaluate(star, ["total_revenue"]).scalar()
+    everything = totals.agg(F.sum(units("total_revenue")) / 100).scalar()
     return (
         best.agg((F.sum(units("total_revenue")) / 100).alias("top20_revenue"))
         .withColumn("top20_contribution", _divide(F.col("top20_revenue"), everything))

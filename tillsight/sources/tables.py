@@ -94,12 +94,13 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def questions(spark: SparkSession, folder: str, asked: list[str]) -> DataFrame:
-    """(id, text): one question per event, chosen from a list by event number."""
-    picked = F.element_at(F.array(*[F.lit(q) for q in asked]),
-                          (F.col("event_id") % len(asked) + 1).cast("int"))
-    return table(spark, folder, "events").select(
-        F.col("event_id").alias("id"), picked.alias("text"))
+def questions(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, text): a question from the number, segment and nation of every customer."""
+    number, nation = F.col("c_custkey").cast("string"), (2000 + F.col("c_nationkey")).cast("string")
+    text = F.concat(F.lit("Top "), number, F.lit(" customers of "), F.col("c_mktsegment"),
+                    F.lit(" by profit in "), nation, F.lit(" and 2024"))
+    return table(spark, folder, "customer").select(
+        F.concat(F.lit("q"), number).alias("id"), text.alias("text"))
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
