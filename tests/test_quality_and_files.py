@@ -15,7 +15,7 @@ from tillsight.sources.schema import CLEAN, RAW
 def test_shape_and_types(orders):
     frame = orders({}, {})
     assert values(quality.shape(frame)) == [(2, 17)]
-    kinds = dict(values(quality.column_types(frame)))
+    kinds = {r.column: r.type for r in quality.column_types(frame).collect()}
     assert (kinds["order_date"], kinds["quantity"], kinds["sales"]) == ("date", "int", "double")
     assert quality.sample_rows(orders(*[{}] * 8)).count() == 5
 
@@ -121,3 +121,41 @@ def test_shared_folder_comes_from_the_session(spark):
     frame = workspace.written(spark.range(5).withColumn("x", F.col("id") * 2), "r")
     assert sorted(values(frame)) == [(i, 2 * i) for i in range(5)]
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in frame.inputFiles())
+
+
+def test_csv_columns_go_by_name(spark, orders):
+    frame = orders({"city": "Delhi", "region": "North"}, {"city": None})
+    swapped = [*reversed(frame.columns), "remark"]
+    path = workspace.new_path(spark, "csv")
+    files.write_csv(frame.withColumn("remark", F.lit("x,y")).select(*swapped), path)
+    back = files.read_raw_csv(spark, path)
+    assert back.columns == RAW.fieldNames()
+    assert sorted(map(str, values(back))) == sorted(map(str, values(frame)))
+    files.write_csv(frame.drop("city"), path)
+    with pytest.raises(ValueError, match="city"):
+        files.read_raw_csv(spark, path)
+
+
+def test_types_count_what_is_present(orders):
+    found = {r.column: r.present for r in quality.column_types(orders({"sales": math.nan}, {"city": None}, {})).collect()}
+    assert (found["sales"], found["city"], found["region"]) == (2, 2, 3)
+
+
+def test_clean_table_by_year_and_date(spark, orders):
+    """Each year lies in few files, and a report on one year reads its folder only."""
+    frame = features.with_features(orders(*({"order_date": dt.date(2019 + i % 5, 1 + i % 12, 1)}
+                                            for i in range(60))))
+    path = workspace.new_path(spark, "clean")
+    files.write_clean(frame.repartition(8), path)
+    back = files.read_clean(spark, path)
+    assert back.count() == 60
+    one = back.where("order_year = 2021").select(F.input_file_name().alias("f")).distinct().count()
+    assert one <= 3 < back.select(F.input_file_name().alias("f")).distinct().count()
+
+
+def test_what_a_run_wrote_can_be_removed(spark):
+    path = f"{workspace.shared_folder(spark)}/tillsight/other-application/kept"
+    spark.range(3).write.parquet(path)
+    frame = workspace.written(spark.range(3), "gone")
+    assert frame.count() == 3 and workspace.run_folder(spark) in frame.inputFiles()[0]
+    assert spark.read.parquet(path).count() == 3

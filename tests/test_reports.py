@@ -256,3 +256,18 @@ def test_every_topic_has_a_report(prepared):
     frame = prepared(*[on(f"202{y}-01-01") for y in (2, 4)])
     for topic in answers.REPORTS:
         assert answers.report(topic, frame).count() >= 1, topic
+
+
+def test_grids_hold_every_year_and_category(prepared):
+    frame = prepared({"order_date": dt.date(1971, 1, 5), "category": "Odd, new"}, {"category": None}, {})
+    grid = exploratory.quarter_year_grid(frame)
+    assert grid.columns == ["order_quarter", "1971", "2022"]
+    cells = exploratory.grid_cells(exploratory.year_category_grid(frame), "category", "sales")
+    assert sorted(values(cells)) == [(1971, "Odd, new", 100.0), (2022, "Books", 100.0)]
+    assert exploratory.grid_cells(exploratory.quarter_year_grid(frame.where("false")), "order_year", "sales").count() == 0
+
+
+@pytest.mark.parametrize("count", ["9999999999", "99999999999999999999999"])
+def test_ask_for_very_many(prepared, count):
+    frame = prepared({}, {"product_name": "Other"})
+    assert answers.ask(frame, f"top {count} best product").count() == 2

@@ -178,3 +178,43 @@ def test_top_keeps_ties(spark):
                                   "k string, v double")
     assert [r.k for r in ranking.top_with_ties(frame, "v", 2, "k").collect()] == ["a", "b", "c"]
     assert [r.k for r in ranking.top_with_ties(frame, "v", 9, "k").collect()] == ["a", "b", "c", "d"]
+
+
+def test_a_date_filter_does_not_hide_earlier_months(small):
+    """Every measure looks back over all months; the filter picks the lines."""
+    everything = {r.year_month: r for r in measures.time_measures(small).collect()}
+    some = {r.year_month: r for r in measures.time_measures(small, {"year": 2023}).collect()}
+    assert set(some) == {m for m in everything if m.startswith("2023")}
+    assert all(some[m] == everything[m] for m in some) and some["2023-01"].revenue_prev_year == 150.0
+    march = measures.time_measures(small, {"month": [3]}).collect()
+    assert [r.year_month for r in march] == ["2022-03"] and march[0] == everything["2022-03"]
+    with pytest.raises(ValueError, match="finer"):
+        measures.time_measures(small, {"day": 1})
+
+
+def test_time_by_region(small):
+    for region in ("North", "West"):
+        alone = measures.time_measures(small, {"region": region}).collect()
+        among = [r for r in measures.time_measures(small, by=["region"]).collect() if r.region == region]
+        assert [tuple(r)[1:] for r in among] == [tuple(r) for r in alone]
+
+
+def test_ranks_and_shares_follow_the_filter(small):
+    where = {"year": 2022, "region": "West"}
+    assert [r.customer_rank for r in measures.customer_rank(small, where).collect()] == [1]
+    assert measures.top_customer_share(small, 1, where).first().top20_contribution == 1.0
+    assert values(measures.region_rank(small, where)) == [("West", 300.0, 1)]
+    assert measures.segment_revenue(small, where=where).first().revenue_corporate == 300.0
+
+
+def test_discounts_keep_their_decimals(orders, spark):
+    from tillsight.plans.measures import _SUMS
+    frame = orders({"discount": 0.125}, {"discount": 0.125})
+    assert float(frame.agg(_SUMS["_discount"]().alias("d")).first().d) == 0.25
+
+
+def test_money_with_more_decimals_is_refused(orders):
+    from tillsight.functions.exact import sum_units
+    assert orders({"sales": 0.29}, {"sales": 1e11 + 0.01}).agg(sum_units("sales").alias("u")).first().u == 10**13 + 30
+    with pytest.raises(Exception, match="hundredths"):
+        orders({"sales": 1.005}).agg(sum_units("sales")).collect()
