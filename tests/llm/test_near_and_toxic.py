@@ -107,7 +107,7 @@ def test_far_rows_of_a_large_node_meet(spark):
     before = jaccard_join.LEAF
     try:
         jaccard_join.LEAF = 8
-        edges = jaccard_join._too_large(node, sketches, 40)
+        edges = jaccard_join._around_centres(jaccard_join._judged(node.join(sketches, "key"), 40), 40)
         labels = components.components(edges).collect()
     finally:
         jaccard_join.LEAF = before
@@ -148,7 +148,8 @@ def test_recall_of_runs():
         ours, theirs = ({*zip(w.tolist(), n.tolist())} for w, n in (a, b))
         met[[w for w, _ in ours & theirs]] = True
         assert met.mean() == pytest.approx(jaccard_join.run_recall(depth), abs=0.05)
-    assert 1 - (1 - jaccard_join.run_recall(4)) ** jaccard_join.runs_for(0.999) >= 0.999
+    missed = 1 - jaccard_join.run_recall(jaccard_join.DEPTH)
+    assert 1 - missed ** jaccard_join.runs_for(0.999) >= 0.999
 
 
 @settings(max_examples=100, deadline=None)

@@ -18,9 +18,11 @@ counts once however many leaves it was in. Components beyond ``BLOCK`` sets or
 tasks return numbers of links and spanning forests, and the components of those
 are the final classes.
 
-A node still too large after the last split holds sets that share several sampled
-tokens, typically one passage's near copies. All its sets are compared with one of
-them; those that are not alike are compared with all others in blocks.
+The sets of a larger node are first compared with one of them. Where at most
+``LEAF`` are not alike to it, as among the near copies of one text, the others form
+one component already and only those few are compared with all, in blocks; the node
+is not split. The same is done, with more blocks, where a node is too large after the
+last split.
 
 Defined results: null and empty texts, and texts without words, have the empty
 set; they are copies of each other. Rows with null or equal ``doc_id`` are documents
@@ -42,11 +44,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.workspace import new_path, written
-from .components import components
+from .components import components, forest, stars
 from .shingles import mix, shingle_sets
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
-SKETCH, LEAF, DEPTH = 64, 1_000, 4
+SKETCH, LEAF, DEPTH = 64, 1_000, 3
 #: Standard deviations of the sketch's estimate below the threshold that still count.
 MARGIN = 4.0
 #: Sets and shingles of a component, or of two blocks of one, that one task compares.
@@ -146,7 +148,10 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _split(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
-    """(node, key) of the nodes below; rows (key, sketch) are at the roots of all runs."""
+    """(node, key, size) of the nodes below that hold two sets at least, written.
+
+    Rows (key, sketch) are at the roots of all runs, rows (node, key, sketch) at their nodes.
+    """
     at_root = "node" not in rows.columns
     roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
     out = pa.schema([("node", pa.int64()), ("key", pa.int64())])
@@ -163,32 +168,9 @@ def _split(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(child.astype(np.int64)), pa.array(keys[row])], schema=out)
 
-    return rows.mapInArrow(split, "node long, key long")
-
-
-def _shared(nodes: DataFrame) -> DataFrame:
-    """(node, key, size) of the nodes with at least two sets, written."""
+    nodes = written(rows.mapInArrow(split, "node long, key long"), "nodes")
     sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    return written(nodes.join(sizes, "node"), "nodes")
-
-
-def forest(size: int, pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Pairs that join what all pairs join: a spanning forest."""
-    parent = list(range(size))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    kept = []
-    for i, j in pairs:
-        a, b = root(i), root(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append((i, j))
-    return kept
+    return written(nodes.join(sizes, "node"), "shared-nodes")
 
 
 def alike(tokens: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -261,53 +243,62 @@ def _compared(groups: DataFrame, least: int) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def _too_large(rows: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
-    """Edges of nodes (node, key, size) that no split made small."""
-    centres = rows.groupBy("node").agg(F.min("key").alias("centre"))
-    centres = written(centres.join(sketches.select(F.col("key").alias("centre"), F.col("sketch").alias("middle")),
-                                   "centre"), "centres")
-    with_sketch = written(rows.join(sketches, "key").join(centres, "node"), "large-nodes")
-    schema = pa.schema([("node", pa.int64()), ("key", pa.int64()), ("centre", pa.int64()),
-                        ("size", pa.int64()), ("close", pa.bool_())])
+#: Centres up to so many, each of one node, are broadcast.
+CENTRES = 20_000
+
+
+def _judged(large: DataFrame, least: int) -> DataFrame:
+    """Rows (node, key, size, sketch) of large nodes with the node's centre and whether they
+    are alike to it, and ``far``, how many of the node's are not; written."""
+    large = written(large, "large-nodes")
+    centres = written(large.groupBy("node").agg(F.min(F.struct("key", "sketch")).alias("c")).select(
+        "node", F.col("c.key").alias("centre"), F.col("c.sketch").alias("middle")), "centres")
+    if centres.count() <= CENTRES:
+        centres = F.broadcast(centres)
+    schema = pa.schema([("node", pa.int64()), ("key", pa.int64()), ("size", pa.int64()),
+                        ("sketch", pa.binary()), ("centre", pa.int64()), ("close", pa.bool_())])
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
                 close = (_tokens(batch["sketch"]) == _tokens(batch["middle"])).sum(axis=1) >= least
                 yield pa.RecordBatch.from_arrays(
-                    [batch["node"], batch["key"], batch["centre"], batch["size"], pa.array(close)], schema=schema)
+                    [*(batch[n] for n in schema.names[:5]), pa.array(close)], schema=schema)
+
+    judged = written(large.join(centres, "node").select(*schema.names[:5], "middle").mapInArrow(
+        judge, "node long, key long, size long, sketch binary, centre long, close boolean"), "judged")
+    far = written(judged.groupBy("node").agg(F.count_if(~F.col("close")).alias("far")), "far")
+    if far.count() <= CENTRES:
+        far = F.broadcast(far)
+    return written(judged.join(far, "node"), "judged")
+
 
-    judged = written(with_sketch.select("node", "key", "centre", "size", "sketch", "middle").mapInArrow(
-        judge, "node long, key long, centre long, size long, close boolean"), "judged")
+def _around_centres(judged: DataFrame, least: int) -> DataFrame:
+    """Edges of whole nodes: each close set with the centre, each far one with all in blocks."""
     near = judged.where("close AND key <> centre").select(
         F.col("centre").alias("a"), F.col("key").alias("b"))
-    far = judged.where("NOT close").withColumn("far", F.lit(True))
-    if far.isEmpty():
+    dealt = judged.where("far > 0").withColumns({
+        "blocks": F.ceil(F.col("size") / LEAF), "far_blocks": F.ceil(F.col("far") / LEAF)})
+    if dealt.isEmpty():
         return near
-    # The far ones against all others: blocks of far rows, each with each block of the node.
-    blocks = far.groupBy("node").agg(F.ceil(F.count("*") / LEAF).alias("far_blocks"))
-    dealt = judged.join(blocks, "node").withColumn("blocks", F.ceil(F.col("size") / LEAF))
-    mine = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    other = dealt.where("close").select(
-        "node", "key", F.lit(1).alias("side"), mine.alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("far_blocks") - 1)).alias("far_block"))
-    own = F.pmod(F.xxhash64("key"), F.col("far_blocks"))
-    rest = dealt.where("NOT close").select(
-        "node", "key", F.lit(0).alias("side"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        own.alias("far_block"))
-    # Far rows of different far blocks meet as well.
-    rest_other = dealt.where("NOT close").withColumn("own", own).select(
-        "node", "key", F.lit(1).alias("side"), F.lit(-1).cast("long").alias("block"), "own",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("far_blocks") - 1)).alias("far_block")).where(
-        "own > far_block").select("node", "key", "side", (-1 - F.col("own")).alias("block"), "far_block")
-    rest_own = dealt.where("NOT close").withColumn("far_block", own).select(
-        "node", "key", F.lit(0).alias("side"), "far_block",
-        F.explode(F.expr("sequence(0L, far_blocks - 1)")).alias("next")).where("next > far_block").select(
-        "node", "key", "side", (-1 - F.col("next")).alias("block"), "far_block")
-    groups = (other.unionByName(rest).unionByName(rest_other).unionByName(rest_own)
-              .withColumn("part", F.struct("block", "far_block")).drop("block", "far_block"))
-    return near.unionByName(_compared(groups.join(sketches, "key"), least))
+    dealt = dealt.withColumns({"own": F.pmod(F.xxhash64("key"), F.col("blocks")),
+                               "far_own": F.pmod(F.xxhash64("key"), F.col("far_blocks"))})
+
+    def rows(which: str, side: int, block: str, far_block: str, spread: str | None = None) -> DataFrame:
+        some = dealt if spread is None else dealt.withColumn("at", F.explode(F.expr(spread)))
+        return some.where(which).select(
+            "node", "key", F.lit(side).alias("side"), "sketch",
+            F.struct(F.expr(block).alias("block"), F.expr(far_block).alias("far_block")).alias("part"))
+
+    every = "sequence(0L, far_blocks - 1)"
+    groups = (
+        # Each block of far sets with itself and with each block of close ones.
+        rows("NOT close", 0, "at", "far_own", "sequence(0L, blocks - 1)")
+        .unionByName(rows("close", 1, "own", "at", every))
+        # Two blocks of far sets.
+        .unionByName(rows("NOT close AND at > far_own", 0, "-1 - at", "far_own", every))
+        .unionByName(rows("NOT close AND at < far_own", 1, "-1 - far_own", "at", every)))
+    return near.unionByName(_compared(groups, least))
 
 
 def candidates(sketches: DataFrame, similarity: float, recall: float) -> DataFrame:
@@ -315,22 +306,25 @@ def candidates(sketches: DataFrame, similarity: float, recall: float) -> DataFra
 
     ``sketches`` is a written (key, sketch).
     """
-    least, runs = least_matches(similarity), runs_for(recall)
-    level = _shared(_split(sketches, similarity, runs))
-    small = [level.where(F.col("size") <= LEAF)]
-    for _ in range(1, DEPTH):
-        large = level.where(F.col("size") > LEAF).drop("size")
+    least, runs = least_matches(similarity), runs_for(recall, DEPTH)
+    level = _split(sketches, similarity, runs)
+    leaves, found = level.where(F.col("size") <= LEAF), []
+    for depth in range(1, DEPTH + 1):
+        large = level.where(F.col("size") > LEAF)
         if large.isEmpty():
             break
-        level = _shared(_split(large.join(sketches, "key"), similarity, runs))
-        small.append(level.where(F.col("size") <= LEAF))
-    leaves = small[0]
-    for more in small[1:]:
-        leaves = leaves.unionByName(more)
-    edges = _compared(leaves.select("node", "key", F.lit(0).alias("side"), F.lit(0).alias("part"))
-                      .join(sketches, "key"), least)
-    large = level.where(F.col("size") > LEAF)
-    return edges if large.isEmpty() else edges.unionByName(_too_large(large, sketches, least))
+        judged = _judged(large.join(sketches, "key"), least)
+        last = depth == DEPTH
+        found.append(_around_centres(judged if last else judged.where(F.col("far") <= LEAF), least))
+        if last:
+            break
+        level = _split(judged.where(F.col("far") > LEAF).select("node", "key", "sketch"), similarity, runs)
+        leaves = leaves.unionByName(level.where(F.col("size") <= LEAF))
+    edges = _compared(leaves.join(sketches, "key").select(
+        "node", "key", F.lit(0).alias("side"), F.lit(0).alias("part"), "sketch"), least)
+    for more in found:
+        edges = edges.unionByName(more)
+    return edges
 
 
 # --- exact check ----------------------------------------------------------------
@@ -374,12 +368,16 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similari
 
 
 def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """(a, b, links): spanning edges of the links in each group, and numbers of linked
-    documents as rows without b. members: (group, key, side, copies, text)."""
+    """(key, links, label, other): numbers of linked documents of each set of a group, with the
+    smallest key it is linked to over any path where the group is whole; where it is two
+    blocks of a component, rows with ``other`` span their links.
+
+    members: (group, whole, key, side, copies, text).
+    """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = members.select("group", "key", "side", "copies", "text").repartition(
+    rows = members.select("group", "whole", "key", "side", "copies", "text").repartition(
         parts, "group").sortWithinPartitions("group")
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
+    out = pa.schema([(n, pa.int64()) for n in ("key", "links", "label", "other")])
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "group"):
@@ -397,47 +395,57 @@ def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
                 if right is not left:
                     links[right] += found.T @ many[left]
                 i, j = np.nonzero(found)
-                edges = forest(len(rows), zip(left[i].tolist(), right[j].tolist()))
-                a = [int(own[x]) for x, _ in edges]
-                b = [int(own[y]) for _, y in edges]
+                centre, vertex = stars(np.append(own[left[i]], own), np.append(own[right[j]], own))
+                label = dict(zip(vertex.tolist(), centre.tolist()))
+                whole = table["whole"][start].as_py()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([*own.tolist(), *a], pa.int64()),
-                    pa.array([None] * len(own) + b, pa.int64()),
-                    pa.array([*links.tolist(), *[0] * len(a)], pa.int64())], schema=out)
+                    pa.array(own), pa.array(links),
+                    pa.array([label[k] if whole else None for k in own.tolist()], pa.int64()),
+                    pa.array([None if whole else label[k] for k in own.tolist()], pa.int64())], schema=out)
 
-    return rows.mapInArrow(check, "a long, b long, links long")
+    return rows.mapInArrow(check, "key long, links long, label long, other long")
 
 
 def _blocked(members: DataFrame) -> DataFrame:
-    """(group, key, side) for members (key, label, n): whole components, or pairs of blocks."""
+    """(group, whole, key, side, copies) for members (key, label, n, copies): whole
+    components, or pairs of blocks of one."""
     sizes = members.groupBy("label").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     dealt = members.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
-    return dealt.select("label", "key", "block", other.alias("other")).select(
+    return dealt.select("label", "key", "copies", "block", "blocks", other.alias("other")).select(
         F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
-        "key", F.when(F.col("other") >= F.col("block"), 0).otherwise(1).alias("side"))
-
-
-def classes(table: DataFrame, column: str, similarity: float = SIMILARITY, recall: float = RECALL,
-            shingle: int = SHINGLE) -> DataFrame:
-    """(key, class_id, n_links) of every row of a table of ``sketched``."""
-    rows = table.select(f"{column}.*")
-    sets = written(rows.groupBy("d1", "d2").agg(F.min("key").alias("first"), F.count("*").alias("copies")), "sets")
-    firsts = sets.select(F.col("first").alias("key"), "copies")
-    sketches = written(rows.where("n > 0").select("key", "n", "sketch").join(firsts, "key"), "sketches")
-    found = components(candidates(sketches.select("key", "sketch"), similarity, recall))
-    groups = _blocked(found.withColumnRenamed("v", "key").join(sketches.select("key", "n"), "key"))
+        (F.col("blocks") == 1).alias("whole"), "key", "copies",
+        F.when(F.col("other") >= F.col("block"), 0).otherwise(1).alias("side"))
+
+
+def classes(table: DataFrame, column: str, *carried: str, similarity: float = SIMILARITY,
+            recall: float = RECALL, shingle: int = SHINGLE) -> DataFrame:
+    """(key, class_id, n_links) and the carried columns of every row of a table of ``sketched``."""
+    rows = table.select(f"{column}.*", *carried)
+    # One row a set: its first document, how many have it, and the sketch they share.
+    sets = written(rows.groupBy("d1", "d2").agg(
+        F.min("key").alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
+        F.first("sketch").alias("sketch")), "sets")
+    sketches = sets.where("n > 0").select(F.col("first").alias("key"), "sketch")
+    found = components(candidates(sketches, similarity, recall))
+    members = found.withColumnRenamed("v", "key").join(
+        sets.select(F.col("first").alias("key"), "n", "copies"), "key")
     texts = table.select(F.col(f"{column}.key").alias("key"), "text")
-    members = groups.join(firsts, "key").join(texts, "key")
-    checked = written(_checked(members, similarity, shingle), "links")
-    links = checked.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-    labels = components(checked.where("b IS NOT NULL").select("a", "b"))
-    judged = (sets.join(links, F.col("first") == F.col("a"), "left").drop("a")
-              .join(labels, F.col("first") == F.col("v"), "left")
-              .select("d1", "d2", F.coalesce("label", "first").alias("class_id"),
-                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return rows.select("key", "d1", "d2").join(judged, ["d1", "d2"]).select("key", "class_id", "n_links")
+    checked = written(_checked(_blocked(written(members, "members")).join(texts, "key"),
+                               similarity, shingle), "links")
+    links = checked.groupBy(F.col("key").alias("first")).agg(
+        F.sum("links").alias("links"), F.min("label").alias("label"))
+    across = checked.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b"))
+    if not across.isEmpty():
+        labels = components(across).withColumnRenamed("label", "joined")
+        links = links.join(labels, F.col("first") == F.col("v"), "left").withColumn(
+            "label", F.coalesce("joined", "label"))
+    judged = sets.select("d1", "d2", "first", "copies").join(links, "first", "left").select(
+        "d1", "d2", F.coalesce("label", "first").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return rows.select("key", "d1", "d2", *carried).join(judged, ["d1", "d2"]).select(
+        "key", "class_id", "n_links", *carried)
 
 
 def _free_name(docs: DataFrame) -> str:
@@ -451,16 +459,15 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     """(doc_id, class_id, n_links) of every document; class ids are any numbers."""
     column = _free_name(docs)
     table = sketched(docs.select(F.col("doc_id").cast("long"), "text"), column)
-    found = classes(table, column, similarity, recall)
-    return table.select("doc_id", F.col(f"{column}.key").alias("key")).join(found, "key").drop("key")
+    return classes(table, column, "doc_id", similarity=similarity, recall=recall).drop("key")
 
 
 def first_of_each(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The document of the smallest ``doc_id`` of every class, unchanged."""
     column = _free_name(docs)
     table = sketched(docs, column)
-    ids = table.select(F.col(f"{column}.key").alias("key"), F.col("doc_id"))
-    kept = classes(table, column, similarity, recall).join(ids, "key").groupBy("class_id").agg(
+    found = classes(table, column, "doc_id", similarity=similarity, recall=recall)
+    kept = found.groupBy("class_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(
         F.col("first.key").alias("_key"))
     return table.join(kept, F.col(f"{column}.key") == F.col("_key"), "left_semi").select(*docs.columns)
