@@ -68,7 +68,7 @@ def components(edges: DataFrame) -> DataFrame:
     the label of that label. Paths halve, so the rounds grow with the logarithm of
     a component's diameter. Each round is written, so a lost executor costs one round.
     """
-    edges = written(_contracted(edges.select("a", "b").where("a <> b")), "edges")
+    edges = written(_contracted(edges.select("a", "b").where("a <> b")).distinct(), "edges")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = written(both.groupBy(F.col("a").alias("v")).agg(
         F.least(F.min("b"), F.col("v")).alias("label")), "labels")

@@ -432,7 +432,8 @@ def classes(table: DataFrame, column: str, *carried: str, similarity: float = SI
     members = found.withColumnRenamed("v", "key").join(
         sets.select(F.col("first").alias("key"), "n", "copies"), "key")
     texts = table.select(F.col(f"{column}.key").alias("key"), "text")
-    checked = written(_checked(_blocked(written(members, "members")).join(texts, "key"),
+    # One plan at every size: the texts meet their keys by a shuffle, never by a broadcast.
+    checked = written(_checked(_blocked(written(members, "members")).join(texts.hint("merge"), "key"),
                                similarity, shingle), "links")
     links = checked.groupBy(F.col("key").alias("first")).agg(
         F.sum("links").alias("links"), F.min("label").alias("label"))
