@@ -14,23 +14,26 @@ from ..sources.workspace import written
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def forest(size: int, pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Pairs that join what all pairs join: a spanning forest."""
-    parent = list(range(size))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    kept = []
-    for i, j in pairs:
-        a, b = root(i), root(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append((i, j))
-    return kept
+def matrix_labels(linked: np.ndarray, left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+    """The smallest vertex that each of 0 to size - 1 reaches; linked: rows of left, columns of right.
+
+    Works on whole rows of the matrix, so dense links cost no list of pairs.
+    """
+    label = np.full(size, -1)
+    for start in range(size):
+        if label[start] >= 0:
+            continue
+        front = np.zeros(size, dtype=bool)
+        front[start] = True
+        while front.any():
+            label[front] = start
+            after = np.zeros(size, dtype=bool)
+            if (rows := front[left]).any():
+                after[right] |= linked[rows].any(axis=0)
+            if (columns := front[right]).any():
+                after[left] |= linked[:, columns].any(axis=1)
+            front = after & (label < 0)
+    return label
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

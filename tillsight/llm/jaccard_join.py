@@ -10,12 +10,12 @@ larger ones are split again, up to ``DEPTH`` times. A pair at the threshold shar
 at least one leaf of a run with a probability that follows from this recursion;
 runs repeat until the target recall.
 
-A leaf compares sketches only, with a margin, and passes on a spanning forest of
+A leaf compares sketches only, with a margin, and passes on edges that span
 its candidate pairs. Their connected components hold every candidate pair; within
 a component all pairs are checked exactly on the shingle sets, once, so a link
 counts once however many leaves it was in. Components beyond ``BLOCK`` sets or
 ``BLOCK_SHINGLES`` shingles are checked in pairs of blocks. No pair leaves a task:
-tasks return numbers of links and spanning forests, and the components of those
+tasks return numbers of links and spanning edges, and the components of those
 are the final classes.
 
 The sets of a larger node are first compared with one of them. Where at most
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.workspace import new_path, written
-from .components import components, forest, stars
+from .components import components, matrix_labels
 from .shingles import mix, shingle_sets
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
@@ -173,15 +173,14 @@ def _split(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
     return written(nodes.join(sizes, "node"), "shared-nodes")
 
 
-def alike(tokens: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Pairs (i of left, j of right), i != j, with so many equal tokens at least."""
+def alike(tokens: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> np.ndarray:
+    """Which sketches of left (rows) and right (columns) have so many equal tokens at least."""
+    if len(left) * len(right) <= 4096:
+        return (tokens[left][:, None, :] == tokens[right][None, :, :]).sum(axis=2) >= least
     same = np.zeros((len(left), len(right)), dtype=np.uint8)
     for place in range(SKETCH):
         same += tokens[left, place][:, None] == tokens[right, place][None, :]
-    i, j = np.nonzero(same >= least)
-    a, b = left[i], right[j]
-    apart = a < b if left is right else a != b
-    return list(zip(a[apart].tolist(), b[apart].tolist()))
+    return same >= least
 
 
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -222,23 +221,19 @@ def _compared(groups: DataFrame, least: int) -> DataFrame:
             tokens = _tokens(table["sketch"].combine_chunks())
             starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
             sizes = np.diff(np.append(starts, len(ids)))
-            edges: list[tuple[int, int]] = []
             two = starts[sizes == 2]
             hits = two[(tokens[two] == tokens[two + 1]).sum(axis=1) >= least]
-            edges += zip(hits.tolist(), (hits + 1).tolist())
+            a, b = [hits], [hits + 1]
             for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                rows = np.arange(size)
-                own, side = tokens[start:start + size], sides[start:start + size]
-                left, right = rows[side == 0], rows[side == 1]
-                pairs = alike(own, left, left, least)
-                if len(right):
-                    pairs += alike(own, left, right, least)
-                edges += [(start + i, start + j) for i, j in forest(size, pairs)]
-            if edges:
-                at = np.array(edges)
-                a, b = keys[at[:, 0]], keys[at[:, 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_EDGES)
+                rows, side = np.arange(size), sides[start:start + size]
+                left = rows[side == 0]
+                label = matrix_labels(alike(tokens[start:start + size], left, rows, least), left, rows, size)
+                joined = np.flatnonzero(label != rows)
+                a.append(start + label[joined])
+                b.append(start + joined)
+            first, second = keys[np.concatenate(a)], keys[np.concatenate(b)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], schema=_EDGES)
 
     return rows.mapInArrow(compare, "a long, b long")
 
@@ -361,10 +356,13 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
     """Which sets of left and right are at least so similar; a set is not linked to itself."""
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
-    common = shared_counts(sets, left, right).astype(np.float64)
-    union = sizes[left][:, None] + sizes[right][None, :] - common
-    found = common >= similarity * union - 1e-9
-    return found & (left[:, None] != right[None, :])
+    common = shared_counts(sets, left, right)
+    found = np.empty(common.shape, dtype=bool)
+    for at in range(0, len(left), 256):
+        some = slice(at, at + 256)
+        union = sizes[left[some], None] + sizes[right][None, :] - common[some]
+        found[some] = (common[some] >= similarity * union - 1e-9) & (left[some, None] != right[None, :])
+    return found
 
 
 def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -391,17 +389,16 @@ def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
                 right = rows[side == 1] if (side == 1).any() else left
                 found = linked(sets, left, right, similarity)
                 links = np.zeros(len(rows), dtype=np.int64)
-                links[left] += found @ many[right]
+                links[left] += [int(many[right][row].sum()) for row in found]
                 if right is not left:
-                    links[right] += found.T @ many[left]
-                i, j = np.nonzero(found)
-                centre, vertex = stars(np.append(own[left[i]], own), np.append(own[right[j]], own))
-                label = dict(zip(vertex.tolist(), centre.tolist()))
-                whole = table["whole"][start].as_py()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(own), pa.array(links),
-                    pa.array([label[k] if whole else None for k in own.tolist()], pa.int64()),
-                    pa.array([None if whole else label[k] for k in own.tolist()], pa.int64())], schema=out)
+                    links[right] += [int(many[left][column].sum()) for column in found.T]
+                label = matrix_labels(found, left, right, len(rows))
+                first = np.full(len(rows), np.iinfo(np.int64).max)
+                np.minimum.at(first, label, own)
+                whole, label = table["whole"][start].as_py(), pa.array(first[label])
+                none = pa.nulls(len(rows), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(links), *((label, none) if whole else (none, label))], schema=out)
 
     return rows.mapInArrow(check, "key long, links long, label long, other long")
 

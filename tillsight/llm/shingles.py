@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32
@@ -29,17 +31,24 @@ def _tables(n: int) -> None:
                 globals()[name] = np.multiply.accumulate(steps)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and how many words each text has.
+#: Bytes hashed at once.
+AT_ONCE = 1 << 20
 
-    Words are runs of digits, letters and characters beyond ASCII, lower-cased (A-Z).
-    """
-    parts = [(t or "").encode().translate(_NORMAL) for t in texts]
+
+def _sections(text: str | None) -> Iterator[bytes]:
+    """The normalised text in parts of about AT_ONCE bytes, cut between words."""
+    raw = (text or "").encode().translate(_NORMAL)
+    start = 0
+    while len(raw) - start > AT_ONCE and (cut := raw.find(b" ", start + AT_ONCE)) > 0:
+        yield raw[start:cut]
+        start = cut
+    yield raw[start:]
+
+
+def _hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer(b" ".join([*parts, b""]), dtype=np.uint8)
     begins = np.cumsum([0] + [len(p) + 1 for p in parts])
     n = len(codes)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     _tables(n)
     blank = codes == 32
     starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
@@ -51,6 +60,35 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, begins))
 
 
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and how many words each text has.
+
+    Words are runs of digits, letters and characters beyond ASCII, lower-cased (A-Z).
+    """
+    counts = np.zeros(len(texts), dtype=np.int64)
+    found, parts, owners, size = [np.zeros(0, np.uint64)], [], [], 0
+
+    def flush() -> None:
+        nonlocal size
+        if parts:
+            hashes, numbers = _hashes(parts)
+            found.append(hashes)
+            np.add.at(counts, owners, numbers)
+        parts.clear()
+        owners.clear()
+        size = 0
+
+    for i, text in enumerate(texts):
+        for part in _sections(text):
+            parts.append(part)
+            owners.append(i)
+            size += len(part)
+            if size >= AT_ONCE:
+                flush()
+    flush()
+    return np.concatenate(found), counts
+
+
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """The sorted set of shingle hashes of each text.
 

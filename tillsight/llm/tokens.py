@@ -28,7 +28,7 @@ KINDS = {
 }
 
 #: Pre-tokens kept by one worker, and characters worked on at once.
-KEPT, AT_ONCE = 800_000, 1 << 20
+KEPT, AT_ONCE = 500_000, 1 << 19
 
 _LETTER, _DIGIT, _OTHER, _BLANK = range(4)
 

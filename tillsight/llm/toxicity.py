@@ -48,7 +48,7 @@ COUNTS = (1, 2, 4)
 BEGINNINGS = range(4, 10)
 #: Of the fit: weight decay, steps and their size.
 DECAY, STEPS, RATE = 2e-5, 400, 0.05
-KEPT = 300_000
+KEPT = 150_000
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32
                 for c in range(256))
