@@ -31,7 +31,8 @@ MARK = "▁"
 #: Flattening of Zipf's law; cost of a byte beyond that of the rarest piece.
 OFFSET, BYTE_COST = 2.7, 10.0
 #: Nodes and counts kept by a worker; pre-tokens beyond so many characters bypass the trie.
-NODES, COUNTS, LONGEST = 400_000, 400_000, 200
+NODES, COUNTS, LONGEST = 1_000_000, 1_000_000, 200
+CHARACTERS = 0x110000
 
 
 class Unigram:
@@ -55,45 +56,50 @@ class Unigram:
         return cls({piece: -math.log(rank + OFFSET) for rank, piece in enumerate(usable, 1)})
 
     def _forget(self) -> None:
-        self.edges: dict[tuple[int, str], int] = {}
-        self.best: list[tuple[float, int]] = [(0.0, 0)]  # score, minus the number of tokens
+        #: Child of a node by a character, under node * CHARACTERS + character.
+        self.edges: dict[int, int] = {}
+        self.scores, self.used = [0.0], [0]
 
-    def _forward(self, word: str, end: int, before) -> tuple[float, int]:
-        """Best (score, -tokens) of the first ``end`` characters; before(k) has those of k."""
-        most = None
+    def _forward(self, word: str, end: int, scores: list[float], used: list[int]) -> tuple[float, int]:
+        """Best score and number of tokens of the first ``end`` characters, from those of fewer."""
+        pieces, most, least = self.pieces, -math.inf, 0
         for start in range(max(0, end - self.longest), end):
-            score = self.pieces.get(word[start:end])
-            if score is not None:
-                so_far = before(start)
-                found = (so_far[0] + score, so_far[1] - 1)
-                if most is None or found > most:
-                    most = found
-        if word[end - 1] not in self.pieces:
-            bytes_ = len(word[end - 1].encode())
-            so_far = before(end - 1)
-            found = (so_far[0] + bytes_ * self.byte, so_far[1] - bytes_)
-            if most is None or found > most:
-                most = found
-        return most
+            piece = word[start:end]
+            if piece in pieces:
+                score = scores[start] + pieces[piece]
+                if score > most or score == most and used[start] + 1 < least:
+                    most, least = score, used[start] + 1
+        if word[end - 1] not in pieces:
+            n = len(word[end - 1].encode())
+            score = scores[end - 1] + n * self.byte
+            if score > most or score == most and used[end - 1] + n < least:
+                most, least = score, used[end - 1] + n
+        return most, least
 
     def count(self, word: str) -> int:
         """Tokens of a pre-token, its mark included."""
+        scores, used = [0.0], [0]  # of the prefixes, along the path
         if len(word) > LONGEST:
-            row = [(0.0, 0)]
             for end in range(1, len(word) + 1):
-                row.append(self._forward(word, end, row.__getitem__))
-            return -row[-1][1]
-        if len(self.best) > self.most:
+                score, tokens = self._forward(word, end, scores, used)
+                scores.append(score)
+                used.append(tokens)
+            return used[-1]
+        if len(self.scores) > self.most:
             self._forget()
-        edges, best, path, node = self.edges, self.best, [0], 0
+        edges, node = self.edges, 0
         for end, char in enumerate(word, 1):
-            child = edges.get((node, char))
+            edge = node * CHARACTERS + ord(char)
+            child = edges.get(edge)
             if child is None:
-                child = edges[node, char] = len(best)
-                best.append(self._forward(word, end, lambda k: best[path[k]]))
-            path.append(child)
+                child = edges[edge] = len(self.scores)
+                score, tokens = self._forward(word, end, scores, used)
+                self.scores.append(score)
+                self.used.append(tokens)
+            scores.append(self.scores[child])
+            used.append(self.used[child])
             node = child
-        return -best[node][1]
+        return used[-1]
 
     def text(self, text: str | None) -> tuple[int, int]:
         """Pre-tokens and tokens of a text."""
