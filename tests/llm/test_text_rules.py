@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import string
@@ -136,6 +137,27 @@ def test_viterbi_is_the_best_split(name):
     assert "".join(model.split(name)) == name
 
 
+def test_rare_and_long_words_are_kept(spark):
+    letters = "bcdfghklmnprstvwz"
+    fill = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=5), 50_100)]
+    long = "antidisestablishmentarianism"
+    urls = [f"http://{w}-casino.net/{k}" for w in ("quixotry", long) for k in range(20)]
+    urls += [f"http://garden.net/{k}" for k in range(12)] + ["http://quixotryquixotry.net/1", f"http://{long}{long}.net/1"]
+    pages = spark.createDataFrame([(i, u, " ".join(fill) + " garden net") for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string")
+    verdicts = [r.verdict for r in url_filters.judge(pages, rules=[]).orderBy("page_id").collect()]
+    assert verdicts == ["block"] * 40 + ["allow"] * 12 + ["block"] * 2
+
+
+def test_names_of_any_length_are_split(spark):
+    words = spark.createDataFrame([("garden", 9), ("antidisestablishmentarianism", 2), ("of", 9)], "word string, n long")
+    names = ["garden" * 2000, "gardenofantidisestablishmentarianism", "é" * 50, "0"]
+    found = {r.name: r.words for r in url_filters.splits(
+        spark.createDataFrame([(n,) for n in names], "name string"), words).collect()}
+    assert found == {names[0]: ["garden"] * 2000, names[1]: ["garden", "of", "antidisestablishmentarianism"],
+                     names[2]: [names[2]], "0": ["0"]}
+
+
 # --- decontamination ----------------------------------------------------------
 
 def _hits(text, items, window=10):

@@ -5,12 +5,16 @@ and the longest fitting rule decides. Other addresses are judged by their words.
 Names like "freecasinobets" are split by Viterbi under a unigram model of words,
 and a multinomial naive Bayes model scores the words of host and path.
 
-Both models come from all pages. The unigram counts are those of the words in the
-pages' text and of names that hyphens already split. The naive Bayes model learns
-from weak labels: an address counts as blocked if a seed word stands alone in its
-host, split by dots, hyphens and digits; what stands next to seeds, and what is
-hidden in concatenated names, follows from the counts. The most frequent ``WORDS``
-words and ``TOKENS`` tokens are kept, which bounds what tasks receive.
+Both models come from all pages, and all their counts are kept. The unigram counts
+are those of the words in the pages' text and of names that hyphens already split.
+The naive Bayes model learns from weak labels: an address counts as blocked if a
+seed word stands alone in its host, split by dots, hyphens and digits; what stands
+next to seeds, and what is hidden in concatenated names, follows from the counts.
+
+Host and path are cut into runs of letters or of digits. Each distinct run is split
+once: its parts that can be words are joined to the word counts, and the words found
+in it to the token counts. Only words of at most ``SHORT`` letters, 18,278 of them,
+are sent to tasks; the other joins move tables that are written before.
 
 Defined results: a null address, or one without "://", has empty host and path, no
 rule and no words, and is judged by the models' prior alone; without pages there
@@ -28,6 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import attach
+from ..sources.workspace import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str, str]
 RULES: list[Rule] = [("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -37,8 +44,8 @@ RULES: list[Rule] = [("allow", "org", "/"), ("block", "example.org", "/es/"),
 SEEDS = ["adult", "ads", "bet", "bets", "betting", "bitcoin", "casino", "clickbait", "crack", "escort",
          "gambling", "jackpot", "keygen", "lottery", "malware", "nude", "payday", "phishing", "pills",
          "poker", "porn", "replica", "sex", "slots", "spam", "torrent", "tracker", "viagra", "warez", "xxx"]
-WORDS, TOKENS, LONGEST = 50_000, 50_000, 20
-KEPT = 200_000
+#: Letters of words that every task gets; candidate parts of runs in one batch; names kept.
+SHORT, BATCH, KEPT = 3, 50_000, 200_000
 
 _SEPARATE = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
@@ -62,28 +69,43 @@ def by_rules(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Col
 
 
 class Words:
-    """Splits names into words by the most likely path."""
+    """Splits names into words by the most likely path; ``total`` is the sum of all counts."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
-        self.scores = {w: math.log(n / total) for w, n in counts.items()}
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = total or sum(counts.values()) or 1
+        self.scores = self._scores(counts)
         # An unknown word: ten of them, a tenth as likely with each further letter.
-        self.unknown = [math.log(10 / total) - n * math.log(10) for n in range(LONGEST + 1)]
+        self.first, self.step = math.log(10 / self.total), math.log(10)
+        self.unknown = [self.first]
         self.known: dict[str, list[str]] = {}
 
-    def split(self, name: str) -> list[str]:
+    def _scores(self, counts: dict[str, int]) -> dict[str, float]:
+        return {w: math.log(n / self.total) for w, n in counts.items()}
+
+    def split(self, name: str, counts: dict[str, int] | None = None) -> list[str]:
+        """The words of a name; ``counts`` are those of further words in it."""
+        if counts:
+            return self._split(name, self.scores | self._scores(counts))
         if name not in self.known:
             if len(self.known) > KEPT:
                 self.known.clear()
-            self.known[name] = self._split(name)
+            self.known[name] = self._split(name, self.scores)
         return self.known[name]
 
-    def _split(self, name: str) -> list[str]:
+    def _split(self, name: str, scores: dict[str, float]) -> list[str]:
+        while len(self.unknown) <= len(name):
+            self.unknown.append(self.first - len(self.unknown) * self.step)
+        lengths = sorted({len(w) for w in scores if len(w) <= len(name)}, reverse=True)
         best, last = [0.0], [0]
+        # An unknown word costs the same for each letter, so one start is the best for all ends after it.
+        gain, begin = 0.0, 0
         for end in range(1, len(name) + 1):
-            score, start = max(
-                (best[s] + self.scores.get(name[s:end], self.unknown[end - s]), s)
-                for s in range(max(0, end - LONGEST), end))
+            if best[end - 1] + (end - 1) * self.step >= gain:
+                gain, begin = best[end - 1] + (end - 1) * self.step, end - 1
+            score, start = best[begin] + self.unknown[end - begin], begin
+            for n in lengths:
+                if n <= end and (found := scores.get(name[end - n:end])) is not None:
+                    score, start = max((score, start), (best[end - n] + found, end - n))
             best.append(score)
             last.append(start)
         out, end = [], len(name)
@@ -92,86 +114,124 @@ class Words:
             end = last[end]
         return out[::-1]
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of host and path, marked by where they stand; numbers are one word."""
-        out = []
-        for mark, text in (("h:", host), ("p:", path.lower())):
-            for run in _SEPARATE.findall(text):
-                if run[0].isdigit():
-                    out.append(mark + "0")
-                else:
-                    out += [mark + w for w in self.split(run)]
-        return out
+
+def runs(host: str, path: str) -> list[str]:
+    """Runs of host and path, marked by where they stand; numbers are one run."""
+    return [mark + ("0" if run[0].isdigit() else run)
+            for mark, text in (("h:", host), ("p:", path.lower())) for run in _SEPARATE.findall(text)]
 
 
 def _stands_alone(host: str, seeds: set[str]) -> bool:
     return not seeds.isdisjoint(re.findall("[a-z]+", host))
 
 
-def word_counts(pages: DataFrame, seeds: list[str]) -> dict[str, int]:
-    """The most frequent words of all pages and of names split by hyphens, and the seeds."""
+def word_counts(pages: DataFrame, seeds: list[str]) -> DataFrame:
+    """(word, n) of all words of all pages, of names split by hyphens, and of the seeds, written."""
     text = F.split(F.translate(F.regexp_replace("html", "<[^>]*>", " "), UPPER, LOWER), "[^a-z]+")
     host, _ = host_and_path(F.col("url"))
     names = F.split(F.regexp_replace(host, r"(?<![^.])[^.-]+(?![^.])", ""), "[^a-z]+")
     words = pages.select(F.explode(F.concat(
-        F.coalesce(text, F.array()), F.coalesce(names, F.array()))).alias("word"))
-    rows = (words.where(F.length("word").between(1, LONGEST)).groupBy("word").count()
-            .orderBy(F.desc("count"), "word").limit(WORDS).collect())
-    counts = {r["word"]: r["count"] for r in rows}
-    for seed in seeds:
-        counts[seed] = counts.get(seed, 0) + 1
-    return counts
-
-
-def fit(addresses: DataFrame, words: dict[str, int], seeds: list[str]) -> tuple[dict[str, float], float]:
-    """Log odds of blocked to allowed of each token, and of the classes; addresses: (host, path)."""
-    sent = addresses.sparkSession.sparkContext.broadcast(words)
+        F.coalesce(text, F.array()), F.coalesce(names, F.array()))).alias("word")).where("word <> ''")
+    marks = pages.sparkSession.createDataFrame([(s,) for s in seeds], "word string")
+    return written(words.unionByName(marks).groupBy("word").agg(F.count("*").alias("n")), "words")
+
+
+def address_runs(pages: DataFrame, seeds: list[str]) -> DataFrame:
+    """(row, page_id, host, path, blocked, runs) of every page, written, so that ``row`` stays."""
     marks = set(seeds)
+    schema = pa.schema([("row", pa.int64()), ("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
+                        ("blocked", pa.bool_()), ("runs", pa.list_(pa.string()))])
 
-    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Words(sent.value)
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            token, blocked = [], []
-            for host, path in zip(batch["host"].to_pylist(), batch["path"].to_pylist()):
-                own = [*model.tokens(host, path), ""]  # the empty token counts addresses
-                token += own
-                blocked += [_stands_alone(host, marks)] * len(own)
-            yield pa.RecordBatch.from_pydict({"token": pa.array(token, pa.string()),
-                                              "blocked": pa.array(blocked, pa.bool_())})
-
-    counts = addresses.select("host", "path").mapInArrow(learn, "token string, blocked boolean").groupBy(
-        "token").agg(F.count_if("blocked").alias("bad"), F.count_if(~F.col("blocked")).alias("good"))
-    rows = counts.orderBy((F.col("token") != "").cast("int"), F.desc(F.col("bad") + F.col("good")),
-                          "token").limit(TOKENS + 1).collect()
-    if not rows:
-        return {}, 0.0
-    bad_pages, good_pages = rows[0]["bad"], rows[0]["good"]
-    rows = rows[1:]
-    bad, good = (sum(r[c] for r in rows) + len(rows) for c in ("bad", "good"))
-    odds = {r["token"]: math.log((r["bad"] + 1) / bad) - math.log((r["good"] + 1) / good) for r in rows}
-    return odds, math.log((bad_pages + 1) / (good_pages + 1))
-
+            hosts, paths = batch["host"].to_pylist(), batch["path"].to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([_stands_alone(h, marks) for h in hosts], pa.bool_()),
+                 pa.array([runs(h, p) for h, p in zip(hosts, paths)], pa.list_(pa.string()))], schema=schema)
 
-def judge(pages: DataFrame, rules: list[Rule] = RULES, seeds: list[str] = SEEDS) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every page; the score is the log odds of blocking."""
     host, path = host_and_path(F.col("url"))
-    addresses = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
-    words = word_counts(pages, seeds)
-    odds, prior = fit(addresses, words, seeds)
-    sent = pages.sparkSession.sparkContext.broadcast((words, odds, prior))
-    schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
-                        ("score", pa.float64())])
-
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, weights, start = sent.value
-        model = Words(counts)
+    return written(pages.select(
+        F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long"), host.alias("host"),
+        path.alias("path")).mapInArrow(
+            cut, "row long, page_id long, host string, path string, blocked boolean, runs array<string>"), "addresses")
+
+
+def splits(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, words) of distinct names, written; words: (word, n)."""
+    spark = names.sparkSession
+    of_all = words.agg(F.sum("n").alias("total"), F.collect_set(F.length("word")).alias("lengths")).first()
+    lengths = sorted(n for n in of_all["lengths"] if n > SHORT)
+    short = {r["word"]: r["n"] for r in words.where(F.length("word") <= SHORT).collect()}
+    sent = spark.sparkContext.broadcast((short, of_all["total"]))
+    named = written(names.select(F.monotonically_increasing_id().alias("id"), "name"), "names")
+    part_schema = pa.schema([("id", pa.int64()), ("part", pa.string())])
+    split_schema = pa.schema([("name", pa.string()), ("words", pa.list_(pa.string()))])
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(found: list[tuple[int, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*found), part_schema)], schema=part_schema)
+
+        found: list[tuple[int, str]] = []
         for batch in batches:
-            scores = [start + sum(weights.get(t, 0.0) for t in model.tokens(h, p))
-                      for h, p in zip(batch["host"].to_pylist(), batch["path"].to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch["page_id"], batch["host"], batch["path"], pa.array(scores, pa.float64())], schema=schema)
+            for number, name in zip(batch["id"].to_pylist(), batch["name"].to_pylist()):
+                for n in lengths if name.isascii() else ():
+                    if n > len(name):
+                        break
+                    found += [(number, part) for part in {name[k:k + n] for k in range(len(name) - n + 1)}]
+                    if len(found) >= BATCH:
+                        yield batch_of(found)
+                        found = []
+        if found:
+            yield batch_of(found)
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Words(*sent.value)
+        for batch in batches:
+            out = [model.split(name, {f["part"]: f["n"] for f in found or []})
+                   for name, found in zip(batch["name"].to_pylist(), batch["found"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch["name"], pa.array(out, pa.list_(pa.string()))],
+                                             schema=split_schema)
+
+    found = named.mapInArrow(parts, "id long, part string").join(
+        words.select(F.col("word").alias("part"), "n"), "part").groupBy("id").agg(
+            F.collect_list(F.struct("part", "n")).alias("found"))
+    return written(named.join(found, "id", "left").select("name", "found").mapInArrow(
+        split, "name string, words array<string>"), "splits")
+
+
+def run_weights(addresses: DataFrame, words: DataFrame) -> DataFrame:
+    """(run, n, weight): how often a run occurs, and its tokens' log odds of blocked to allowed."""
+    counted = written(addresses.select(F.explode("runs").alias("run"), "blocked").groupBy("run").agg(
+        F.count_if("blocked").alias("bad"), F.count_if(~F.col("blocked")).alias("good"))
+        .withColumn("name", F.expr("substring(run, 3)")), "runs")
+    cut = splits(counted.select("name").distinct(), words)
+    placed = written(counted.join(cut, "name").select("run", "bad", "good", F.posexplode("words").alias("at", "word"))
+                     .withColumn("token", F.concat(F.substring("run", 1, 2), "word")).drop("word"), "placed")
+    tokens = written(placed.groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "tokens")
+    of_all = tokens.agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    bad, good = ((of_all[c] or 0) + of_all["n"] for c in ("bad", "good"))
+    odds = tokens.select("token", (F.log((F.col("bad") + 1) / bad) - F.log((F.col("good") + 1) / good)).alias("odds"))
+    return placed.join(odds, "token").groupBy("run").agg(
+        F.first(F.col("bad") + F.col("good")).alias("n"), _in_order("at", "odds").alias("weight"))
+
+
+def _in_order(at: str, value: str) -> Column:
+    """The sum of a group's values, added in one order on every run."""
+    listed = F.array_sort(F.collect_list(F.struct(at, value)))
+    return F.aggregate(listed, F.lit(0.0), lambda total, x: total + x[value])
 
-    rows = addresses.mapInArrow(scored, "page_id long, host string, path string, score double")
+
+def judge(pages: DataFrame, rules: list[Rule] = RULES, seeds: list[str] = SEEDS) -> DataFrame:
+    """(page_id, host, path, rule, verdict, score) of every page; the score is the log odds of blocking."""
+    addresses = address_runs(pages, seeds)
+    weights = run_weights(addresses, word_counts(pages, seeds))
+    of_all = addresses.agg(F.count_if("blocked").alias("bad"), F.count_if(~F.col("blocked")).alias("good")).first()
+    prior = math.log((of_all["bad"] + 1) / (of_all["good"] + 1))
+    weighed = attach(addresses.select("row", F.posexplode("runs").alias("at", "run")), weights,
+                     "run", "weight", "n", F.struct("row", "at"))
+    scores = weighed.groupBy("row").agg(_in_order("at", "weight").alias("sum"))
+    rows = addresses.join(scores, "row", "left").withColumn("score", F.lit(prior) + F.coalesce("sum", F.lit(0.0)))
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
     by_words = F.when(F.col("score") >= 0, "block").otherwise("allow")
     return rows.select("page_id", "host", "path", rule.alias("rule"),
