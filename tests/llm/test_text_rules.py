@@ -61,6 +61,20 @@ def test_thresholds_follow_the_group(frame):
     assert not judged[500].kept and not judged[500].base_failed and judged[600].kept
 
 
+def test_outliers_of_a_clean_source_go(frame):
+    def text(i, n=40):
+        return " ".join(f"w{i}x{k}" for k in range(n))
+
+    run = text(1000, 8)
+    repeated = f"{run} {text(1, 24)} {run} {text(2, 24)}"  # 16 of 64 words
+    lines = [" ".join(f"w{100 + k}x{10 + j}" for j in range(4)) for k in range(10)]
+    docs = frame(*((i, text(i)) for i in range(300)), (500, repeated), (501, "\n".join(lines + lines[::-1])))
+    judged = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert all(judged[i].kept for i in range(300))
+    assert judged[500].n_repeat_words * 4 == judged[500].n_words and judged[501].n_dup_lines * 2 == judged[501].n_lines
+    assert not any(judged[i].base_failed or judged[i].kept for i in (500, 501))
+
+
 def test_quality_of_odd_rows(odd):
     rows = quality_rules.judge(odd).collect()
     assert len(rows) == odd.count() and not any(r.kept for r in rows if r.doc_id in (1, 2, 3))

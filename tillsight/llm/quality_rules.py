@@ -34,10 +34,11 @@ FEWEST, SKETCH = 200, 400
 #: Times the quartile distance that a fence lies outside the quartiles.
 REACH = 3.0
 #: Measure: its formula, the least quartile distance, and whether small values are odd too.
+#: ``REACH`` times a least distance stays well below the base rules, so that each fence can reject.
 MEASURES = {
     "symbol_rate": ("n_symbols / n_words", 0.04, False),
-    "dup_line_rate": ("n_dup_lines / n_lines", 0.2, False),
-    "repeat_rate": ("n_repeat_words / n_words", 0.1, False),
+    "dup_line_rate": ("n_dup_lines / n_lines", 0.05, False),
+    "repeat_rate": ("n_repeat_words / n_words", 0.03, False),
     "word_length": ("word_chars / n_words", 1.0, True),
 }
 
