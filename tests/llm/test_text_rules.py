@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 import string
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -250,6 +251,26 @@ def test_licence_texts_in_other_spellings(frame, odd):
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(odd.where("false")).count() == 0
 
 
+def test_licences_wrapped_at_any_width(frame):
+    docs = [(name, prefix + f"\n{prefix}".join(["Copyright (c) 2020, A. Author", "All rights reserved.", *textwrap.wrap(
+        text, width, break_on_hyphens=False)])) for name, text in licenses.TEXTS.items()
+        for width in range(30, 110, 5) for prefix in ("", " * ", "# ", "// ", "; ", "> ")]
+    rows = licenses.scan(frame(*enumerate(t for _, t in docs))).collect()
+    assert [r.license for r in sorted(rows, key=lambda r: r.doc_id)] == [name for name, _ in docs]
+
+
+def test_only_the_notice_of_a_copyright_line_goes(frame):
+    mit = licenses.TEXTS["MIT"]
+    docs = frame((1, "Copyright 2020 X, Inc. Licensed under the MIT License."),
+                 (2, "# (c) 2019-2021 Y. All rights reserved. Released under the MIT licence."),
+                 (3, "copyright license law is not a notice"), (4, "Copyright by Z\n" + mit),
+                 (5, "(c) You must retain it\n" + mit), (6, "\u00a9 Z " + mit))
+    rows = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [rows[i].notices for i in (1, 2, 3)] == ["MIT", "MIT", ""]
+    assert [rows[i].license for i in (4, 5, 6)] == ["MIT", None, "MIT"]
+    assert len({r.digest for r in rows.values()}) > 3
+
+
 # --- secrets ------------------------------------------------------------------
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

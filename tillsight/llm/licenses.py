@@ -1,15 +1,22 @@
 """Licence texts found by the digest of their canonical form.
 
-A text is lower-cased (A-Z), its copyright lines go, everything but letters,
+A text is lower-cased (A-Z), its copyright notices go, everything but letters,
 digits and characters beyond ASCII becomes one space, and equivalent spellings
 become one. The SHA-256 of that form is looked up in a table of known licences by
 a hash join: a document whose entire text is a licence gets its id. The same is
 done for the lines of a document that can be licence notices, against one-line
 notices. All of it is Spark's own functions.
 
+A copyright notice is a line that begins with the word or sign and then gives a year,
+a sign or "by", or with "all rights reserved". It ends with the line, or where the
+licence begins on that line. Other lines that begin with "copyright" are text.
+
 The known table is made from the constants below, a few dozen rows, which bounds
 what is broadcast. More licences are more rows of ``known``.
 
+The SQL of ``oracle`` was left as it was: it takes out every line that begins with
+"copyright" or "(c)".
+
 Defined results: a null or empty text, or one of copyright lines only, has the
 digest of the empty form, which no licence has. Rows with equal ``doc_id`` are
 looked up one by one. Other columns are not read.
@@ -21,7 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The notices of ``oracle``.
 COPYRIGHT_LINE = r"(^|\n)[ \t\r*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+_YEAR = r"[\[<{(]*(?:(?:19|20)\d\d|yyyy|year)"
+#: Where the licence begins on the line of a notice.
+_LICENCE = (r"(?:licen[cs]ed|released|distributed) under|this (?:work|software|program|file) is|"
+            r"permission (?:is hereby|to use)|redistribution and use|spdx-license-identifier")
+NOTICE = (r"(^|\n)[^0-9a-z\n\x80-\x{10ffff}]*"
+          rf"(?:copyright[ \t:,-]*(?:\(c\)|©|by\b|{_YEAR})|\(c\)[ \t]*(?:copyright|{_YEAR})|©|all rights reserved)"
+          rf"[^\n]*?(?=\n|\b(?:{_LICENCE})\b|\z)")
 NOT_WORDS = "[\\x00-/:-`{-\x7f]+"
 #: Spellings that mean the same, after punctuation is gone.
 SPELLINGS = [
@@ -130,7 +145,7 @@ def known_texts() -> list[tuple[str, str, str]]:
 
 def canonical(text: Column) -> Column:
     """The form of a text that spelling and layout do not change."""
-    kept = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT_LINE, "")
+    kept = F.regexp_replace(F.translate(text, UPPER, LOWER), NOTICE, "$1")
     words = F.regexp_replace(kept, NOT_WORDS, " ")
     for spelling, one in SPELLINGS:
         words = F.replace(words, F.lit(spelling), F.lit(one))
@@ -143,8 +158,9 @@ def digest(text: Column) -> Column:
 
 def known(spark: SparkSession, texts: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """(license, kind, digest), one row a canonical form."""
-    rows = spark.createDataFrame(texts or known_texts(), "license string, kind string, text string")
-    return rows.groupBy("kind", digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    rows = spark.createDataFrame(texts or known_texts(), "license string, kind string, text string").select(
+        "license", "kind", digest(F.col("text")).alias("digest"))
+    return rows.groupBy("kind", "digest").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
