@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pathlib
 import random
 import re
 import string
@@ -271,6 +272,18 @@ def test_only_the_notice_of_a_copyright_line_goes(frame):
     assert len({r.digest for r in rows.values()}) > 3
 
 
+def test_long_licences_are_found_whole(frame):
+    folder, names = pathlib.Path("/usr/share/common-licenses"), {
+        "Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "LGPL-2.1": "LGPL-2.1",
+        "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [(name, (folder / file).read_text()) for file, name in names.items() if (folder / file).exists()]
+    commented = [(name, "".join(f"# {line}\n" for line in text.split("\n"))) for name, text in texts]
+    cut = [(None, text[:len(text) // 2]) for _, text in texts]
+    wanted = texts + commented + cut
+    rows = licenses.scan(frame(*enumerate(t for _, t in wanted))).collect()
+    assert [r.license for r in sorted(rows, key=lambda r: r.doc_id)] == [name for name, _ in wanted]
+
+
 # --- secrets ------------------------------------------------------------------
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

@@ -12,10 +12,11 @@ a sign or "by", or with "all rights reserved". It ends with the line, or where t
 licence begins on that line. Other lines that begin with "copyright" are text.
 
 The known table is made from the constants below, a few dozen rows, which bounds
-what is broadcast. More licences are more rows of ``known``.
+what is broadcast. More licences are more rows of ``known``. Long licences are known
+by the digests of their published files, with and without what follows their terms.
 
 The SQL of ``oracle`` was left as it was: it takes out every line that begins with
-"copyright" or "(c)".
+"copyright" or "(c)", and knows the short licences only.
 
 Defined results: a null or empty text, or one of copyright lines only, has the
 digest of the empty form, which no licence has. Rows with equal ``doc_id`` are
@@ -111,6 +112,60 @@ TEXTS = {
         "plainly marked as such, and must not be misrepresented as being the original software. 3. This "
         "notice may not be removed or altered from any source distribution."),
 }
+# Digests of long licences, as published and up to the end of their terms.
+DIGESTS = {
+    "Apache-2.0": [
+        "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b",
+        "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe",
+        "6aa661403864282a4d084f1551e8149a5f1a7b5e8b05b6db8e1a8a28d0badc64",
+    ],
+    "Artistic-1.0-Perl": [
+        "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2",
+    ],
+    "CC0-1.0": [
+        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    ],
+    "GFDL-1.2": [
+        "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b",
+    ],
+    "GFDL-1.3": [
+        "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d",
+    ],
+    "GPL-1.0": [
+        "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224",
+        "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc",
+        "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70",
+    ],
+    "GPL-2.0": [
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
+    ],
+    "GPL-3.0": [
+        "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+        "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191",
+    ],
+    "LGPL-2.0": [
+        "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
+        "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260",
+        "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2",
+    ],
+    "LGPL-2.1": [
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
+    ],
+    "LGPL-3.0": [
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ],
+    "MPL-1.1": [
+        "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6",
+    ],
+    "MPL-2.0": [
+        "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d",
+    ],
+}
 # Names that notices give to licences.
 NAMES = {
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
@@ -160,6 +215,9 @@ def known(spark: SparkSession, texts: list[tuple[str, str, str]] | None = None)
     """(license, kind, digest), one row a canonical form."""
     rows = spark.createDataFrame(texts or known_texts(), "license string, kind string, text string").select(
         "license", "kind", digest(F.col("text")).alias("digest"))
+    if not texts:
+        long = [(name, "text", own) for name, digests in DIGESTS.items() for own in digests]
+        rows = rows.unionByName(spark.createDataFrame(long, "license string, kind string, digest string"))
     return rows.groupBy("kind", "digest").agg(F.min("license").alias("license"))
 
 
