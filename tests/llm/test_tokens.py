@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tillsight.llm import packing, token_counts, token_files
 from tillsight.llm.queries import BYTE_BPE, PIECES, QUERIES, WORD_BPE, packed
-from tillsight.llm.tokens import Encoder, sections
+from tillsight.llm.tokens import Encoder, encoder, sections
 
 KINDS = {WORD_BPE: "words", BYTE_BPE: "spaced"}
 
@@ -53,6 +53,24 @@ def test_special_tokens_are_text_and_the_store_may_start_anew(both):
     own.kept = 10_000
 
 
+@pytest.mark.parametrize("name", list(KINDS))
+def test_added_tokens_get_the_ids_of_the_unmodified_library(name):
+    library, own = Tokenizer.from_file(public_tokenizers.path(name)), encoder(public_tokenizers.path(name), KINDS[name])
+    texts = ["a <|endoftext|> b", "It's <|startoftext|>", "x<|ENDOFTEXT|>é", "<|endoftext|><|endoftext|>", "plain <| text"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in own.many(texts)] == expected
+    assert library.token_to_id("<|endoftext|>") in expected[0]
+
+
+def test_packing_and_files_of_added_tokens(frame):
+    text, (words, spaced) = "a <|endoftext|> b", (Tokenizer.from_file(public_tokenizers.path(n)) for n in (WORD_BPE, BYTE_BPE))
+    docs = frame((1, text))
+    for rows, library, end in ((packed(docs), words, 1), (token_files.through_files(
+            docs, public_tokenizers.path(BYTE_BPE)).withColumn("ids_crc32", F.crc32("ids")), spaced, 2)):
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [end], dtype="<u4")
+        assert [r.ids_crc32 for r in rows.collect()] == [zlib.crc32(ids.tobytes())]
+
+
 def test_sections_join_to_the_text():
     text = "word " * 50 + "x" * 100 + "\n\n" + "a b" * 40
     parts = list(sections(text, 30))

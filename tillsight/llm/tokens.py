@@ -68,14 +68,21 @@ def sections(text: str, most: int = AT_ONCE) -> Iterable[str]:
 
 
 class Encoder:
-    """Ids of texts; no special tokens are added, and their strings are ordinary text."""
+    """Ids of texts; no special tokens are added.
 
-    def __init__(self, path: str, kind: str, kept: int = KEPT):
+    ``added`` says whether strings of added tokens get their ids, as in the library
+    with the file as it is; if not, they are ordinary text.
+    """
+
+    def __init__(self, path: str, kind: str, kept: int = KEPT, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        strings = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        # Normalizers may fold case, so any case goes to the library.
+        self.whole = re.compile("|".join(map(re.escape, strings)), re.IGNORECASE) if strings else None
         self.model = self.tokenizer.model
         self.kind, self.kept = kind, kept
         self.classes, self.letters = _classes(), _byte_letters()
@@ -205,6 +212,9 @@ class Encoder:
 
         for i, text in enumerate(texts):
             parts.append([])
+            if text and self.whole and self.whole.search(text):
+                parts[i].append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
+                continue
             for section in sections(text or ""):
                 if not section:
                     continue
@@ -229,7 +239,7 @@ _loaded: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, kind: str) -> Encoder:
-    """The worker's encoder for a tokenizer file, loaded once."""
+    """The worker's encoder for a tokenizer file as it is, loaded once."""
     if (path, kind) not in _loaded:
-        _loaded[path, kind] = Encoder(path, kind)
+        _loaded[path, kind] = Encoder(path, kind, added=True)
     return _loaded[path, kind]
