@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, jaccard_join, licenses, packing, quality_rules, secret_scan, token_counts, token_files, toxicity, url_filters,
+    decontaminate, jaccard_join, licenses, packing, pieces, quality_rules, secret_scan, token_counts, token_files,
+    toxicity, url_filters,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -80,7 +81,6 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-
 def op10_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE))
@@ -94,6 +94,12 @@ def op10_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
         secret_scan.listed("spans").alias("spans"))
 
 
+def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    done = pieces.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_secret_battery": op10_secret_battery,
+    "op11_pieces": op11_pieces,
 }
 
 
