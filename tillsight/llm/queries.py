@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate, jaccard_join, licenses, packing, pieces, quality_rules, secret_scan, token_counts, token_files,
-    toxicity, url_filters,
+    toxicity, url_filters, whitening,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -100,6 +100,10 @@ def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_secret_battery": op10_secret_battery,
     "op11_pieces": op11_pieces,
+    "op13_whitening": op13_whitening,
 }
 
 
