@@ -23,6 +23,7 @@ from __future__ import annotations
 import codecs
 import re
 from collections.abc import Iterable, Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ SPACE = "▁"
 #: Where texts are cut, finest first; the first that leaves every piece whole is used.
 CUTS = (r" *(?:[^\W\d_²]+|\d|(?:[^\w \n]|[_²])+|\n)| +", r" *[^ ]+| +", r"(?s:.+)")
 #: Characters of parts kept by a worker, the longest part kept, and characters worked on at once.
-KEPT, LONGEST, AT_ONCE = 5_000_000, 48, 1 << 18
+KEPT, LONGEST, AT_ONCE = 10_000_000, 48, 1 << 18
 #: Pairs of tokens whose verdict a worker keeps.
 PAIRS = 400_000
 
@@ -57,14 +58,16 @@ class Pieces:
         self.scores = {text: model.get_score(i) for text, i in self.ids.items()}
         if missing := {c for text in self.ids for c in text} - self.ids.keys():
             raise ValueError(f"characters of pieces are no pieces: {sorted(missing)[:5]}")
+        if max(map(len, self.ids), default=0) > 255 or len(ids) > 1 << 23:
+            raise ValueError("pieces are longer, or more, than the table holds")
         self.cut = next(c for c in map(re.compile, CUTS) if all(c.findall(t) == [t] for t in self.ids)).findall
         self.automaton = ahocorasick.Automaton()
         for text, i in self.ids.items():
             if self._merged(text) == [text]:  # other pieces never come out of merges
-                self.automaton.add_word(text, (i, len(text)))
+                self.automaton.add_word(text, i << 8 | len(text))
         self.automaton.make_automaton()
         self.borders: tuple[dict[int, list], dict[int, list]] = ({}, {})
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.parts: dict[str, bytes] = {}
         self.kept = 0
         surfaces = {**{i: t.encode() for i, t in self.texts.items()}, self.unknown: " ⁇ ".encode()}
@@ -115,19 +118,18 @@ class Pieces:
 
     def _part(self, part: str) -> bytes:
         """Ids (little-endian uint32) of a part that no piece lies across."""
-        last: list[tuple[int, int] | None] = [None] * (len(part) + 1)
-        pairs = self.pairs
+        last = [-1] * (len(part) + 1)  # token and length, as in the automaton
+        pairs, known = self.pairs, self.pairs.get
         for at, found in self.automaton.iter(part):
-            if last[at + 1] is None:
-                start = at + 1 - found[1]
-                before = last[start]
-                if before is not None:  # None: the start, or a character without a piece
-                    pair = before[0], found[0]
-                    fits = pairs.get(pair)
+            if last[at + 1] < 0:
+                before = last[at + 1 - (found & 255)]
+                if before >= 0:  # else it is the start, or a character without a piece
+                    pair = before << 32 | found
+                    fits = known(pair)
                     if fits is None:
                         if len(pairs) >= PAIRS:
                             pairs.clear()
-                        fits = pairs[pair] = self._together(*pair)
+                        fits = pairs[pair] = self._together(before >> 8, found >> 8)
                     if not fits:
                         continue
                 last[at + 1] = found
@@ -135,13 +137,14 @@ class Pieces:
         at = len(part)
         while at:
             found = last[at]
-            if found is None:
+            if found < 0:
                 ids.extend(self.byte_ids.get(b, self.unknown) for b in reversed(part[at - 1].encode()))
                 at -= 1
             else:
-                ids.append(found[0])
-                at -= found[1]
-        return np.array(ids[::-1], dtype="<u4").tobytes()
+                ids.append(found >> 8)
+                at -= found & 255
+        ids.reverse()
+        return pack(f"<{len(ids)}I", *ids)
 
     def _parts(self, text: str) -> bytes:
         parts, own = self.cut(text), self.parts
