@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tillsight.llm import spectrum, whitening
+from pyspark.sql import functions as F
+
+from tillsight.llm import hard_negatives, spectrum, whitening
 from tillsight.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -96,3 +98,93 @@ def test_whitening_with_wide_entries_is_exact(spark):
     check_whitened(whitening.whiten(vectors(spark, *((i, e, 1) for i, e in good))).collect(), good)
     with pytest.raises(Exception, match="(?i)overflow|too large|out of"):
         whitening.whiten(vectors(spark, *((i, [2.0 ** 40 * i], 1) for i in range(9)))).collect()
+
+
+def brute_negatives(rows, every=50):
+    """The contract, by Python's numbers; equal ids are told apart by their place."""
+    kept = []
+    for i, e, label in rows:
+        if i is None or label is None or e is None or not all(c is not None and np.isfinite(c) for c in e):
+            continue
+        kept.append((i, (label + 1) % 10 if i % 7 == 0 else label, [int(np.floor(256 * float(c))) for c in e]))
+    out = []
+    x = np.array([v for *_, v in kept], dtype=object)
+    for a, (i, label, v) in enumerate(kept):
+        if i % every:
+            continue
+        scores = (x @ np.array(v, dtype=object)).tolist()
+        order = sorted((k for k in range(len(kept)) if k != a), key=lambda k: (-scores[k], kept[k][0]))
+        same = [k for k in order if kept[k][1] == label][:5]
+        for p in same:
+            fits = [k for k in order if kept[k][1] != label and 50 * scores[p] <= 100 * scores[k] <= 95 * scores[p]][:3]
+            out += [(i, kept[p][0], r, kept[k][0], scores[p], scores[k]) for r, k in enumerate(fits, 1)]
+    return sorted(out)
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Trees of several levels and leaves of several blocks on small tables."""
+    for name, value in (("SAMPLE", 300), ("LEAF", 12), ("PACK", 4), ("AT_ONCE", 3), ("FANOUT", 3)):
+        monkeypatch.setattr(hard_negatives, name, value)
+
+
+def mined(rows):
+    return sorted(tuple(r) for r in hard_negatives.mine(rows, F.expr("vec_id % 50 = 0"), F.expr(
+        "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")).collect())
+
+
+def test_hard_negatives_of_the_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    found = QUERIES["op12_hard_negatives"](spark, FOLDER).collect()
+    assert sorted(tuple(r) for r in found) == brute_negatives(rows)
+
+
+def clustered(n, size, seed):
+    draw = np.random.default_rng(seed)
+    centres = draw.standard_normal((9, size)) * 3
+    return [(i, [float(c) for c in np.float32(centres[i % 9] + 0.2 * draw.standard_normal(size))], int(draw.integers(4)))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 16])
+def test_hard_negatives_of_clustered_vectors_with_ties_copies_and_gaps(spark, small_blocks, size):
+    rows = clustered(700, size, size)
+    rows += [(1000 + i, rows[50][1], i % 3) for i in range(120)]  # a hot vector
+    rows += [(None, rows[0][1], 1), (2000, None, 1), (2050, [None] * size, 1), (2100, [float("nan")] * size, 1),
+             (2150, rows[0][1], None), (2200, rows[1][1] + [1.0], 2), (2250, [], 2)]
+    assert mined(vectors(spark, *rows)) == brute_negatives([r for r in rows if r[0] is None or r[0] < 2200])
+
+
+def test_subtrees_are_left_out_and_no_row_is_lost():
+    x = np.array([[round(256 * c) for c in e] for _, e, _ in clustered(4000, 3, 5)], dtype=np.int64)
+    tree = hard_negatives.Tree(x[:2000], 200_000)
+    leaf, ranges = tree.placed(x)
+    full = {}
+    for at, own in ranges.items():
+        full[at] = own
+    scores = x[:40] @ x.T
+    hi = np.sort(scores, axis=1)[:, -3]
+    lo = np.sort(scores, axis=1)[:, -20]
+    seen = {}
+    for k, rows in tree.visited(x[:40], lo, hi, full):
+        for r in rows:
+            seen.setdefault(r, set()).add(k)
+    for r in range(40):
+        assert {int(k) for k in leaf[(scores[r] >= lo[r]) & (scores[r] <= hi[r])]} <= seen[r]
+    assert sum(map(len, seen.values())) < 0.5 * 40 * len(np.unique(leaf))
+
+
+def test_equal_ids_are_rows_of_their_own(spark):
+    rows = [(50, [1.0, 0.0], 1), (50, [1.0, 0.0], 1), (3, [0.75, 0.0], 2), (4, [0.75, 0.0], 2)]
+    assert mined(vectors(spark, *rows)) == [(50, 50, r, n, 65536, 49152) for r, n in ((1, 3), (1, 3), (2, 4), (2, 4))]
+
+
+@pytest.mark.parametrize("rows", [[], [(50, [1.0], 1)], [(1, [1.0], 1), (2, [0.7], 2)], [(50, None, None)],
+                                  [(50, [1.0], 1), (1, [-1.0], 1), (2, [-0.7], 2)]])
+def test_hard_negatives_without_anchors_or_partners(spark, rows):
+    assert mined(vectors(spark, *rows)) == []
+
+
+def test_hard_negatives_beyond_floats_are_exact(spark):
+    rows = [(50, [2.0 ** 22, 3.0], 1), (1, [2.0 ** 22, 1.0], 1), (2, [2.0 ** 22 * 0.75, 7.0], 2), (3, [2.0 ** 22 * 0.75, 6.0], 2)]
+    assert mined(vectors(spark, *rows)) == brute_negatives(rows) != []

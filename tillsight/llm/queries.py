@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, jaccard_join, licenses, packing, pieces, quality_rules, secret_scan, token_counts, token_files,
-    toxicity, url_filters, whitening,
+    decontaminate, hard_negatives, jaccard_join, licenses, packing, pieces, quality_rules, secret_scan,
+    token_counts, token_files, toxicity, url_filters, whitening,
 )
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -100,6 +100,12 @@ def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    # Where vec_id is divisible by 7 a wrong label is planted.
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.expr("vec_id % 50 = 0"), label)
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -116,9 +122,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_secret_battery": op10_secret_battery,
     "op11_pieces": op11_pieces,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_license_digests": licenses.oracle()}
+    return {"op6_license_digests": licenses.oracle(), "op12_hard_negatives": hard_negatives.oracle()}
