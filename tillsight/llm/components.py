@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import written
+from .workers import mapped
 
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -61,7 +62,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(centre[apart]), pa.array(vertex[apart])], schema=_EDGES)
 
-    return edges.mapInArrow(contract, "a long, b long")
+    return mapped(edges, contract, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ or the whole of a shorter item, is a pattern " w1 w2 ... "; a document becomes
 pattern from starting or ending inside a word. Matches are mapped back to words
 and, for documents that have any, to code points of the original text.
 
-The patterns are the only thing sent to all tasks. Their size is measured first;
-beyond ``AUTOMATON_BYTES`` the items are dealt by a hash to several automata, each
-within the bound, and the documents pass once through each.
+The distinct patterns are made and written by Spark, and their size with the ids of their
+items is measured. Up to ``AUTOMATON_BYTES`` they go to all tasks as one automaton. Beyond
+that, they are dealt by a hash of the pattern to as many groups as keep the bound; the driver
+and the tasks hold one group at a time, the documents pass once through each, every
+pass is written, and items are joined to the patterns that were found.
 
 Defined results: a null or empty text has no words and no hits. An item without a
 word has no pattern. Items with equal windows all count. Items without an id mark
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import written
+from .workers import column_of, mapped
 
 #: Words of a window, and bytes of pattern text that one automaton may hold.
 WINDOW, AUTOMATON_BYTES = 10, 32 << 20
@@ -36,33 +40,37 @@ WINDOW, AUTOMATON_BYTES = 10, 32 << 20
 _WORD = rb"[0-9a-z\x80-\xff]+"
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32
                 for c in range(256))
-Items = list[tuple[str | None, str]]
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_NORMAL).split()
 
 
+class Pattern(NamedTuple):
+    pattern: str  # bytes as Latin-1
+    size: int  # in words
+    items: list[str]
+
+
+def windows(text: str | None, window: int) -> Iterator[tuple[bytes, int]]:
+    """(pattern, words) of every window of an item."""
+    own = words(text)
+    size = min(window, len(own))
+    for k in range(len(own) - size + 1 if own else 0):
+        yield b" %s " % b" ".join(own[k:k + size]), size
+
+
 class Automaton:
-    """Windows of some benchmark items, ready to scan documents."""
+    """Windows of benchmark items, ready to scan documents."""
 
-    def __init__(self, items: Items, window: int):
+    def __init__(self, patterns: list[Pattern]):
         import ahocorasick
 
-        owners: dict[str, set[str | None]] = {}
-        lengths: dict[str, int] = {}
-        for item, text in items:
-            own = words(text)
-            size = min(window, len(own))
-            for k in range(len(own) - size + 1 if own else 0):
-                pattern = (b" %s " % b" ".join(own[k:k + size])).decode("latin-1")
-                owners.setdefault(pattern, set()).add(item)
-                lengths[pattern] = size
         self.search = ahocorasick.Automaton()
-        self.patterns = list(owners.items())
-        for number, (pattern, _) in enumerate(self.patterns):
-            self.search.add_word(pattern, (number, len(pattern), lengths[pattern]))
-        if self.patterns:
+        self.patterns = patterns
+        for number, p in enumerate(patterns):
+            self.search.add_word(p.pattern, (number, len(p.pattern), p.size))
+        if patterns:
             self.search.make_automaton()
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int, int]]]:
@@ -81,7 +89,7 @@ class Automaton:
 
     def items(self, numbers: Iterable[int]) -> list[str]:
         """Ids of the items that own the patterns, sorted as strings."""
-        return sorted({i for n in set(numbers) for i in self.patterns[n][1] if i is not None})
+        return sorted({i for n in set(numbers) for i in self.patterns[n].items})
 
 
 def code_points(text: str, first: int, last: int) -> tuple[int, int]:
@@ -104,18 +112,47 @@ def _merged(matches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs]
 
 
-def automata(benchmark: DataFrame, limit: int = AUTOMATON_BYTES, window: int = WINDOW) -> Iterator[Items]:
-    """The items in groups whose patterns stay within the limit."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-size * window // limit))
-    if groups == 1:
-        yield [tuple(r) for r in items.collect()]
-        return
-    dealt = written(items.withColumn("_group", F.pmod(F.xxhash64("item", "text"), F.lit(2 * groups))),
-                    "benchmark-groups")
-    for group in range(2 * groups):
-        yield [tuple(r) for r in dealt.where(F.col("_group") == group).drop("_group").collect()]
+class Patterns:
+    """The distinct patterns of a benchmark in a written table, dealt to groups within a limit."""
+
+    def __init__(self, benchmark: DataFrame, window: int, limit: int):
+        schema = pa.schema([("pattern", pa.binary()), ("size", pa.int32()), ("item", pa.string())])
+
+        def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for item, text in zip(batch["item"].to_pylist(), batch["text"].to_pylist()):
+                    own = sorted(set(windows(text, window)))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([p for p, _ in own], pa.binary()), pa.array([n for _, n in own], pa.int32()),
+                        pa.array([item] * len(own), pa.string())], schema=schema)
+
+        items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL")
+        self.owners = written(mapped(items, cut, "pattern binary, size int, item string").distinct(), "benchmark-windows")
+        size = self.owners.agg(F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0)) + 16)).first()[0]
+        self.groups = max(1, -(-(size or 0) // limit))
+        if self.groups > 1:
+            # Patterns alone, so that one of very many items is still one; half full, as hashes are uneven.
+            self.groups *= 2
+            self.dealt = written(self.owners.select("pattern", "size").distinct().withColumn(
+                "group", F.pmod(F.xxhash64("pattern"), F.lit(self.groups))), "benchmark-groups")
+
+    def group(self, number: int) -> list[Pattern]:
+        """A group's patterns, within the limit; with their items where there is one group."""
+        if self.groups == 1:
+            rows = self.owners.groupBy("pattern", "size").agg(F.collect_set("item").alias("items")).collect()
+        else:
+            rows = self.dealt.where(F.col("group") == number).select("pattern", "size", F.array().alias("items")).collect()
+        return sorted(Pattern(bytes(r["pattern"]).decode("latin-1"), r["size"], list(r["items"])) for r in rows)
+
+    def sent(self, number: int):
+        """A group's broadcast, and a function for tasks that gives its automaton, built once in each task."""
+        sent, built = self.owners.sparkSession.sparkContext.broadcast(self.group(number)), {}
+
+        def automaton() -> Automaton:
+            if "own" not in built:
+                built["own"] = Automaton(sent.value)
+            return built["own"]
+        return sent, automaton
 
 
 FOUND = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
@@ -125,25 +162,14 @@ _FOUND = pa.schema([
     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
-def _scanner(spark, items: Items, window: int):
-    """A function for tasks that gives the automaton, built once in each worker."""
-    sent, built = spark.sparkContext.broadcast(items), {}
-
-    def automaton() -> Automaton:
-        if "own" not in built:
-            built["own"] = Automaton(sent.value, window)
-        return built["own"]
-    return automaton
-
-
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
          limit: int = AUTOMATON_BYTES) -> DataFrame:
     """Words, hit words, items and hit spans (code points) of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    groups = list(automata(benchmark, limit, window))
-    if len(groups) > 1:
-        return _scan_in_groups(rows, groups, window)
-    automaton = _scanner(docs.sparkSession, groups[0], window)
+    patterns = Patterns(benchmark, window, limit)
+    if patterns.groups > 1:
+        return _scan_in_groups(rows, patterns)
+    _, automaton = patterns.sent(0)
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = automaton()
@@ -159,67 +185,76 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND)], schema=_FOUND)
 
-    return rows.mapInArrow(found, FOUND)
+    return mapped(rows, found, FOUND)
 
 
-def _scan_in_groups(rows: DataFrame, groups: list[Items], window: int) -> DataFrame:
-    """Several automata: the hit words of a row are the union over all passes."""
+def _scan_in_groups(rows: DataFrame, patterns: Patterns) -> DataFrame:
+    """One written pass over the documents for each group; the hit words of a row are the union."""
     kept = written(rows.withColumn("_row", F.monotonically_increasing_id()), "scanned")
-    schema = pa.schema([("_row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
-                        ("items", pa.list_(pa.string())), ("hit", pa.list_(pa.int64())),
-                        ("text", pa.string())])
-    ddl = "_row long, doc_id long, n_words long, items array<string>, hit array<long>, text string"
-
-    def one_pass(items: Items) -> DataFrame:
-        automaton = _scanner(rows.sparkSession, items, window)
-
-        def found(batches):
+    schema = pa.schema([("_row", pa.int64()), ("n_words", pa.int64()), ("patterns", pa.list_(pa.binary())),
+                        ("hit", pa.list_(pa.int64()))])
+    ddl = "_row long, n_words long, patterns array<binary>, hit array<long>"
+    passes = []
+    for number in range(patterns.groups):
+        sent, automaton = patterns.sent(number)
+
+        def found(batches, automaton=automaton, first=number == 0):
             own = automaton()
             for batch in batches:
                 out = []
-                for row, doc, text in zip(*(batch[c].to_pylist() for c in ("_row", "doc_id", "text"))):
+                for row, text in zip(batch["_row"].to_pylist(), batch["text"].to_pylist()):
                     n, matches = own.scan(text)
-                    hit = sorted({w for b, size, _ in matches for w in range(b, b + size)})
-                    out.append((row, doc, n, own.items(m[2] for m in matches), hit,
-                                text if hit else None))
+                    if first or matches:  # the first pass has a row of every document
+                        hit = sorted({w for b, size, _ in matches for w in range(b, b + size)})
+                        names = sorted({own.patterns[m[2]].pattern for m in matches})
+                        out.append((row, n, [p.encode("latin-1") for p in names], hit))
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-        return kept.mapInArrow(found, ddl)
 
-    passes = one_pass(groups[0])
-    for items in groups[1:]:
-        passes = passes.unionByName(one_pass(items).where(F.size("hit") > 0))
-    joined = passes.groupBy("_row").agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
-        F.max("text").alias("text"))
+        passes.append(written(mapped(kept.select("_row", "text"), found, ddl), f"pass-{number}"))
+        sent.unpersist()
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    hits = every.groupBy("_row").agg(
+        F.max("n_words").alias("n_words"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"))
+    items = (every.select("_row", F.explode("patterns").alias("pattern"))
+             .join(patterns.owners.where("item IS NOT NULL").select("pattern", "item"), "pattern")
+             .select("_row", "item").distinct().groupBy("_row").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    joined = kept.join(hits, "_row").join(items, "_row", "left").select(
+        "doc_id", "n_words", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hit",
+        F.when(F.size("hit") > 0, F.col("text")).alias("text"))
 
     def spans(batches):
         for batch in batches:
             out = []
-            for doc, n, items, hit, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "n_words", "items", "hit", "text"))):
+            for doc, n, own, hit, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "n_words", "items", "hit", "text"))):
                 runs = _merged([(w, 1, 0) for w in hit])
-                out.append((doc, n, len(hit), items, [
+                out.append((doc, n, len(hit), own, [
                     dict(zip(("start", "end"), code_points(text, a, b - 1))) for a, b in runs]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND)], schema=_FOUND)
 
-    return joined.mapInArrow(spans, FOUND)
+    return mapped(joined, spans, FOUND)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
           limit: int = AUTOMATON_BYTES) -> DataFrame:
     """The documents that hold no benchmark window, unchanged."""
-    for items in automata(benchmark, limit, window):
-        automaton = _scanner(docs.sparkSession, items, window)
+    patterns = Patterns(benchmark, window, limit)
+    for number in range(patterns.groups):
+        sent, automaton = patterns.sent(number)
 
-        def kept(batches, automaton=automaton):
+        def free(texts: Iterable[pa.Array], automaton=automaton) -> Iterator[pa.Array]:
             own = automaton()
-            for batch in batches:
-                yield batch.filter(pa.array([not own.scan(t)[1] for t in batch["text"].to_pylist()],
-                                            pa.bool_()))
-        docs = docs.mapInArrow(kept, docs.schema)
+            for some in texts:
+                yield pa.array([not own.scan(t.as_py())[1] for t in some], pa.bool_())
+
+        docs = docs.where(column_of("boolean", free, "text"))
+        if patterns.groups > 1:
+            docs = written(docs, f"free-of-{number}")
+            sent.unpersist()
     return docs

@@ -38,14 +38,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..sources.workspace import new_path, written
+from ..sources.workspace import written
 from .components import components, matrix_labels
 from .shingles import mix, shingle_sets
+from .workers import column_of, mapped
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 SKETCH, LEAF, DEPTH = 64, 1_000, 3
@@ -94,35 +93,30 @@ def sketch_of(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, column: str, shingle: int = SHINGLE) -> DataFrame:
-    """The documents with struct ``column``: key, digest of the set (d1, d2), size n, sketch; written."""
-    fields = [("key", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()),
-              ("sketch", pa.binary())]
+    """The documents with struct ``column``: key, digest of the set (d1, d2), size n, sketch; written.
 
-    def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.slice(at, 256)
-                sets = shingle_sets(some["text"].to_pylist(), shingle)
+    Texts alone are sent to the workers.
+    """
+    fields = [("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())]
+
+    def sketch(arrays: Iterable[pa.Array]) -> Iterator[pa.Array]:
+        for texts in arrays:
+            rows = []
+            for at in range(0, len(texts), 256):
+                sets = shingle_sets(texts[at:at + 256].to_pylist(), shingle)
                 full = [s for s in sets if len(s)]
                 tokens = iter(sketch_of(full) if full else ())
                 with np.errstate(over="ignore"):
-                    rows = [(key + k, s.sum(dtype=np.uint64).astype(np.int64).item(),
-                             np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5bd1e995))).astype(np.int64).item(),
-                             len(s), next(tokens).tobytes() if len(s) else None)
-                            for k, s in enumerate(sets)]
-                key += len(sets)
-                near = pa.StructArray.from_arrays(
-                    [pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], [n for n, _ in fields])
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, near], names=[*some.schema.names, column])
+                    rows += [(s.sum(dtype=np.uint64).astype(np.int64).item(),
+                              np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5bd1e995))).astype(np.int64).item(),
+                              len(s), next(tokens).tobytes() if len(s) else None) for s in sets]
+            columns = zip(*rows) if rows else [[]] * len(fields)
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.StructType([
-        *(T.StructField(name, T.LongType()) for name, _ in fields[:-1]),
-        T.StructField("sketch", T.BinaryType())]))])
-    path = new_path(docs.sparkSession, "sketched")
-    docs.mapInArrow(sketch, schema).write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    near = column_of("d1 long, d2 long, n long, sketch binary", sketch, "text")
+    return written(docs.withColumn(column, near).withColumn(column, F.struct(
+        F.monotonically_increasing_id().alias("key"), *(F.col(f"{column}.{n}") for n, _ in fields))), "sketched")
 
 
 # --- chosen paths ---------------------------------------------------------------
@@ -168,7 +162,7 @@ def _split(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(child.astype(np.int64)), pa.array(keys[row])], schema=out)
 
-    nodes = written(rows.mapInArrow(split, "node long, key long"), "nodes")
+    nodes = written(mapped(rows, split, "node long, key long"), "nodes")
     sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
     return written(nodes.join(sizes, "node"), "shared-nodes")
 
@@ -235,7 +229,7 @@ def _compared(groups: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], schema=_EDGES)
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return mapped(rows, compare, "a long, b long")
 
 
 #: Centres up to so many, each of one node, are broadcast.
@@ -260,8 +254,8 @@ def _judged(large: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(batch[n] for n in schema.names[:5]), pa.array(close)], schema=schema)
 
-    judged = written(large.join(centres, "node").select(*schema.names[:5], "middle").mapInArrow(
-        judge, "node long, key long, size long, sketch binary, centre long, close boolean"), "judged")
+    judged = written(mapped(large.join(centres, "node").select(*schema.names[:5], "middle"), judge,
+                            "node long, key long, size long, sketch binary, centre long, close boolean"), "judged")
     far = written(judged.groupBy("node").agg(F.count_if(~F.col("close")).alias("far")), "far")
     if far.count() <= CENTRES:
         far = F.broadcast(far)
@@ -400,7 +394,7 @@ def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own), pa.array(links), *((label, none) if whole else (none, label))], schema=out)
 
-    return rows.mapInArrow(check, "key long, links long, label long, other long")
+    return mapped(rows, check, "key long, links long, label long, other long")
 
 
 def _blocked(members: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
 from .tokens import encoder
+from .workers import mapped
 
 #: Pieces that one task packs. More changes little: the sequences left open are few.
 SHARD = 20_000
@@ -58,8 +59,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                     [pa.array(c, f.type) for c, f in zip(zip(*out), PIECES)], schema=PIECES)
 
     path = new_path(docs.sparkSession, "pieces")
-    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECES_DDL)
-         .write.option("compression", "zstd").parquet(path))
+    (mapped(docs.select(F.col("doc_id").cast("long"), "text"), cut, _PIECES_DDL)
+     .write.option("compression", "zstd").parquet(path))
     return docs.sparkSession.read.schema(_PIECES_DDL).parquet(path)
 
 

@@ -13,16 +13,17 @@ from . import (
     decontaminate, hard_negatives, jaccard_join, licenses, packing, pieces, quality_rules, secret_scan,
     token_counts, token_files, toxicity, url_filters, whitening,
 )
+from .workers import small_batches
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
-
 #: Where Python workers find this package if it is not installed on them.
 ROOT = str(pathlib.Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

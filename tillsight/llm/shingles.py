@@ -31,8 +31,8 @@ def _tables(n: int) -> None:
                 globals()[name] = np.multiply.accumulate(steps)
 
 
-#: Bytes hashed at once.
-AT_ONCE = 1 << 20
+#: Bytes hashed at once. Tables of powers as long as the longest stretch without a blank are kept to WIDEST.
+AT_ONCE, WIDEST = 1 << 19, 1 << 21
 
 
 def _sections(text: str | None) -> Iterator[bytes]:
@@ -46,6 +46,7 @@ def _sections(text: str | None) -> Iterator[bytes]:
 
 
 def _hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    global _powers, _inverses
     codes = np.frombuffer(b" ".join([*parts, b""]), dtype=np.uint8)
     begins = np.cumsum([0] + [len(p) + 1 for p in parts])
     n = len(codes)
@@ -57,6 +58,8 @@ def _hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_WEIGHTS[codes] * _powers[:n], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * _inverses[starts])
+    if n > WIDEST:
+        _powers = _inverses = np.ones(1, dtype=np.uint64)
     return hashes, np.diff(np.searchsorted(starts, begins))
 
 

@@ -27,8 +27,9 @@ KINDS = {
     "spaced": re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"),
 }
 
-#: Pre-tokens kept by one worker, and characters worked on at once.
-KEPT, AT_ONCE = 500_000, 1 << 19
+#: Pre-tokens kept by one worker, bytes of their text and ids, and characters worked on at once. Tables of
+#: powers as long as the longest stretch without a cut are kept up to WIDEST.
+KEPT, KEPT_BYTES, AT_ONCE, WIDEST = 300_000, 16 << 20, 1 << 18, 1 << 20
 
 _LETTER, _DIGIT, _OTHER, _BLANK = range(4)
 
@@ -94,9 +95,9 @@ class Encoder:
 
     def _forget(self) -> None:
         self.slots: dict[int, int] = {}
-        self.chunks: dict[str, np.ndarray] = {}
+        self.chunks: dict[str, bytes] = {}
         self.counts, self.places = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.pool, self.filled = np.zeros(1 << 18, np.uint32), 0
+        self.pool, self.filled, self.chunk_bytes = np.zeros(1 << 18, np.uint32), 0, 0
 
     def _powers(self, n: int) -> None:
         if len(self.powers) < n:
@@ -169,7 +170,9 @@ class Encoder:
             hashes = (sums[ends] - sums[starts]) * self.inverses[starts]
         which, distinct = pd.factorize(hashes)
         hashes = distinct.tolist()
-        if len(self.slots) > self.kept:
+        if n > WIDEST:
+            self.powers = self.inverses = np.ones(1, dtype=np.uint64)
+        if len(self.slots) > self.kept or self.pool.nbytes > KEPT_BYTES:
             self._forget()
         new = [k for k, h in enumerate(hashes) if h not in self.slots]
         if new:
@@ -189,12 +192,14 @@ class Encoder:
     def _any(self, text: str) -> np.ndarray:
         chunks = KINDS[self.kind].findall(text)
         new = [c for c in dict.fromkeys(chunks) if c not in self.chunks]
-        if len(self.chunks) + len(new) > self.kept:
+        if len(self.chunks) + len(new) > self.kept or self.chunk_bytes > KEPT_BYTES:
             self.chunks.clear()
+            self.chunk_bytes = 0
             new = list(dict.fromkeys(chunks))
         for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.chunks[c] = np.array(e.ids, dtype=np.uint32)
-        return np.concatenate([np.zeros(0, np.uint32)] + [self.chunks[c] for c in chunks])
+            self.chunks[c] = np.array(e.ids, dtype=np.uint32).tobytes()
+            self.chunk_bytes += 4 * len(c) + len(self.chunks[c])
+        return np.frombuffer(b"".join([self.chunks[c] for c in chunks]), dtype=np.uint32)
 
     def many(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids (uint32) of each text; null is an empty text."""

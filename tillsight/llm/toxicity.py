@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import written
+from .workers import column_of, mapped
 
 #: The bound of the sample, of the features, and the number of severity grades above 0.
 TOXIC, OTHER, FEATURES, GRADES = 2_000, 4_000, 1_024, 3
@@ -48,7 +49,8 @@ COUNTS = (1, 2, 4)
 BEGINNINGS = range(4, 10)
 #: Of the fit: weight decay, steps and their size.
 DECAY, STEPS, RATE = 2e-5, 400, 0.05
-KEPT = 150_000
+#: Words whose features a worker keeps.
+KEPT = 60_000
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32
                 for c in range(256))
@@ -158,7 +160,7 @@ def _typical(sample: DataFrame, toxic: int, other: int) -> list[bytes]:
                 yield pa.RecordBatch.from_pydict({
                     "feature": pa.array(own, pa.binary()), "toxic": pa.array([is_toxic] * len(own), pa.bool_())})
 
-    counts = sample.mapInArrow(present, "feature binary, toxic boolean").groupBy("feature").agg(
+    counts = mapped(sample, present, "feature binary, toxic boolean").groupBy("feature").agg(
         F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
     a, b, n = F.col("a"), F.col("b"), toxic + other
 
@@ -223,17 +225,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 pa.array((p >= 0.5).sum(axis=1).astype(np.int32)), pa.array(p[:, 0]),
                 pa.array(p[:, 0] >= 0.5)], schema=_OUT)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        scored, "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), scored,
+                  "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not toxic, unchanged."""
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
-    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fine(texts: Iterable[pa.Array]) -> Iterator[pa.Array]:
         own = Model(*sent.value)
-        for batch in batches:
-            yield batch.filter(pa.array([not own.toxic(t.as_py()) for t in batch["text"]], pa.bool_()))
+        for some in texts:
+            yield pa.array([not own.toxic(t.as_py()) for t in some], pa.bool_())
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.where(column_of("boolean", fine, "text"))
