@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests.
 
 Three patterns give the base spans. Beyond them, every run of 20 or more
-characters that encodings use, with letters and digits, is a candidate. Its
-encoding is inferred from its characters (hexadecimal, base32, base62, base64) and
+characters that encodings use is a candidate, and so is every part of 20 or more letters
+and digits between the separators of a run: a secret may stand in a path. Its
+encoding is inferred from its characters (hexadecimal, base32, letters, base62, base64) and
 gives the alphabet. Three tests ask how likely ordinary text looks as random:
 
 * chi-squared against a uniform alphabet: text repeats its letters, so its statistic
@@ -16,10 +17,12 @@ classes of length (Benjamini-Hochberg over all candidates of the corpus, on a
 histogram of p-values that has a fixed number of rows). What remains also must
 not be rejected as random by the chi-squared test itself.
 
-Everything is Spark's own functions. A text is read once for its spans; only
-spans, never texts, are written on the way. Positions are code points, ends
-exclusive. Spans of a document are found in blocks, so a text with very many of
-them costs no quadratic work.
+Everything is Spark's own functions. A text is read once for its spans, which are written.
+Positions are code points, ends exclusive. Running sums and maxima over the spans of a
+document are taken in blocks of blocks (``_running``), and the tests walk a candidate a fixed
+number of times, so neither very many spans nor very long ones cost quadratic work.
+
+A part inside a run that is reported, or any candidate inside a base span, is not reported again.
 
 Defined results: a null or empty text has no spans. Rows with equal ``doc_id`` are
 scanned one by one. Other columns are not read, or kept as they are by ``redact``.
@@ -38,13 +41,14 @@ from ..sources.workspace import written
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
           r"""([A-Za-z0-9+/_.=-]+)""")
 BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
-CANDIDATE, SHORTEST = r"[A-Za-z0-9+/_=-]{20,}+", 20
+RUN, PART = r"[A-Za-z0-9+/_=-]{20,}+", r"[A-Za-z0-9]{20,}+"
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Encoding: what all its characters are, and its alphabet; the first that fits counts.
 ENCODINGS = {
     "hex": ("^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef"),
     "base32": ("^[A-Z2-7]+=*$", _UPPER + "234567"),
+    "letters": ("^[A-Za-z]+$", _UPPER + _LOWER),
     "base62": ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS),
     "base64": ("", _UPPER + _LOWER + _DIGITS + "+/"),
 }
@@ -58,35 +62,43 @@ CLASSES, BINS = (20, 28, 40, 64), 120
 _BLOCK = 64
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, zero: Column, add, levels: int = 2) -> Column:
+    """For each value, ``add`` over all values before it, starting from zero.
+
+    Blocks are added up, the blocks' results are run over in the same way, and then the
+    values within each block; an array grows by one block at most.
+    """
+    def plain(some: Column, start: Column) -> Column:
+        return F.aggregate(
+            some, F.struct(start.alias("at"), F.slice(F.array(zero), 1, 0).alias("out")),
+            lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
+
+    if not levels:
+        return plain(values, zero)
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(values) - 1) / _BLOCK).cast("int"), F.lit(0))),
+                         lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)))
+    return _let(blocks, lambda own: F.flatten(F.zip_with(
+        own, _running(F.transform(own, lambda block: F.aggregate(block, zero, add)), zero, add, levels - 1), plain)))
+
+
 def _found(text: Column, pattern: str) -> Column:
     """array<struct<start, end, match>> of a pattern's matches.
 
-    split() gives the gaps between the matches. Positions are sums of lengths,
-    first over blocks of matches and then within a block.
+    split() gives the gaps between the matches; positions are sums of lengths.
     """
     pairs = F.zip_with(
         F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, match: F.struct(F.length(gap).alias("g"), match.alias("match"),
                                     F.coalesce(F.length(match), F.lit(0)).alias("m")))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _BLOCK).cast("int")),
-                         lambda b: F.slice(pairs, b * _BLOCK + 1, F.lit(_BLOCK)))
-
-    def within(block: Column, start: Column) -> Column:
-        none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-        return F.aggregate(
-            block, F.struct(start.alias("at"), none.alias("out")),
-            lambda acc, x: F.struct(
-                (acc["at"] + x["g"] + x["m"]).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(
-                    (acc["at"] + x["g"]).alias("start"),
-                    (acc["at"] + x["g"] + x["m"]).alias("end"),
-                    x["match"].alias("match")))).alias("out")),
-            lambda acc: acc["out"])
-
-    lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x["g"] + x["m"]))
-    starts = F.transform(F.sequence(F.lit(1), F.size(lengths)),
-                         lambda i: F.aggregate(F.slice(lengths, F.lit(1), i - 1), F.lit(0), lambda a, x: a + x))
-    spans = F.flatten(F.zip_with(blocks, starts, within))
+    spans = _let(pairs, lambda own: F.zip_with(
+        own, _running(F.transform(own, lambda x: x["g"] + x["m"]), F.lit(0), lambda a, x: a + x),
+        lambda x, at: F.struct((at + x["g"]).alias("start"), (at + x["g"] + x["m"]).alias("end"), x["match"].alias("match"))))
     return F.filter(spans, lambda s: s["match"].isNotNull())
 
 
@@ -104,15 +116,6 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _letters(text: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
-
-
 def _total(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + of(x))
 
@@ -126,18 +129,17 @@ def _tested(token: Column) -> Column:
 
     def statistics(t: Column) -> Column:
         size, n = F.length(t["alphabet"]).cast("double"), F.length(t["text"]).cast("double")
-        squares = _total(_letters(t["alphabet"]), lambda c: F.pow(
+        squares = _total(F.split(t["alphabet"], ""), lambda c: F.pow(
             n - F.length(F.replace(t["text"], c, F.lit(""))), F.lit(2.0)))
-        pairs = F.sequence(F.lit(1), F.length(t["text"]) - 1)
-        changes = _total(pairs, lambda i: F.when(
-            F.substring(t["classes"], i, F.lit(1)) != F.substring(t["classes"], i + 1, F.lit(1)), 1.0)
-            .otherwise(0.0))
-        centred = _let(F.transform(_letters(t["text"]), lambda c: F.position(c, t["alphabet"]).cast("double")),
-                       lambda codes: F.transform(codes, lambda x: x - _total(codes, lambda y: y) / n))
+        # Runs of one class become one character each.
+        changes = F.length(F.regexp_replace(t["classes"], r"(.)\1*+", "x")) - 1
+        codes = F.transform(F.split(t["text"], ""), lambda c: F.position(c, t["alphabet"]).cast("double"))
+        centred = _let(codes, lambda x: _let(_total(x, lambda y: y) / n, lambda mean: F.transform(x, lambda y: y - mean)))
         correlation = _let(centred, lambda x: F.try_divide(
-            _total(pairs, lambda i: x[i - 1] * x[i]), _total(x, lambda y: y * y)))
+            _total(F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), lambda a, b: a * b), lambda y: y),
+            _total(x, lambda y: y * y)))
         return F.struct(size.alias("size"), n.alias("n"), (squares * size / n - n).alias("chi"),
-                        changes.alias("changes"), F.coalesce(correlation, F.lit(1.0)).alias("correlation"))
+                        changes.cast("double").alias("changes"), F.coalesce(correlation, F.lit(1.0)).alias("correlation"))
 
     def verdict(s: Column) -> Column:
         n, size = s["n"], s["size"]
@@ -163,7 +165,7 @@ def spans(text: Column) -> dict[str, Column]:
     text = F.coalesce(text, F.lit(""))
     found = {"assign": _guarded(text, ASSIGN, lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 12),
              **{kind: _guarded(text, BASE[kind]) for kind in ("access", "hex")}}
-    mixed = _guarded(text, CANDIDATE, lambda s: s["match"].rlike("[0-9]") & s["match"].rlike("[A-Za-z]"))
+    runs, parts = _guarded(text, RUN), _guarded(text, PART)
 
     def tested(span: Column) -> Column:
         length = span["end"] - span["start"]
@@ -172,9 +174,12 @@ def spans(text: Column) -> dict[str, Column]:
             span["start"].alias("start"), span["end"].alias("end"), size.alias("size"),
             F.floor(-10 * F.log10(t["p"])).cast("int").alias("bin"), t["fits"].alias("fits")))
 
+    # A run without separators is its own part.
+    candidates = F.array_distinct(F.concat(runs, parts))
     return {**{kind: F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
                for kind, s in found.items()},
-            "tested": F.transform(mixed, tested)}
+            "tested": F.transform(F.filter(candidates, lambda s: F.length(F.regexp_replace(s["match"], "[=+/_-]+", "")) >= 2),
+                                  tested)}
 
 
 def limits(found: DataFrame, rate: float = RATE) -> dict[int, int]:
@@ -203,15 +208,28 @@ def _ordered(found: dict[str, Column], lowest: dict[int, int]) -> Column:
             F.lit(kind).alias("kind")))
 
     base = F.concat(*(ranked(kind, rank, found[kind]) for rank, kind in enumerate(BASE)))
+    none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), 1, 0)
 
     def is_secret(t: Column) -> Column:
         low = reduce(lambda rest, item: F.when(t["size"] == item[0], t["bin"] >= item[1]).otherwise(rest),
                      lowest.items(), F.lit(False))
-        return low & t["fits"] & ~F.exists(
-            base, lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"]))
+        return low & t["fits"]
+
+    def uncovered(secrets: Column) -> Column:
+        """Those that lie in no base span and in no longer one of themselves: sorted by start, the
+        larger first, the furthest end so far is behind the own one."""
+        every = F.array_sort(F.concat(
+            F.transform(base, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(False).alias("own"))),
+            F.transform(secrets, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(True).alias("own")))))
+        ahead = _let(every, lambda e: F.zip_with(
+            e, _running(F.transform(e, lambda x: -x["back"]), F.lit(-1), lambda a, x: F.greatest(a, x)),
+            lambda x, far: F.struct(x["start"].alias("start"), (-x["back"]).alias("end"),
+                                    (x["own"] & (far < -x["back"])).alias("own"))))
+        return F.transform(F.filter(ahead, lambda x: x["own"]),
+                           lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
-    return F.array_sort(F.concat(
-        base, ranked("random", len(BASE), F.filter(found["tested"], is_secret))))
+    random = _let(F.filter(found["tested"], is_secret), lambda t: F.when(F.size(t) > 0, uncovered(t)).otherwise(none))
+    return F.array_sort(F.concat(base, ranked("random", len(BASE), random)))
 
 
 def listed(column: str | Column) -> Column:
@@ -233,13 +251,13 @@ def redact(docs: DataFrame, mask: str = "[secret]", rate: float = RATE) -> DataF
 
     Overlapping spans become one mask. Other documents stay as they are.
     """
-    lowest = limits(docs.select(spans(F.col("text"))["tested"].alias("tested")), rate)
     own = "_spans"
     while own in docs.columns:
         own += "_"
-    found = F.struct(*(c.alias(name) for name, c in spans(F.col("text")).items()))
-    marked = docs.withColumn(own, found).withColumn(
-        own, _ordered({name: F.col(own)[name] for name in (*BASE, "tested")}, lowest))
+    # Written with their spans, which the limits and the masks both need.
+    kept = written(docs.withColumn(own, F.struct(*(c.alias(name) for name, c in spans(F.col("text")).items()))), "spans")
+    lowest = limits(kept.select(F.col(f"{own}.tested").alias("tested")), rate)
+    marked = kept.withColumn(own, _ordered({name: F.col(own)[name] for name in (*BASE, "tested")}, lowest))
     text = F.col("text")
     masked = F.aggregate(
         own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
