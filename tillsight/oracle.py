@@ -810,4 +810,7 @@ def _star() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**_foundation(), **_business(), **_exploratory(), **_answers(), **_questions(), **_star()}
+    from . import oracle_periods  # it builds on this module
+
+    return {**_foundation(), **_business(), **_exploratory(), **_answers(), **_questions(), **_star(),
+            **oracle_periods.statements()}

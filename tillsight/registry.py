@@ -6,6 +6,7 @@ functions keep the defaults of the sales model. Dates are given as ISO text.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .functions import bands, labels, questions
 from .functions.exact import half_up, percent, sum_units0
 from .operators import features, pricing, quality
-from .plans import answers, business, dashboard, exploratory, measures
+from .plans import answers, business, dashboard, exploratory, measures, periods
 from .plans import star as star_plan
 from .sources import files, tables, workspace
 from .sources.schema import CLEAN, RAW
@@ -27,7 +28,8 @@ SEGMENT_MULTIPLE = 60
 RETAINED = (1996, 1998)
 COMPARED = (1996, 1999)
 CATEGORY, REGION, YEAR = "ECONOMY", "ASIA", 1997
-MONTH = 3
+MONTH, WEEK = 3, 9
+LEAP_DAY, AFTER_LEAP_YEAR = "1996-02-29", "1997-02-28"
 # These segments stand for consumer, corporate and home office.
 SEGMENTS = {"revenue_building": "BUILDING", "revenue_machinery": "MACHINERY",
             "revenue_household": "HOUSEHOLD"}
@@ -409,6 +411,17 @@ _PLANS: dict[str, Query] = {
     "m_time_year": _of_star(measures.time_measures, {"year": YEAR}),
     "m_time_month": _of_star(measures.time_measures, {"month": MONTH}),
     "m_time_by_region": _of_star(measures.time_measures, {"category": CATEGORY}, ("region",)),
+    "m_rolling_3m_day": _of_star(periods.rolling_by_day),
+    "m_rolling_3m_day_by_region": _of_star(periods.rolling_by_day, None, ("region",)),
+    "m_rolling_3m_day_slice": _of_star(periods.rolling_by_day, {"year": YEAR, "category": CATEGORY}, ("region",)),
+    "m_period_week": _of_star(periods.period_measures, {"year": YEAR, "week": WEEK}),
+    "m_period_week_by_region": _of_star(periods.period_measures, {"year": YEAR, "week": WEEK}, ("region",)),
+    "m_period_leap_day": _of_star(periods.period_measures, {"date": dt.date.fromisoformat(LEAP_DAY)}, ("segment",)),
+    "m_period_after_leap_year": _of_star(
+        periods.period_measures, {"date": dt.date.fromisoformat(AFTER_LEAP_YEAR)}),
+    "m_period_by_week": _of_star(periods.period_measures, {"year": YEAR}, ("year", "week")),
+    "m_period_weekdays": _of_star(
+        periods.period_measures, {"year": YEAR, "category": CATEGORY}, ("day_name", "region")),
     "m_customer_rank_slice": _of_star(measures.customer_rank, SLICE),
     "m_product_rank_slice": _of_star(measures.product_rank, SLICE),
     "m_region_rank_slice": _of_star(measures.region_rank, {"year": YEAR, "category": CATEGORY}),
