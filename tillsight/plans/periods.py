@@ -88,8 +88,8 @@ def period_measures(star: Star, where: Where | None = None, by: Sequence[str] =
     of_days, of_orders = _split(where)
     own, others = [c for c in by if c in _DAYS], [c for c in by if c not in _DAYS]
     sets = day_sets(lines(star, own, of_days), own, months)
-    totals = _day_totals(star, others, of_orders, sets).withColumnRenamed("date", "_date")
-    joined = sets.join(totals, F.col("date") == F.col("_date"))
+    totals = _day_totals(star, others, of_orders, sets).withColumnRenamed("date", "_on")
+    joined = sets.join(totals, F.col("date") == F.col("_on"))
     # Days and groups are reduced once more before lines are put together.
     sums = joined.groupBy(*[F.col(f"_{c}").alias(c) for c in own], *others).agg(*[
         F.sum(F.when(F.col("kind") == kind, F.col("cents"))).alias(kind) for kind in _KINDS])
