@@ -152,14 +152,6 @@ CASE_BAND = """CASE WHEN discount_c = 0 THEN 'No Discount' WHEN discount_c <= 10
 def _foundation() -> dict[str, str]:
     raw = _with(f"SELECT {RAW_COLUMNS} FROM sales")
     clean = _with(f"SELECT {CLEAN_COLUMNS} FROM valued", VALUED)
-    counts = {
-        "fact_sales": "sales", "flat_sales": "sales",
-        "dim_customer": "(SELECT DISTINCT customer_id FROM sales)",
-        "dim_product": "(SELECT DISTINCT product_name FROM sales)",
-        "dim_geography": "(SELECT DISTINCT region, city FROM sales)",
-        "dim_date": "(SELECT unnest(generate_series(min(order_date), max(order_date), "
-                    "INTERVAL 1 DAY)) FROM sales)",
-    }
     names = ["order_id", "order_date", "ship_date", "ship_mode", "customer_id", "customer_name",
              "segment", "region", "city", "category", "product_name", "quantity", "unit_price",
              "discount", "sales", "profit", "profit_margin"]
@@ -188,8 +180,6 @@ def _foundation() -> dict[str, str]:
     return {
         "src_raw_csv": raw, "src_clean_csv": clean, "src_clean_text_dates": clean,
         "snk_clean": clean, "snk_sales_table": clean, "flat_sales": clean,
-        "snk_star": _with(" UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {q}" for t, q in counts.items())),
         "sql_surface": _with(
             f"SELECT region, segment, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS customers,"
             f" {amt0(S)} AS revenue FROM sales WHERE order_quarter IN (1, 4) AND discount_band IS "
@@ -810,7 +800,7 @@ def _star() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    from . import oracle_periods  # it builds on this module
+    from . import oracle_cells, oracle_periods  # they build on this module
 
-    return {**_foundation(), **_business(), **_exploratory(), **_answers(), **_questions(), **_star(),
-            **oracle_periods.statements()}
+    own = {**_foundation(), **_business(), **_exploratory(), **_answers(), **_questions(), **_star()}
+    return {**own, **oracle_periods.statements(), **oracle_cells.statements(own)}

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import numbered
+from ..sources.files import write_csv
 
 # Surrogate id formats and the festive quarter.
 PRODUCT_ID = "PROD-%03d"
@@ -24,6 +25,8 @@ INPUT_COLUMNS = (
     "order_id", "order_date", "ship_mode", "customer_id", "customer_name", "segment", "region",
     "city", "category", "product_name", "quantity", "unit_price", "discount", "sales", "profit",
     "profit_margin", "days_to_ship", "customer_ltv", "customer_tier")
+# Rows of one file of the facts.
+FILE_ROWS = 20_000_000
 FACT_COLUMNS = ("order_id", "date_key", "customer_id", "product_id", "geo_id", "ship_mode",
                 "quantity", "unit_price", "discount", "sales", "profit", "profit_margin",
                 "days_to_ship")
@@ -116,7 +119,7 @@ def fact_sales(sales: DataFrame, products: DataFrame, places: DataFrame) -> Data
 
 @dataclass(frozen=True)
 class Star:
-    fact_sales: DataFrame
+    fact_sales: DataFrame  # with order_year, the column it is partitioned by, where it was written
     dim_customer: DataFrame
     dim_product: DataFrame
     dim_geography: DataFrame
@@ -135,9 +138,14 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
     spark = sales.sparkSession
 
     def put(name: str, rows: DataFrame) -> DataFrame:
-        if name == "fact_sales":  # by date, so that a page on one year reads few files
-            rows = rows.repartitionByRange("date_key").sortWithinPartitions("date_key")
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        writer = rows.write
+        if name == "fact_sales":
+            # By year, so that a filter on dates, also one found while the query runs, reads the
+            # folders of its years; dealt by date, so a task writes files of a year or two.
+            years = rows.withColumn("order_year", F.floor(F.col("date_key") / 10_000).cast("int"))
+            writer = (years.repartitionByRange("order_year", "date_key").sortWithinPartitions("order_year", "date_key")
+                      .write.partitionBy("order_year").option("maxRecordsPerFile", FILE_ROWS))
+        writer.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     put("dim_customer", dim_customer(sales))
@@ -153,3 +161,10 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
 def read_star(spark: SparkSession, folder: str) -> Star:
     return Star(*[spark.read.parquet(f"{folder}/{name}") for name in TABLES])
 
+
+def write_star_csv(star: Star, folder: str) -> None:
+    """The five tables as CSV with a header, each in a folder of its name."""
+    for name in TABLES:
+        rows = getattr(star, name)
+        write_csv(rows.select(*FACT_COLUMNS) if name == "fact_sales" else rows, f"{folder}/{name}")
+

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .functions import bands, labels, questions
 from .functions.exact import half_up, percent, sum_units0
 from .operators import features, pricing, quality
-from .plans import answers, business, dashboard, exploratory, measures, periods
+from .plans import answers, business, cells, dashboard, exploratory, measures, periods
 from .plans import star as star_plan
 from .sources import files, tables, workspace
 from .sources.schema import CLEAN, RAW
@@ -37,21 +37,53 @@ SLICE = {"year": YEAR, "region": REGION, "category": CATEGORY}
 REGION_FACTORS = {"AFRICA": 1.0, "AMERICA": 1.05, "ASIA": 0.92, "EUROPE": 1.10,
                   "MIDDLE EAST": 1.0}
 
-_frames: dict[tuple[str, str, str], DataFrame] = {}
+_TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
+_frames: dict[tuple, DataFrame] = {}
+_paths: dict[tuple, str] = {}
+
+
+def _stamp(spark: SparkSession, folder: str) -> tuple:
+    """The application, and when the tables were last written: what was made of older ones is not used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files_ = [f for t in _TABLES if system.exists(p := path(f"{folder}/{t}.parquet")) for f in system.listStatus(p)]
+    return (spark.sparkContext.applicationId, folder,
+            tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files_))
 
 
 def _planned(name: str, spark: SparkSession, folder: str, plan: Query) -> DataFrame:
-    """A lazy frame, planned once per application; it holds no data."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    """A lazy frame, planned once for the tables as they are; it holds no data."""
+    key = (*_stamp(spark, folder), name)
     if key not in _frames:
         _frames[key] = plan(spark, folder)
     return _frames[key]
 
 
+def _made(name: str, spark: SparkSession, folder: str, write: Callable[[str], object]) -> str:
+    """A path in the shared folder that ``write`` has written, once for the tables as they are."""
+    key = (*_stamp(spark, folder), name)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    if key in _paths:
+        kept = hadoop(_paths[key])
+        if not kept.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(kept):
+            del _paths[key]  # cleared since
+    if key not in _paths:
+        path = workspace.new_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return _planned("raw", spark, folder, tables.sales_raw)
 
 
+def kept_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw orders from a file: for plans that read them more than once."""
+    path = _made("raw", spark, folder, lambda p: raw(spark, folder).write.parquet(p))
+    return spark.read.schema(RAW).parquet(path)
+
+
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with every column that needs only the row itself."""
     return _planned("sales", spark, folder,
@@ -59,8 +91,10 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def full(spark: SparkSession, folder: str) -> DataFrame:
-    """The clean table: 28 columns."""
-    return features.with_features(raw(spark, folder), TIERS)
+    """The clean table: 28 columns, written by year once."""
+    path = _made("clean", spark, folder, lambda p: files.write_clean(
+        features.with_features(kept_raw(spark, folder), TIERS), p))
+    return files.read_clean(spark, path).select(*CLEAN.fieldNames())
 
 
 def asked(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,18 +102,20 @@ def asked(spark: SparkSession, folder: str) -> DataFrame:
     return tables.texts(spark, folder).unionByName(tables.questions(spark, folder))
 
 
-_stars: dict[tuple[str, str], str] = {}
+def _star_path(spark: SparkSession, folder: str) -> str:
+    return _made("star", spark, folder, lambda p: star_plan.write_star(full(spark, folder), p))
 
 
 def star(spark: SparkSession, folder: str) -> star_plan.Star:
-    """The star of these tables, written on first use in an application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _stars:
-        path = workspace.new_path(spark, "star")
-        clean = full(spark, folder).select(*star_plan.INPUT_COLUMNS)
-        star_plan.write_star(workspace.written(clean, "clean"), path, flat=False)
-        _stars[key] = path
-    return star_plan.read_star(spark, _stars[key])
+    """The star of these tables, written on first use."""
+    return star_plan.read_star(spark, _star_path(spark, folder))
+
+
+def prepared(spark: SparkSession, folder: str) -> cells.PreparedStar:
+    """The star with its cells, written on first use."""
+    found = star(spark, folder)
+    path = _made("cells", spark, folder, lambda p: cells.write_cells(found, p))
+    return cells.with_cells(found, cells.read_cells(spark, path))
 
 
 # ---- sources and sinks -----------------------------------------------------
@@ -114,29 +150,28 @@ def _clean_cast_dates(spark: SparkSession, folder: str) -> DataFrame:
                 F.datediff("ship_date", "order_date").alias("days"))
 
 
-def _snk_clean(spark: SparkSession, folder: str) -> DataFrame:
-    path = workspace.new_path(spark, "clean")
-    files.write_clean(full(spark, folder), path)
-    return files.read_clean(spark, path).select(*CLEAN.fieldNames())
-
-
 def _snk_sales_table(spark: SparkSession, folder: str) -> DataFrame:
     path = workspace.new_path(spark, "sales_table")
     return files.publish(full(spark, folder), f"published_sales_{path[-32:]}", path)
 
 
 def _snk_star(spark: SparkSession, folder: str) -> DataFrame:
-    """Write everything, and count the rows that arrived."""
-    path = workspace.new_path(spark, "star_and_flat")
-    clean = workspace.written(full(spark, folder), "clean")
-    star_plan.write_star(clean, path)
-    counts = [spark.read.parquet(f"{path}/{t}")
-              .agg(F.lit(t).alias("table_name"), F.count("*").alias("rows"))
-              for t in (*star_plan.TABLES, "flat_sales")]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    """Every column of all six written tables: values, distinct ones, the least and the greatest."""
+    path = _star_path(spark, folder)
+    found = None
+    for t in (*star_plan.TABLES, "flat_sales"):
+        lines = quality.column_profile(spark.read.parquet(f"{path}/{t}")).withColumn("table_name", F.lit(t))
+        found = lines if found is None else found.unionByName(lines)
+    return found.where("NOT (table_name = 'fact_sales' AND column_name = 'order_year')")
+
+
+def _snk_star_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The facts as they come back from CSV."""
+    path = workspace.new_path(spark, "star_csv")
+    own = star(spark, folder)
+    star_plan.write_star_csv(own, path)
+    schema = own.fact_sales.select(*star_plan.FACT_COLUMNS).schema
+    return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(f"{path}/fact_sales")
 
 
 SQL_TEXT = """
@@ -160,7 +195,7 @@ def _sql_surface(spark: SparkSession, folder: str) -> DataFrame:
 
 def _with_copies(spark: SparkSession, folder: str) -> DataFrame:
     """All raw columns, with some orders a second time."""
-    rows = raw(spark, folder)
+    rows = kept_raw(spark, folder)
     return rows.unionByName(rows.where("quantity % 7 = 0"))
 
 
@@ -180,15 +215,9 @@ def _feature(*columns: str, add: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
-def _ltv(spark: SparkSession, folder: str) -> DataFrame:
-    return features.with_customer_value(raw(spark, folder)).select(
-        *_ROW, "customer_id", "customer_ltv")
-
-
-def _tier(spark: SparkSession, folder: str) -> DataFrame:
-    valued = features.with_customer_tier(
-        features.with_customer_value(raw(spark, folder)), TIERS)
-    return valued.select(*_ROW, "customer_ltv", "customer_tier")
+def _of_clean(*columns: str) -> Query:
+    """Columns of the written clean table."""
+    return _on(full, lambda rows: rows.select(*_ROW, *columns))
 
 
 def _price(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,8 +277,19 @@ def _time(name: str) -> Query:
     return query
 
 
+def _sketched_counts(spark: SparkSession, folder: str, where: dict | None = None) -> DataFrame:
+    """Exact counts by region, and whether those from sketches are within five standard errors."""
+    own = star(spark, folder)
+    counts = ("total_orders", "total_customers")
+    states = cells.distinct_by_day(own)
+    near = cells.approximate_counts(own, states, ["region"], where).withColumnsRenamed({c: f"near_{c}" for c in counts})
+    exact = measures.evaluate(own, counts, ["region"], where)
+    return exact.join(near, "region").select("region", *counts, *[
+        (F.abs(F.col(c) - F.col(f"near_{c}")) <= 5 * cells.ERROR * F.col(c)).alias(f"{c}_close") for c in counts])
+
+
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    return star(spark, folder).fact_sales
+    return star(spark, folder).fact_sales.select(*star_plan.FACT_COLUMNS)
 
 
 def _extracted(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,9 +308,10 @@ _PLANS: dict[str, Query] = {
     "src_raw_csv": _src_raw_csv,
     "src_clean_csv": _src_clean_csv,
     "src_clean_text_dates": _src_clean_text_dates,
-    "snk_clean": _snk_clean,
+    "snk_clean": full,
     "snk_sales_table": _snk_sales_table,
     "snk_star": _snk_star,
+    "snk_star_csv": _snk_star_csv,
     "sql_surface": _sql_surface,
     # quality
     "dq_shape": _on(raw, quality.shape),
@@ -292,8 +333,8 @@ _PLANS: dict[str, Query] = {
     "feat_discount_band": _feature("discount", "discount_band", add=features.with_bands),
     "feat_sales_band": _feature("sales", "sales_band", add=features.with_bands),
     "feat_is_profitable": _feature("profit", "is_profitable", add=features.with_profit_flag),
-    "feat_customer_ltv": _ltv,
-    "feat_customer_tier": _tier,
+    "feat_customer_ltv": _of_clean("customer_id", "customer_ltv"),
+    "feat_customer_tier": _of_clean("customer_ltv", "customer_tier"),
     "feat_band_case": _feature(
         "discount", "band", add=lambda s: s.withColumn("band", bands.discount_band_case())),
     "feat_profit_status": _feature(
@@ -385,9 +426,9 @@ _PLANS: dict[str, Query] = {
     "extract_years": _extracted,
     # star schema
     "dim_customer": _on(full, star_plan.dim_customer),
-    "dim_product": _on(raw, star_plan.dim_product),
-    "dim_geography": _on(raw, star_plan.dim_geography),
-    "dim_date": _on(raw, star_plan.dim_date),
+    "dim_product": _on(full, star_plan.dim_product),
+    "dim_geography": _on(full, star_plan.dim_geography),
+    "dim_date": _on(full, star_plan.dim_date),
     "fact_sales": _fact,
     "flat_sales": full,
     # measures
@@ -461,6 +502,20 @@ _PLANS: dict[str, Query] = {
     "dash_slice": _of_star(dashboard.segment_donut,
                            where=dashboard.slice_of(YEAR, REGION, CATEGORY)),
     "dash_drill_category": _of_star(dashboard.drill_category, CATEGORY),
+    # visuals under all three page filters, from cells
+    **{f"dash_{name}_slice": _on(prepared, plan, where=SLICE) for name, plan in {
+        "kpis": dashboard.kpis, "trend": dashboard.trend, "category_bar": dashboard.category_bar,
+        "category_treemap": dashboard.category_treemap, "region_donut": dashboard.region_donut,
+        "city_map": dashboard.city_map, "region_compare": dashboard.region_compare,
+        "region_matrix": dashboard.region_matrix, "region_aov": dashboard.region_aov,
+        "top_products": dashboard.top_products, "category_margin": dashboard.category_margin,
+        "product_table": dashboard.product_table, "segment_donut": dashboard.segment_donut,
+        "top_customers": dashboard.top_customers, "discount_combo": dashboard.discount_combo,
+        "tier_matrix": dashboard.tier_matrix}.items()},
+    "dash_drill_category_slice": _on(prepared, dashboard.drill_category, CATEGORY, {"year": YEAR, "region": REGION}),
+    # distinct counts from sketches
+    "m_distinct_sketches": _sketched_counts,
+    "m_distinct_sketches_year": lambda spark, folder: _sketched_counts(spark, folder, {"year": YEAR}),
 }
 
 
