@@ -40,7 +40,7 @@ def model(spark, orders):
 
 def filters():
     chosen = {"year": 2022, "region": "West", "category": "K1"}
-    for n in range(4):
+    for n in (0, 1, 3):
         for names in itertools.combinations(chosen, n):
             yield {k: chosen[k] for k in names}
 

@@ -159,3 +159,37 @@ def test_what_a_run_wrote_can_be_removed(spark):
     frame = workspace.written(spark.range(3), "gone")
     assert frame.count() == 3 and workspace.run_folder(spark) in frame.inputFiles()[0]
     assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("bits", [64, 3, 1])
+def test_duplicates_are_found_by_digest_and_told_apart_where_digests_clash(spark, bits):
+    rows = [(k % 40, f"t{k % 7}" if k % 5 else None, None if k % 3 else float(k % 4)) for k in range(400)]
+    rows += [(1, None, 2.0), (1, "t", None), (None, None, None), (None, None, None)] + [(9, "hot", 1.0)] * 300
+    frame = spark.createDataFrame(rows, "a int, b string, c double")
+    assert quality.duplicate_count(frame, bits).first()[0] == len(rows) - len(set(rows))
+    assert sorted(map(str, quality.drop_duplicates(frame, bits).collect())) == sorted(
+        map(str, spark.createDataFrame(sorted(set(rows), key=str), "a int, b string, c double").collect()))
+    empty = frame.limit(0)
+    assert quality.duplicate_count(empty, bits).first()[0] == 0 and quality.drop_duplicates(empty, bits).count() == 0
+
+
+def test_unequal_rows_are_not_dealt_out_whole(spark):
+    frame = spark.range(5000).select("id", F.repeat(F.lit("x"), 200).alias("wide"))
+    keyed, twice = quality._repeated(frame, 64)
+    assert twice.count() == 0 and set(twice.columns) == {"_twice"}
+    plan = keyed.groupBy("_digest").count()._jdf.queryExecution().executedPlan().toString()
+    assert "wide" not in plan.split("Exchange", 1)[0]
+
+
+def test_rows_with_bad_dates_are_kept_with_their_reasons(spark):
+    rows = [(1, "2024-02-29", "2024-03-01"), (2, "2023-02-29", "2023-03-01"), (3, None, " "), (4, "29.02.2024", "2024-13-01"),
+            (5, "2024-2-9", "2024-03-01"), (6, "0000-00-00", "2024-03-01")]
+    good, bad = quality.split_dates(spark.createDataFrame(rows, "order_id int, order_date string, ship_date string"))
+    assert values(good) == [(1, dt.date(2024, 2, 29), dt.date(2024, 3, 1))]
+    got = {r.order_id: [tuple(x) for x in r.reasons] for r in bad.collect()}
+    assert got == {2: [("order_date", "no such day")], 3: [("order_date", "missing"), ("ship_date", "missing")],
+                   4: [("order_date", "no date"), ("ship_date", "no such day")], 5: [("order_date", "no date")],
+                   6: [("order_date", "no such day")]}
+    assert {(r.order_id, r.order_date, r.ship_date) for r in bad.collect()} == set(rows[1:])
+    none, empty = quality.split_dates(spark.createDataFrame([], "order_id int, order_date string, ship_date string"))
+    assert none.count() == empty.count() == 0

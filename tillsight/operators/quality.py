@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.exact import amount, sum_units0
 from ..sources.schema import DATES
+from ..sources.workspace import new_path, written
 
 _FLOATS = (T.DoubleType, T.FloatType)
 
@@ -39,16 +40,55 @@ def null_counts(rows: DataFrame) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def duplicate_count(rows: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier one in every column."""
-    copies = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0).cast("long"))
-                      .alias("duplicate_rows"))
+def _digest(rows: DataFrame, bits: int = 64) -> Column:
+    """128 bits of a row, or fewer in tests: two hashes of all columns, and which are missing."""
+    missing = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in rows.columns])
+    columns = [F.col(f"`{c}`") for c in rows.columns]
 
+    def cut(h: Column) -> Column:
+        return h if bits == 64 else F.pmod(h, F.lit(1 << bits))
 
-def drop_duplicates(rows: DataFrame) -> DataFrame:
+    return F.struct(cut(F.xxhash64(missing, *columns)).alias("a"), cut(F.xxhash64(*reversed(columns), F.lit(7), missing)).alias("b"))
+
+
+def _repeated(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their digest, and the digests that occur twice or more, written.
+
+    Only digests are dealt out. Copies meet before, in each task, so a hot row is one line a task.
+    """
+    keyed = rows.withColumn("_digest", _digest(rows, bits))
+    counts = keyed.groupBy("_digest").agg(F.count("*").alias("_n")).where("_n > 1")
+    return keyed, written(counts.select(F.col("_digest").alias("_twice")), "digests")
+
+
+def duplicate_count(rows: DataFrame, digest_bits: int = 64) -> DataFrame:
+    """One row: how many rows repeat an earlier one in every column.
+
+    Rows are compared as a whole only where their digest occurs twice, so unequal rows of one digest
+    are told apart and the others never move. ``rows`` are read twice.
+    """
+    keyed, twice = _repeated(rows, digest_bits)
+    suspects = keyed.join(twice, F.col("_digest") == F.col("_twice"), "left_semi")
+    copies = suspects.groupBy("_digest", *[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0).cast("long")).alias("duplicate_rows"))
+
+
+def drop_duplicates(rows: DataFrame, digest_bits: int = 64) -> DataFrame:
+    """One of each group of equal rows.
+
+    The rows are written once with a digest and a number. Of rows whose digest occurs twice, whole
+    copies are compared and all but the smallest number go, by an anti join on the numbers alone.
+    """
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    kept = written(rows.withColumns({"_digest": _digest(rows, digest_bits), "_number": F.monotonically_increasing_id()}), "numbered-rows")
+    twice = written(kept.groupBy("_digest").agg(F.count("*").alias("_n")).where("_n > 1").select(
+        F.col("_digest").alias("_twice")), "digests")
+    suspects = kept.join(twice, F.col("_digest") == F.col("_twice"), "left_semi")
     # Copies meet in the map-side aggregation, so a hot group leaves one row per task.
-    return rows.dropDuplicates()
+    first = written(suspects.groupBy("_digest", *names).agg(F.min("_number").alias("_first")).select("_first"), "first-copies")
+    later = written(suspects.select("_number").join(first, F.col("_number") == F.col("_first"), "left_anti").select(
+        F.col("_number").alias("_later")), "later-copies")
+    return kept.join(later, F.col("_number") == F.col("_later"), "left_anti").select(*names)
 
 
 def column_types(rows: DataFrame) -> DataFrame:
@@ -93,6 +133,30 @@ def bad_dates(rows: DataFrame, columns: tuple[str, ...] = DATES) -> DataFrame:
     return rows.where(reduce(lambda a, b: a | b, broken))
 
 
+def split_dates(rows: DataFrame, columns: tuple[str, ...] = DATES, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): rows whose date texts can all be read, with dates, and the others as they came.
+
+    ``reasons`` names what is wrong with each failing column: "missing" where a text is null or
+    blank and ``"no date"`` or ``"no such day"`` otherwise. One pass tags every row, and one write
+    puts both kinds in folders of their own, so that nothing is parsed twice and accepted plus
+    rejected are all rows, whatever happens to the tasks.
+    """
+    def reason(c: str) -> Column:
+        text = F.col(f"`{c}`")
+        what = (F.when(text.isNull() | (F.trim(text) == ""), "missing")
+                .when(~text.rlike(r"^\d{4}-\d{2}-\d{2}$"), "no date")
+                .when(F.try_to_date(text, "yyyy-MM-dd").isNull(), "no such day"))
+        return F.when(what.isNotNull(), F.struct(F.lit(c).alias("column"), what.alias("reason")))
+
+    path = path or new_path(rows.sparkSession, "split")
+    tagged = rows.withColumn("reasons", F.filter(F.array(*map(reason, columns)), lambda r: r.isNotNull()))
+    tagged.withColumn("accepted", F.size("reasons") == 0).write.partitionBy("accepted").parquet(path)
+    schema = T.StructType([*tagged.schema.fields, T.StructField("accepted", T.BooleanType())])
+    stored = rows.sparkSession.read.schema(schema).parquet(path)
+    good = stored.where("accepted").select(*[F.col(f"`{c}`") for c in rows.columns])
+    return cast_dates(good, columns), stored.where("NOT accepted").drop("accepted")
+
+
 def nan_to_null(rows: DataFrame) -> DataFrame:
     """NaN is a missing value; NULL is how Spark skips one."""
     return rows.select(*[

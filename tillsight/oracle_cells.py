@@ -79,11 +79,22 @@ def _profile(table: str, rows: str) -> str:
     return f"SELECT '{table}' AS table_name, unnest(l, recursive := true) FROM (SELECT [{lines}] AS l FROM ({rows}))"
 
 
+_SPOILT = """CASE WHEN quantity % 11 = 0 THEN 'on ' || CAST(order_date AS VARCHAR) WHEN quantity % 13 = 0 THEN
+ strftime(order_date, '%Y') || '-02-30' ELSE CAST(order_date AS VARCHAR) END AS order_date,
+ CASE WHEN quantity % 22 <> 0 THEN CAST(ship_date AS VARCHAR) END AS ship_date, quantity, sales"""
+_REASONS = """concat_ws(', ', CASE WHEN quantity % 11 = 0 THEN 'order_date: no date' WHEN quantity % 13 = 0 THEN
+ 'order_date: no such day' END, CASE WHEN quantity % 22 = 0 THEN 'ship_date: missing' END) AS reasons"""
+
+
 def statements(own: dict[str, str]) -> dict[str, str]:
     return {
         **{f"dash_{name}_slice": sql for name, sql in _pages().items()},
         "m_distinct_sketches": _close(),
         "m_distinct_sketches_year": _close(f"WHERE order_year = {R.YEAR}"),
+        "clean_accepted_dates": _with(f"SELECT order_id, product_name, {_SPOILT} FROM sales WHERE quantity % 11 <> 0 "
+                                      "AND quantity % 13 <> 0"),
+        "clean_rejected_dates": _with(f"SELECT order_id, product_name, {_SPOILT}, {_REASONS} FROM sales WHERE "
+                                      "quantity % 11 = 0 OR quantity % 13 = 0"),
         "snk_star": " UNION ALL ".join(_profile(t, own[t]) for t in _COLUMNS),
         "snk_star_csv": own["fact_sales"],
     }

@@ -25,6 +25,10 @@ INPUT_COLUMNS = (
     "order_id", "order_date", "ship_mode", "customer_id", "customer_name", "segment", "region",
     "city", "category", "product_name", "quantity", "unit_price", "discount", "sales", "profit",
     "profit_margin", "days_to_ship", "customer_ltv", "customer_tier")
+# Of the written facts, which may have no file to take it from.
+FACT_SCHEMA = ("order_id string, date_key int, customer_id string, product_id string, geo_id string, ship_mode string, "
+               "quantity int, unit_price double, discount double, sales double, profit double, profit_margin double, "
+               "days_to_ship int, order_year int")
 # Rows of one file of the facts.
 FILE_ROWS = 20_000_000
 FACT_COLUMNS = ("order_id", "date_key", "customer_id", "product_id", "geo_id", "ship_mode",
@@ -146,7 +150,7 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
             writer = (years.repartitionByRange("order_year", "date_key").sortWithinPartitions("order_year", "date_key")
                       .write.partitionBy("order_year").option("maxRecordsPerFile", FILE_ROWS))
         writer.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
     put("dim_customer", dim_customer(sales))
     products = put("dim_product", dim_product(sales))
@@ -159,7 +163,8 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(*[spark.read.parquet(f"{folder}/{name}") for name in TABLES])
+    return Star(spark.read.schema(FACT_SCHEMA).parquet(f"{folder}/fact_sales"),
+                *[spark.read.parquet(f"{folder}/{name}") for name in TABLES[1:]])
 
 
 def write_star_csv(star: Star, folder: str) -> None:

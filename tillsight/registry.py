@@ -132,6 +132,27 @@ def _clean_csv(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders from CSV, some of whose date texts are spoilt."""
+    path = workspace.new_path(spark, "spoilt_csv")
+    ordered, shipped = F.col("order_date").cast("string"), F.col("ship_date").cast("string")
+    files.write_csv(kept_raw(spark, folder).withColumns({
+        "order_date": F.when(F.col("quantity") % 11 == 0, F.concat(F.lit("on "), ordered))
+        .when(F.col("quantity") % 13 == 0, F.concat(F.substring(ordered, 1, 4), F.lit("-02-30"))).otherwise(ordered),
+        "ship_date": F.when(F.col("quantity") % 22 == 0, F.lit(None).cast("string")).otherwise(shipped)}), path)
+    return quality.split_dates(files.read_raw_csv_text_dates(spark, path))
+
+
+def _accepted_dates(spark: SparkSession, folder: str) -> DataFrame:
+    return _split(spark, folder)[0].select("order_id", "product_name", "order_date", "ship_date", "quantity", "sales")
+
+
+def _rejected_dates(spark: SparkSession, folder: str) -> DataFrame:
+    reasons = F.array_join(F.transform("reasons", lambda r: F.concat_ws(": ", r["column"], r["reason"])), ", ")
+    return _split(spark, folder)[1].select("order_id", "product_name", "order_date", "ship_date", "quantity", "sales",
+                                           reasons.alias("reasons"))
+
+
 def _src_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_raw_csv(spark, _raw_csv(spark, folder))
 
@@ -321,6 +342,8 @@ _PLANS: dict[str, Query] = {
     "clean_dedup": _on(_with_copies, quality.clean),
     "dq_dtypes": _on(raw, quality.column_types),
     "clean_cast_dates": _clean_cast_dates,
+    "clean_accepted_dates": _accepted_dates,
+    "clean_rejected_dates": _rejected_dates,
     "dq_summary": _on(raw, quality.summary),
     "dq_category_totals": _on(raw, quality.category_totals),
     # features
