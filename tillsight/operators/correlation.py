@@ -16,9 +16,13 @@ def _number(name: str) -> Column:
     return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
 
-def typical_values(rows: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Mean of each column: one pass, one row to the driver."""
-    means = rows.agg(*[F.avg(_number(c)).alias(c) for c in columns]).first()
+#: Rows whose mean serves as a typical value.
+SAMPLE = 1_000
+
+
+def typical_values(rows: DataFrame, columns: Sequence[str], sample: int = SAMPLE) -> dict[str, float]:
+    """A typical value of each column, the mean of a few rows: it reads no more than these."""
+    means = rows.select(*columns).limit(sample).agg(*[F.avg(_number(c)).alias(c) for c in columns]).first()
     return {c: means[c] for c in columns if means[c] is not None}
 
 
@@ -34,9 +38,10 @@ def correlation_matrix(rows: DataFrame, columns: Sequence[str] = NUMERIC,
     per group then serve all pairs (an eighth of the time of as many covariance
     aggregates), and a pair adds up the groups that have both columns.
 
-    ``centers`` are subtracted first, so that the sums do not cancel when a
-    column lies far from zero; any typical value will do. Without them the
-    means are taken in a pass of their own.
+    ``centers`` are subtracted first, so that the sums do not cancel when a column lies far
+    from zero; any typical value will do, as what it lacks of the mean is taken off exactly
+    once the sums are there. So there is one pass, whatever the scale. Sums of groups and tasks add up,
+    and states of parts of the data can be merged.
     """
     names = list(columns)
     size = range(len(names))

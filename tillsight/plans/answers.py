@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, questions
 from ..functions.exact import (amount, best_key, growth, mean, percent, ratio, sum_units,
                                sum_units0, units, worst_key)
+from ..sources.workspace import written
 from .business import retained_customers
 from .exploratory import by
 
@@ -422,7 +423,8 @@ def summary(sales: DataFrame, category: str = "Electronics", region: str = "West
 
     Customers and products are counted as groups, not as distinct values.
     """
-    totals = _side_totals(sales).fillna(0, subset=["_s", "_all_s", "_all_p", "_all_q4"])
+    # Written: the leaders and the figures both come from it.
+    totals = written(_side_totals(sales).fillna(0, subset=["_s", "_all_s", "_all_p", "_all_q4"]), "side-totals")
     whole = _set_id(())
     set_of = {side: _set_id((side,)) for side in _SIDES}
 

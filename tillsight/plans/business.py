@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import bands
-from ..functions.exact import amount, growth, mean, percent, ratio, sum_units
+from ..functions.exact import amount, growth, mean, percent, ratio, sum_units, units
 
 CUSTOMER = ("customer_id", "customer_name", "region", "segment")
 MONTH = ("order_year", "order_month")
@@ -243,8 +243,7 @@ def first_and_latest_order(sales: DataFrame, limit: int = 15) -> DataFrame:
         F.min("_first").over(everything)["sales"].alias("_from"),
         F.max("_last").over(everything)["sales"].alias("_to"))
     ends = ends.select("customer_name", "region",
-                       F.rint(F.col("_from") * 100).cast("long").alias("_from"),
-                       F.rint(F.col("_to") * 100).cast("long").alias("_to"))
+                       units("_from").alias("_from"), units("_to").alias("_to"))
     return (
         ends.select("customer_name", "region",
                     amount("_from", 0).alias("first_order_value"),
@@ -259,7 +258,7 @@ def first_and_latest_order(sales: DataFrame, limit: int = 15) -> DataFrame:
 
 def quarterly_by_category(sales: DataFrame) -> DataFrame:
     quarters = [F.sum(F.when(F.col("order_quarter") == q,
-                             F.coalesce(F.rint(F.col("sales") * 100).cast("long"), F.lit(0)))
+                             F.coalesce(units("sales"), F.lit(0)))
                       .otherwise(0)).alias(f"_q{q}") for q in (1, 2, 3, 4)]
     return (
         sales.groupBy("order_year", "category").agg(*quarters, _sales())

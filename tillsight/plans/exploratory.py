@@ -10,9 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import bands
-from ..functions.exact import amount, mean, percent, sum_units, sum_units0
+from ..functions.exact import amount, mean, percent, sum_units, sum_units0, units
 from ..operators.correlation import NUMERIC, correlation_matrix, typical_values
 from ..operators.features import with_customer_value
+from ..sources.workspace import written
 
 
 def by(sales: DataFrame, *keys: str):
@@ -93,16 +94,16 @@ def _present(sales: DataFrame, column: str) -> list:
 
 
 def quarter_year_grid(sales: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """Quarter by year; a cell without orders is NULL. Without ``years``: all in the data."""
-    years = _present(sales, "order_year") if years is None else years
-    return (
-        by(sales.dropna(subset=["order_year"]), "order_quarter")
-        .agg(F.count("*").alias("_n"), *[amount(F.sum(F.when(
-            F.col("order_year") == y,
-            F.coalesce(F.rint(F.col("sales") * 100).cast("long"), F.lit(0))))
-        ).alias(str(y)) for y in years])
-        .drop("_n").orderBy("order_quarter")
-    )
+    """Quarter by year; a cell without orders is NULL. Without ``years``: all in the data.
+
+    The orders are read once, for the cells; years and grid come from these few rows.
+    """
+    cells = written(
+        by(sales.dropna(subset=["order_year"]), "order_quarter", "order_year")
+        .agg(F.sum(F.coalesce(units("sales"), F.lit(0))).alias("_s")), "cells")
+    years = _present(cells, "order_year") if years is None else years
+    grid = cells.groupBy("order_quarter").pivot("order_year", years).agg(F.first("_s"))
+    return grid.select("order_quarter", *[amount(f"`{y}`").alias(str(y)) for y in years]).orderBy("order_quarter")
 
 
 def grid_cells(grid: DataFrame, column: str, value: str) -> DataFrame:

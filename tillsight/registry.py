@@ -406,7 +406,7 @@ _PLANS: dict[str, Query] = {
     "eda10_year_category": _of_sales(lambda s: exploratory.grid_cells(
         exploratory.year_category_grid(s), "category", "sales")),
     "eda11_correlation_matrix": lambda spark, folder: exploratory.correlations(
-        sales(spark, folder)).withColumn("r", F.round("r", 6)),
+        full(spark, folder)).withColumn("r", F.round("r", 6)),
     "eda12_overall_kpis": _of_sales(exploratory.overall_kpis),
     "eda13_category_margin": _of_sales(exploratory.category_margin),
     "eda14_q4_share": _of_sales(exploratory.fourth_quarter_share),
