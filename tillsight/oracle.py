@@ -10,7 +10,7 @@ from __future__ import annotations
 from . import registry as R
 from .functions import bands
 from .functions.questions import DEFAULT_TOP, TOP_PATTERN, TOPICS, UNKNOWN, YEAR_PATTERN
-from .sources.tables import BASE_MARGIN
+from .sources.tables import BASE_MARGIN, WORDS
 
 # ---- the orders ------------------------------------------------------------
 
@@ -580,10 +580,20 @@ def _questions() -> dict[str, str]:
     texts = ("WITH t AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL "
              "SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, text "
              "FROM conversations)")
+    words = "[" + ", ".join(f"'{w}'" for w in WORDS) + "]"
+
+    def word(step: int) -> str:
+        return f"{words}[1 + CAST(c_custkey * {step} % {len(WORDS)} AS INTEGER)]"
+
+    def capitals(c: str) -> str:
+        return f"array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN string_split({c}, ' ')], ' ')"
+
+    number = "CAST(c_custkey AS VARCHAR)"
     asked = texts[:-1] + (
-        " UNION ALL SELECT 'q' || CAST(c_custkey AS VARCHAR) AS id, 'Top ' || CAST(c_custkey AS VARCHAR) "
+        f" UNION ALL SELECT 'q' || {number} AS id, CASE c_custkey % 3 WHEN 0 THEN 'Top ' || {number} "
         "|| ' customers of ' || c_mktsegment || ' by profit in ' || CAST(2000 + c_nationkey AS VARCHAR) "
-        "|| ' and 2024' AS text FROM customer)")
+        f"|| ' and 2024' WHEN 1 THEN 'Show me ' || {word(1)} || ' of ' || c_mktsegment ELSE "
+        f"{capitals(word(1))} || ' or ' || {word(7)} || ', top ' || {number} END AS text FROM customer)")
     points = ", ".join(
         "(" + " + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in words)
         + f") AS s{i}" for i, words in enumerate(TOPICS.values()))

@@ -95,6 +95,9 @@ def statements(own: dict[str, str]) -> dict[str, str]:
                                       "AND quantity % 13 <> 0"),
         "clean_rejected_dates": _with(f"SELECT order_id, product_name, {_SPOILT}, {_REASONS} FROM sales WHERE "
                                       "quantity % 11 = 0 OR quantity % 13 = 0"),
+        "feat_bands_from_table": _with("SELECT order_id, product_name, discount, sales, discount_band, sales_band FROM sales"),
+        "intent_scores_by_table": own["intent_scores"],
+        "intent_tag_by_table": own["intent_tag"],
         "snk_star": " UNION ALL ".join(_profile(t, own[t]) for t in _COLUMNS),
         "snk_star_csv": own["fact_sales"],
     }

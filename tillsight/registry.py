@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import bands, labels, questions
 from .functions.exact import half_up, percent, sum_units0
-from .operators import features, pricing, quality
+from .operators import features, intervals, keywords, pricing, quality
 from .plans import answers, business, cells, dashboard, exploratory, measures, periods
 from .plans import star as star_plan
 from .sources import files, tables, workspace
@@ -172,8 +172,12 @@ def _clean_cast_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _snk_sales_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Published, published again with a row less, and replaced by all rows: one table throughout."""
+    rows = full(spark, folder)
+    name = f"published_sales_{abs(hash(_stamp(spark, folder))):x}"
     path = workspace.new_path(spark, "sales_table")
-    return files.publish(full(spark, folder), f"published_sales_{path[-32:]}", path)
+    files.publish(rows.limit(10), name, path)
+    return files.publish(rows, name, path)
 
 
 def _snk_star(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,6 +240,31 @@ def _feature(*columns: str, add: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def _bands_from_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored bands by interval joins with a table of bounds."""
+    sets = {"discount": (bands.DISCOUNT_LIMITS, bands.DISCOUNT_LABELS), "sales": (bands.SALES_LIMITS, bands.SALES_LABELS)}
+    bounds = intervals.checked(spark.createDataFrame(
+        [(name, float(low), None if high is None else float(high), label) for name, (limits, names) in sets.items()
+         for low, high, label in zip(limits, limits[1:], names)], "set string, low double, high double, label string"))
+    rows = raw(spark, folder).select(*_ROW, "discount", "sales")
+    for name in sets:
+        rows = intervals.labelled(rows, name, bounds, name, f"{name}_band")
+    return rows
+
+
+def _topic_words(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(t, w) for t, words in questions.TOPICS.items() for w in words], "topic string, keyword string")
+
+
+def _scores_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    return keywords.scores(asked(spark, folder), "id", _topic_words(spark))
+
+
+def _tags_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    places = spark.createDataFrame([(t, k) for k, t in enumerate(questions.TOPICS)], "topic string, place int")
+    return keywords.tagged(asked(spark, folder), "id", _topic_words(spark), places)
+
+
 def _of_clean(*columns: str) -> Query:
     """Columns of the written clean table."""
     return _on(full, lambda rows: rows.select(*_ROW, *columns))
@@ -355,6 +384,7 @@ _PLANS: dict[str, Query] = {
                                   add=features.with_days_to_ship),
     "feat_discount_band": _feature("discount", "discount_band", add=features.with_bands),
     "feat_sales_band": _feature("sales", "sales_band", add=features.with_bands),
+    "feat_bands_from_table": _bands_from_table,
     "feat_is_profitable": _feature("profit", "is_profitable", add=features.with_profit_flag),
     "feat_customer_ltv": _of_clean("customer_id", "customer_ltv"),
     "feat_customer_tier": _of_clean("customer_ltv", "customer_tier"),
@@ -444,6 +474,8 @@ _PLANS: dict[str, Query] = {
     "intent_tag_texts": _on(tables.texts, lambda t: questions.tag(t).select("id", "intent")),
     "intent_scores": _on(asked, questions.scores, "id"),
     "intent_scores_texts": _on(tables.texts, questions.scores, "id"),
+    "intent_scores_by_table": _scores_by_table,
+    "intent_tag_by_table": _tags_by_table,
     "intent_volume": _by_asked_topic,
     "extract_top_n": _on(asked, lambda t: t.select("id", questions.top_n().alias("n"))),
     "extract_years": _extracted,

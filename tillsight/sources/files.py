@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schema as S
+from .workspace import new_path
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,12 +71,38 @@ def write_clean(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def publish(sales: DataFrame, name: str = "sales", path: str | None = None) -> DataFrame:
-    """Replace the catalog table ``name``; with a path, its files live there."""
-    writer = sales.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return sales.sparkSession.table(name)
+    """Replace the catalog table ``name`` in one step.
+
+    Every version is written aside, in a folder of its own below ``path`` or the run folder. When
+    it is complete the catalog's location is switched to it. A reader has the old rows or the new
+    ones, never none or some, and a write that fails changes nothing. Files of earlier versions
+    stay for those who read them; ``drop_versions`` removes them. Columns have to stay as they are.
+    """
+    spark = sales.sparkSession
+    folder = path or new_path(spark, name)
+    version = f"{folder}/version-{uuid.uuid4().hex}"
+    if spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema] != [
+            (f.name, f.dataType) for f in sales.schema]:
+        raise ValueError(f"{name} has other columns; publish under another name")
+    sales.write.parquet(version)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, version, source="parquet", schema=sales.schema)
+    return spark.table(name)
+
+
+def drop_versions(spark: SparkSession, name: str, path: str) -> int:
+    """Remove the versions below ``path`` that the table no longer points to; how many there were."""
+    current = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    old = [f.getPath() for f in system.listStatus(root)
+           if f.getPath().getName().startswith("version-") and not current.rstrip("/").endswith(f.getPath().getName())]
+    for one in old:
+        system.delete(one, True)
+    return len(old)
 
 
 def run_sql(sales: DataFrame, text: str, name: str = "sales") -> DataFrame:

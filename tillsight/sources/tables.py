@@ -12,11 +12,12 @@ generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exact import half_up
+from ..functions.questions import TOPICS
 
 # Share of sales kept as profit before discount, in percent, by part type.
 BASE_MARGIN = {"ECONOMY": 20, "STANDARD": 30, "SMALL": 35,
@@ -94,11 +95,27 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: The words a made question asks about.
+WORDS = [w for words in TOPICS.values() for w in words]
+
+
 def questions(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, text): a question from the number, segment and nation of every customer."""
+    """(id, text): a question from the number, segment and nation of every customer.
+
+    One in three asks for a number of customers and two years; the others ask about one or two
+    keywords that the number picks, so that all topics occur, and ties between them.
+    """
     number, nation = F.col("c_custkey").cast("string"), (2000 + F.col("c_nationkey")).cast("string")
-    text = F.concat(F.lit("Top "), number, F.lit(" customers of "), F.col("c_mktsegment"),
-                    F.lit(" by profit in "), nation, F.lit(" and 2024"))
+    words = F.array(*[F.lit(w) for w in WORDS])
+
+    def word(step: int) -> Column:
+        return F.get(words, (F.col("c_custkey") * step % len(WORDS)).cast("int"))
+
+    top = F.concat(F.lit("Top "), number, F.lit(" customers of "), F.col("c_mktsegment"),
+                   F.lit(" by profit in "), nation, F.lit(" and 2024"))
+    one = F.concat(F.lit("Show me "), word(1), F.lit(" of "), F.col("c_mktsegment"))
+    two = F.concat(F.initcap(word(1)), F.lit(" or "), word(7), F.lit(", top "), number)
+    text = F.when(F.col("c_custkey") % 3 == 0, top).when(F.col("c_custkey") % 3 == 1, one).otherwise(two)
     return table(spark, folder, "customer").select(
         F.concat(F.lit("q"), number).alias("id"), text.alias("text"))
 
