@@ -187,7 +187,7 @@ def test_elias_fano_selects(steps, beyond):
     made = token_files.EliasFano.of(numbers, universe)
     again, end = token_files.EliasFano.load(memoryview(made.dump()), 0)
     assert end == len(made.dump())
-    assert again.all().tolist() == numbers.tolist()
+    assert again.select_many(np.arange(len(numbers))).tolist() == numbers.tolist()
     assert [again.select(i) for i in range(len(numbers))] == numbers.tolist()
 
 
@@ -250,3 +250,27 @@ def test_token_counts_of_odd_rows(odd):
     rows = values(token_counts.count(odd, path))
     assert len(rows) == odd.count() and (1, 0, 0) in rows and (3, 0, 0) in rows
     assert token_counts.count(odd.where("false"), path).count() == 0
+
+
+def test_ids_over_the_whole_range_of_longs_are_read_back(spark, frame):
+    ends = [-2**63, -2**63 + 1, -5, 0, 7, 2**62, 2**63 - 2, 2**63 - 1, None, None]
+    docs = frame(*[(i, f"text number {k}") for k, i in enumerate(ends)])
+    path = public_tokenizers.path(BYTE_BPE)
+    rows = token_files.through_files(docs.coalesce(1), path).collect()
+    library = Tokenizer.from_file(path)
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in rows) == sorted((i is not None, i or 0) for i in ends)
+    for r in rows:
+        if r.doc_id is not None:
+            expected = [*library.encode(f"text number {ends.index(r.doc_id)}", add_special_tokens=False).ids, 2]
+            assert np.frombuffer(r.ids, "<u4").tolist() == expected and r.n_tokens == len(expected)
+    starts = sorted((r.start, r.n_tokens) for r in rows)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
+@settings(max_examples=100, deadline=None)
+@given(values=st.lists(st.integers(0, 2**64 - 1), max_size=40), few=st.booleans())
+def test_select_of_many_is_select_of_each(values, few):
+    numbers = np.sort(np.array([v % 50 if few else v for v in values], dtype=np.uint64))
+    own = token_files.EliasFano.of(numbers, int(numbers[-1]) if len(numbers) else 0)
+    again, _ = token_files.EliasFano.load(memoryview(own.dump()), 0)
+    assert again.select_many(np.arange(len(numbers))).tolist() == numbers.tolist() == [again.select(k) for k in range(len(numbers))]

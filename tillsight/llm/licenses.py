@@ -15,8 +15,8 @@ The known table is made from the constants below, a few dozen rows, which bounds
 what is broadcast. More licences are more rows of ``known``. Long licences are known
 by the digests of their published files, with and without what follows their terms.
 
-The SQL of ``oracle`` was left as it was: it takes out every line that begins with
-"copyright" or "(c)", and knows the short licences only.
+The SQL of ``oracle`` states the same rule and knows the same licences. Its pattern cannot look
+ahead, so it takes what ends a notice and puts it back, over lines that are doubled apart.
 
 Defined results: a null or empty text, or one of copyright lines only, has the
 digest of the empty form, which no licence has. Rows with equal ``doc_id`` are
@@ -29,15 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: The notices of ``oracle``.
-COPYRIGHT_LINE = r"(^|\n)[ \t\r*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 _YEAR = r"[\[<{(]*(?:(?:19|20)\d\d|yyyy|year)"
 #: Where the licence begins on the line of a notice.
 _LICENCE = (r"(?:licen[cs]ed|released|distributed) under|this (?:work|software|program|file) is|"
             r"permission (?:is hereby|to use)|redistribution and use|spdx-license-identifier")
-NOTICE = (r"(^|\n)[^0-9a-z\n\x80-\x{10ffff}]*"
-          rf"(?:copyright[ \t:,-]*(?:\(c\)|©|by\b|{_YEAR})|\(c\)[ \t]*(?:copyright|{_YEAR})|©|all rights reserved)"
-          rf"[^\n]*?(?=\n|\b(?:{_LICENCE})\b|\z)")
+_HEAD = (r"(^|\n)[^0-9a-z\n\x80-\x{10ffff}]*"
+         rf"(?:copyright[ \t:,-]*(?:\(c\)|©|by\b|{_YEAR})|\(c\)[ \t]*(?:copyright|{_YEAR})|©|all rights reserved)[^\n]*?")
+_END = rf"\n|\b(?:{_LICENCE})\b|\z"
+NOTICE, NOTICE_SQL = f"{_HEAD}(?={_END})", f"{_HEAD}({_END})"
 NOT_WORDS = "[\\x00-/:-`{-\x7f]+"
 #: Spellings that mean the same, after punctuation is gone.
 SPELLINGS = [
@@ -250,16 +249,20 @@ def oracle(texts: list[tuple[str, str, str]] | None = None) -> str:
         return "'" + text.replace("'", "''") + "'"
 
     def form(text: str) -> str:
-        out = (f"regexp_replace(translate({text}, '{UPPER}', '{LOWER}'), {quoted(COPYRIGHT_LINE)}, '', 'g')")
+        lines = f"replace(translate({text}, '{UPPER}', '{LOWER}'), chr(10), chr(10) || chr(10))"
+        out = f"regexp_replace({lines}, {quoted(NOTICE_SQL)}, '\\1\\2', 'g')"
         out = f"regexp_replace({out}, {quoted(NOT_WORDS)}, ' ', 'g')"
         for spelling, one in SPELLINGS:
             out = f"replace({out}, {quoted(spelling)}, {quoted(one)})"
         return f"sha256(trim({out}))"
 
     rows = ", ".join(f"({quoted(n)}, {quoted(k)}, {quoted(t)})" for n, k, t in texts or known_texts())
+    long = "" if texts else " UNION ALL SELECT 'text', digest, license FROM (VALUES " + ", ".join(
+        f"({quoted(own)}, {quoted(name)})" for name, digests in DIGESTS.items() for own in digests) + ") l(digest, license)"
     return f"""
 WITH given(license, kind, text) AS (VALUES {rows}),
-known AS (SELECT kind, {form('text')} AS digest, min(license) AS license FROM given GROUP BY 1, 2),
+known AS (SELECT kind, digest, min(license) AS license FROM
+  (SELECT kind, {form('text')} AS digest, license FROM given{long}) GROUP BY 1, 2),
 docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
   SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),

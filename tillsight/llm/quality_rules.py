@@ -1,16 +1,15 @@
 """Quality rules whose thresholds follow each language and source.
 
-A first pass measures every text. Documents that fail the base rules are out.
-From the others, quantile sketches (KLL, one per language, source and measure)
-are built with map-side partial sketches and merged upwards, from sources to
-languages to the whole corpus. A group's fences are its quartiles, widened by
-three times their distance; a group with few documents takes the fences of its
-language, and a small language those of the corpus. The measures are joined with
-the fences, and a document outside any fence goes.
-
-Sketches are randomised: two runs can differ in a fence by its rank error, which
-moves documents right at a fence only. The fences are written once, so a retried
-task sees the same ones.
+A first pass measures every text. Documents that fail the base rules are out. From the others, a
+quantile sketch is kept for each language, source and measure: counts in buckets whose bounds grow by
+``GROWTH``, so a quantile is right within that ratio. Buckets are the same everywhere, so sketches
+merge by adding counts, from tasks to sources, to languages, to the corpus, in any order and without
+any draw: two runs give the same fences.
+
+A group's quartiles are blended with those of its language, and these with the corpus's, by a
+weight n² / (n² + ``HALF``²) that grows smoothly with the group's documents; no number of documents is
+a switch. Its fences are these quartiles, widened by three times their distance. The
+measures are joined with the fences, and a document outside any fence goes.
 
 Defined results: a null or empty text has no words and fails the base rules.
 Null languages and sources are groups of their own. Rows with equal ``doc_id``
@@ -20,17 +19,18 @@ and ``source`` are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.workspace import written
 
-#: Fewest documents of a group that has fences of its own, and the sketches' size.
-FEWEST, SKETCH = 200, 400
+#: Documents at which a group's own quartiles count half, and the growth of a sketch's buckets.
+HALF, GROWTH = 100, 1.02
 #: Times the quartile distance that a fence lies outside the quartiles.
 REACH = 3.0
 #: Measure: its formula, the least quartile distance, and whether small values are odd too.
@@ -42,6 +42,7 @@ MEASURES = {
     "word_length": ("word_chars / n_words", 1.0, True),
 }
 
+_ZERO = -(1 << 30)
 _SYMBOLS = b"#*$%&|<>"
 _OUT = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()),
                   *((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_lines",
@@ -102,46 +103,61 @@ def _rates(rows: DataFrame) -> DataFrame:
                              for name, (formula, _, _) in MEASURES.items()})
 
 
-def fences(measures: DataFrame, fewest: int = FEWEST) -> DataFrame:
+def sketches(measures: DataFrame) -> DataFrame:
+    """(lang, source, name, bucket, n): the sketches of every group as rows, written.
+
+    Bucket b holds values from GROWTH^b to GROWTH^(b + 1); zeros have one of their own, below all. A sketch
+    has some hundred buckets, however many documents it counts.
+    """
+    pairs = F.array(*(F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in MEASURES))
+    bucket = F.when(F.col("value") > 0, F.floor(F.log(F.col("value")) / math.log(GROWTH)).cast("int")).otherwise(_ZERO)
+    return written(_rates(measures.where("NOT base_failed")).select("lang", "source", F.inline(pairs))
+                   .where("value IS NOT NULL").groupBy("lang", "source", "name", bucket.alias("bucket"))
+                   .agg(F.count("*").alias("n")), "sketches")
+
+
+def quartiles(sketch: DataFrame, *by: str) -> DataFrame:
+    """(by..., name, n, q1, q3) of the sketches merged to ``by``."""
+    merged = sketch.groupBy(*by, "name", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by, "name")
+    value = F.when(F.col("bucket") == _ZERO, 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bucket") + 0.5))
+    ranked = merged.select(*by, "name", "n", value.alias("value"), F.sum("n").over(group).alias("all"),
+                           F.sum("n").over(group.orderBy("bucket")).alias("until"))
+    return ranked.groupBy(*by, "name").agg(
+        F.sum("n").alias("n"), *(F.min(F.when(F.col("until") >= F.col("all") * rank, F.col("value"))).alias(part)
+                                 for part, rank in (("q1", 0.25), ("q3", 0.75))))
+
+
+def fences(measures: DataFrame, half: float = HALF) -> DataFrame:
     """(lang, source, <measure>_low, <measure>_high), written below the shared folder."""
-    sketches = _rates(measures.where("NOT base_failed")).groupBy("lang", "source").agg(
-        F.count("*").alias("n"),
-        *(F.kll_sketch_agg_double(name, SKETCH).alias(name) for name in MEASURES))
-    sketches = written(sketches, "sketches")
-
-    def merged(*by: str) -> DataFrame:
-        return sketches.groupBy(*by).agg(
-            F.sum("n").alias("n"),
-            *(F.kll_merge_agg_double(name, SKETCH).alias(name) for name in MEASURES))
-
-    def quartiles(rows: DataFrame, *by: str) -> DataFrame:
-        found = F.struct(*(
-            F.kll_sketch_get_quantile_double(name, F.lit(rank)).alias(f"{name}_{part}")
-            for name in MEASURES for part, rank in (("q1", 0.25), ("q3", 0.75))))
-        return rows.select(*by, "n", F.when(F.col("n") > 0, found).alias("q"))
-
-    whole = quartiles(merged()).first()["q"]  # one row; null without documents
-    corpus = F.struct(*(F.lit(whole[f] if whole else None).cast("double").alias(f)
-                        for f in quartiles(sketches).schema["q"].dataType.fieldNames()))
-    own, tongue = (quartiles(sketches, "lang", "source").alias("own"),
-                   quartiles(merged("lang"), "lang").alias("tongue"))
-    picked = own.join(tongue, F.col("own.lang").eqNullSafe(F.col("tongue.lang"))).select(
-        "own.lang", "own.source",
-        F.when(F.col("own.n") >= fewest, F.col("own.q"))
-        .when(F.col("tongue.n") >= fewest, F.col("tongue.q")).otherwise(corpus).alias("q"))
+    sketch = sketches(measures)
+
+    def blended(own: DataFrame, above: DataFrame, *same: str) -> DataFrame:
+        """Own quartiles weighed against those of the level above, which ``same`` columns lead to."""
+        above = above.select(*(F.col(c).alias(f"_{c}") for c in (*same, "name")), F.col("q1").alias("_q1"), F.col("q3").alias("_q3"))
+        meets = F.col("name") == F.col("_name")
+        for c in same:
+            meets &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        n = F.col("n").cast("double")
+        weight = n * n / (n * n + half * half)
+        return own.join(above, meets).select(*(c for c in own.columns if c not in ("q1", "q3")), *(
+            (weight * F.col(q) + (1 - weight) * F.col(f"_{q}")).alias(q) for q in ("q1", "q3")))
+
+    tongues = written(blended(quartiles(sketch, "lang"), quartiles(sketch)), "tongues")
+    groups = blended(quartiles(sketch, "lang", "source"), tongues, "lang")
     bounds = []
     for name, (_, least, two_sided) in MEASURES.items():
-        q1, q3 = F.col(f"q.{name}_q1"), F.col(f"q.{name}_q3")
+        q1, q3 = (F.max(F.when(F.col("name") == name, F.col(q))) for q in ("q1", "q3"))
         reach = REACH * F.greatest(q3 - q1, F.lit(least))
         bounds += [(q1 - reach if two_sided else F.lit(None).cast("double")).alias(f"{name}_low"),
                    (q3 + reach).alias(f"{name}_high")]
-    return written(picked.select("lang", "source", *bounds), "fences")
+    return written(groups.groupBy("lang", "source").agg(*bounds), "fences")
 
 
-def judge(docs: DataFrame, fewest: int = FEWEST) -> DataFrame:
+def judge(docs: DataFrame, half: float = HALF) -> DataFrame:
     """The measures of every document, ``base_failed``, and whether it is kept."""
     measures = measure(docs)
-    limits = fences(measures, fewest)
+    limits = fences(measures, half)
     rows = _rates(measures).alias("m").join(
         limits.alias("f"), F.col("m.lang").eqNullSafe(F.col("f.lang"))
         & F.col("m.source").eqNullSafe(F.col("f.source")), "left")

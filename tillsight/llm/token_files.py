@@ -40,6 +40,9 @@ _HEADER = struct.Struct("<4sBBxxIIq")  # magic, id bytes, has sampled ends, null
 _EF = struct.Struct("<IQB")  # values, universe, low bits
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], dtype=np.int64)
 
+#: In a byte, where its k-th one stands.
+_PLACE = np.array([[*(k for k in range(8) if b >> k & 1), *[0] * 8][:8] for b in range(256)], dtype=np.int64)
+
 SEGMENTS = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()),
                       ("n_ids", pa.int64()), ("blob", pa.binary())])
 _SEGMENTS_DDL = "part int, segment int, before long, n_ids long, blob binary"
@@ -55,12 +58,13 @@ class EliasFano:
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
-        """Of values from 0 to ``universe``."""
+        """Of values from 0 to ``universe``, which may be as large as 64 bits hold."""
         n = len(values)
         low_bits = max(0, int(universe // max(n, 1)).bit_length() - 1)
-        values = values.astype(np.int64)
-        low = np.packbits((values[:, None] >> np.arange(low_bits)) & 1, bitorder="little")
-        ones = (values >> low_bits) + np.arange(n)
+        values = values.astype(np.uint64)
+        low = np.packbits(((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8),
+                          bitorder="little")
+        ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         bits = np.zeros(n + (universe >> low_bits) + 1, dtype=np.uint8)
         bits[ones] = 1
         return cls(n, universe, low_bits, low, np.packbits(bits, bitorder="little"),
@@ -98,11 +102,21 @@ class EliasFano:
         low = sum((int(self.low[b // 8]) >> b % 8 & 1) << k for k, b in enumerate(bits))
         return (one - i) << self.low_bits | low
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.count]
-        bits = np.unpackbits(self.low, bitorder="little")[:self.count * self.low_bits]
-        low = bits.reshape(self.count, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
-        return (ones - np.arange(self.count)) << self.low_bits | low
+    def select_many(self, which: np.ndarray) -> np.ndarray:
+        """Values of so many places at once (uint64): counts of ones over the bytes lead to the byte of each."""
+        if not len(which):
+            return np.zeros(0, dtype=np.uint64)
+        which = which.astype(np.int64)
+        until = np.cumsum(_POPCOUNT[self.high])
+        byte = np.searchsorted(until, which, side="right")
+        left = which - (until[byte] - _POPCOUNT[self.high[byte]])
+        ones = 8 * byte + _PLACE[self.high[byte], left]
+        upper = (ones - which).astype(np.uint64) << np.uint64(self.low_bits)
+        if not self.low_bits:
+            return upper
+        bits = which[:, None] * self.low_bits + np.arange(self.low_bits)
+        own = (self.low[bits // 8] >> (bits % 8).astype(np.uint8)) & 1
+        return upper | (own.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
 class Segment:
@@ -117,6 +131,19 @@ class Segment:
         self.names, at = EliasFano.load(view, at)
         self.ids = np.frombuffer(view, f"<u{width}", self.ends.universe, at)
 
+    def bounds(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where documents of the segment begin and end in its ids."""
+        ends = self.ends.select_many(which).astype(np.int64)
+        starts = np.zeros_like(ends)
+        starts[which > 0] = self.ends.select_many(which[which > 0] - 1).astype(np.int64)
+        return starts, ends
+
+    def doc_ids(self, which: np.ndarray) -> list[int | None]:
+        # Differences are modulo 2^64, so ids may span the whole range of longs.
+        with np.errstate(over="ignore"):
+            known = self.names.select_many(which[which >= self.nulls] - self.nulls) + np.int64(self.first).astype(np.uint64)
+        return [None] * int((which < self.nulls).sum()) + known.astype(np.int64).tolist()
+
     def start(self, i: int) -> int:
         return self.ends.select(i - 1) if i else 0
 
@@ -132,7 +159,8 @@ def segment_blob(names: list[int | None], documents: list[np.ndarray], width: in
     """Blob of documents in ascending order of their names, null names first."""
     nulls = sum(n is None for n in names)
     first = names[nulls] if nulls < len(names) else 0
-    known = np.array([n - first for n in names[nulls:]], dtype=np.int64)
+    with np.errstate(over="ignore"):
+        known = np.array(names[nulls:], dtype=np.int64).astype(np.uint64) - np.int64(first).astype(np.uint64)
     ends = np.cumsum([len(d) for d in documents])
     return b"".join([
         _HEADER.pack(MAGIC, width, 1, nulls, len(names), first),
@@ -203,16 +231,12 @@ def read(spark, path: str) -> DataFrame:
         for batch in batches:
             for base, blob in zip(batch["base"].to_pylist(), batch["blob"]):
                 found = Segment(blob.as_buffer())
-                ends = found.ends.all()
-                starts = np.concatenate([[0], ends[:-1]])
-                names = [None] * found.nulls + (found.names.all() + found.first).tolist()
-                ids = found.ids.astype("<u4")
-                for at in range(0, len(ends), 256):
-                    some = slice(at, at + 256)
+                for at in range(0, found.count, 1024):
+                    which = np.arange(at, min(at + 1024, found.count))
+                    starts, ends = found.bounds(which)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(names[some], pa.int64()), pa.array(base + starts[some]),
-                        pa.array(ends[some] - starts[some]),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(starts[some], ends[some])],
+                        pa.array(found.doc_ids(which), pa.int64()), pa.array(base + starts), pa.array(ends - starts),
+                        pa.array([found.ids[a:b].astype("<u4").tobytes() for a, b in zip(starts.tolist(), ends.tolist())],
                                  pa.binary())], schema=out)
 
     return placed.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
