@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillsight.llm import components, jaccard_join, toxicity
+from tillsight.llm import components, jaccard_join, secret_scan, toxicity
 from tillsight.llm.queries import QUERIES
 from tillsight.llm.shingles import shingle_sets
 
@@ -196,6 +197,55 @@ def test_held_out_accuracy(spark, monkeypatch):
     assert counts.get((False, True), 0) <= 0.01 * counts[False, False]
 
 
+def _severity(model, text):
+    """P(grade >= k) by looking for each feature of the model in each word of the text."""
+    if not model.thresholds:
+        return [0.0] * toxicity.GRADES
+    raw = "".join(c.lower() if "A" <= c <= "Z" else c if c.isascii() and "a" <= c <= "z" or not c.isascii() else " " for c in text or "")
+    own = [w.encode() for w in raw.split(" ") if w]
+    score = 0.0
+    for feature, weights in sorted(model.weights.items()):
+        whole = feature.endswith(b"$")
+        n = sum(w == feature[:-1] if whole else w.startswith(feature) and len(w) > len(feature) for w in own)
+        if n:
+            score += weights[max(k for k, c in enumerate(toxicity.COUNTS) if n >= c)]
+    return [1 / (1 + math.exp(min(max(t - score, -60), 60))) for t in model.thresholds]
+
+
+def test_severity_of_every_document_by_plain_search(spark, documents):
+    model = toxicity.fit(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    assert model.weights and model.thresholds == sorted(model.thresholds)
+    found = {r.doc_id: r for r in toxicity.score(documents, model).collect()}
+    for r in documents.collect():
+        p = _severity(model, r.text)
+        got = found[r.doc_id]
+        assert got.severity == pytest.approx(sum(p)) and got.p_toxic == pytest.approx(p[0])
+        assert got.grade == sum(x >= 0.5 for x in p) and got.toxic == (p[0] >= 0.5)
+
+
+def test_typical_features_by_plain_counting(spark, frame):
+    bad = [f"vile filth number{k} {'scum' if k % 2 else 'plain'} here" for k in range(20)]
+    good = [f"some plain words number{k} here" for k in range(40)]
+    sample = spark.createDataFrame([(k, k < 20, t) for k, t in enumerate(bad + good)], "doc_id long, toxic boolean, text string")
+
+    def present(text):
+        return {f for w in toxicity.words(text) for f in toxicity.features(w)}
+
+    a, b = Counter(f for t in bad for f in present(t)), Counter(f for t in good for f in present(t))
+
+    def part(seen, row, column):
+        return seen * math.log(seen * 60 / (row * column)) if seen else 0.0
+
+    def evidence(f):
+        x, y = a[f], b[f]
+        return 2 * (part(x, x + y, 20) + part(y, x + y, 40) + part(20 - x, 60 - x - y, 20) + part(40 - y, 60 - x - y, 40))
+
+    chosen = [f for f in a if a[f] >= toxicity.SUPPORT and a[f] / 20 >= toxicity.TYPICAL * (b[f] + 0.5) / 40
+              and evidence(f) >= toxicity.EVIDENCE]
+    expected = sorted(chosen, key=lambda f: (-round(evidence(f), 9), f))
+    assert toxicity._typical(sample, 20, 40) == expected != []
+
+
 def test_toxicity_of_odd_rows(spark, frame, odd):
     docs = frame(*((i, f"some plain words number {i} here and vile filth") for i in range(100, 120)),
                  *((i, f"some plain words number {i} here and there") for i in range(200, 240))).unionByName(odd)
@@ -231,9 +281,28 @@ def test_stages_one_by_one(spark, documents):
     _, classes = _classes(texts)
     ids = [r.doc_id for r in before.orderBy("doc_id").select("doc_id").collect()]
     assert sorted(r.doc_id for r in after.collect()) == sorted({ids[c] for c in classes})
+    before, after = seen["benchmark decontamination"]
+    windows = set()
+    for item in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect():
+        own = words(item.text)
+        windows |= {tuple(own[k:k + 10]) for k in range(max(1, len(own) - 9))} if own else set()
+    clean = {r.doc_id for r in before.collect() if windows.isdisjoint(
+        tuple(own[k:k + n]) for own in [words(r.text)] for n in {len(w) for w in windows} for k in range(len(own) - n + 1))}
+    assert {r.doc_id for r in after.collect()} == clean and len(clean) < before.count()
     before, after = seen["secret scans"]
-    assert before.count() == after.count()
+    spans = {r.doc_id: r.spans for r in secret_scan.scan(before).collect()}
+    masked = {r.doc_id: r for r in after.collect()}
+    assert masked.keys() == spans.keys() and any(spans.values())
+    for r in before.collect():
+        text, at, out = r.text or "", 0, ""
+        for span in spans[r.doc_id]:
+            if span.start >= at:
+                out += text[at:span.start] + "[secret]"
+            at = max(at, span.end)
+        assert (masked[r.doc_id].text or "") == out + text[at:] and masked[r.doc_id].source == r.source
     before, after = seen["toxicity"]
+    model = toxicity.fit(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect() if not _severity(model, r.text)[0] >= 0.5}
     assert 0 < before.count() - after.count() < 0.2 * before.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}

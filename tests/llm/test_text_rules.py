@@ -10,6 +10,7 @@ import random
 import re
 import string
 import textwrap
+import time
 from collections import Counter
 
 import duckdb
@@ -520,3 +521,103 @@ def test_limits_are_benjamini_and_hochbergs(spark):
     last = max((k for k in range(1, len(p) + 1) if p[k - 1] <= 0.05 * k / len(p)))
     assert secret_scan.limits(found, 0.05) == {1: next(b for b in sorted(bins, reverse=True)[last - 1:])}
     assert secret_scan.limits(found.where("false")) == {}
+
+
+def _statistics(token):
+    """p and whether it passes as random, of one candidate, step by step."""
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    kinds = [("[0-9a-f]+|[0-9A-F]+", digits + "abcdef"), ("[A-Z2-7]+=*", upper + "234567"), ("[A-Za-z]+", upper + lower),
+             ("[A-Za-z0-9]+", upper + lower + digits)]
+    alphabet = next((a for pattern, a in kinds if re.fullmatch(pattern, token)), upper + lower + digits + "+/")
+    text = token.lower() if re.fullmatch("[0-9A-F]+", token) else re.sub("=+$", "", token).replace("-", "+").replace("_", "/")
+    n, size = len(text), len(alphabet)
+    chi = sum(text.count(c) ** 2 for c in alphabet) * size / n - n
+    kind = ["l" if c in lower else "u" if c in upper else "d" if c in digits else c for c in text]
+    changes = sum(a != b for a, b in zip(kind, kind[1:]))
+    codes = [alphabet.find(c) + 1 for c in text]
+    mean = sum(codes) / n
+    spread = sum((c - mean) ** 2 for c in codes)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread if spread else 1.0
+    s = secret_scan
+    excess = (n - 1) * max(size * s.COINCIDENCE - 1, 1.0)
+    z = ((size - 1 + excess - chi) / math.sqrt(2 * (size - 1) + 4 * excess),
+         (changes - 0.5 - (n - 1) * s.CHANGE) / math.sqrt((n - 1) * s.CHANGE * (1 - s.CHANGE)),
+         (s.LIKENESS - abs(serial)) * math.sqrt(n) / math.sqrt(1 - s.LIKENESS ** 2))
+    half = -sum(math.log(max(math.erfc(v / math.sqrt(2)) / 2, 1e-30)) for v in z)
+    p = max(math.exp(-half) * (1 + half + half * half / 2), 10 ** (-s.BINS / 10))
+    return p, (chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n) <= s.Z_RANDOM
+
+
+def _candidates(text):
+    runs = {m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text)}
+    return sorted(s for s in runs | {m.span() for m in re.finditer("[A-Za-z0-9]{20,}", text)}
+                  if len(re.sub("[=+/_-]", "", text[s[0]:s[1]])) >= 2)
+
+
+def _random_texts():
+    draw = random.Random(9)
+    mixed = string.ascii_letters + string.digits
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_letters, mixed, mixed + "+/",
+                 "ab", "a", string.ascii_lowercase, mixed + "-_"]
+    out = []
+    for k in range(300):
+        alphabet = alphabets[k % len(alphabets)]
+        run = _random(alphabet, draw.randint(18, 90), k) + "=" * (k % 3)
+        out.append(f"é {'/srv/' * (k % 2)}{run}{'/settings' * (k % 2)} and {'wordy' * (k % 7)}-{'parts' * (k % 5)} x")
+    return [*out, "-" * 40, "=" * 25, "a" * 30 + "/" + "b" * 30]
+
+
+def test_statistics_of_every_candidate_by_plain_steps(frame):
+    texts = _random_texts()
+    rows = frame(*enumerate(texts)).select("doc_id", secret_scan.spans(F.col("text"))["tested"].alias("tested")).collect()
+    for r in rows:
+        text = texts[r.doc_id]
+        got = sorted((t.start, t.end, t.size, t.bin, t.fits) for t in r.tested)
+        assert [g[:2] for g in got] == _candidates(text)
+        for start, end, size, level, fits in got:
+            p, passes = _statistics(text[start:end])
+            assert size == sum(end - start >= c for c in secret_scan.CLASSES[1:])
+            # Spark's tail is an approximation, so a bin's edge may fall on either side.
+            assert abs(level - math.floor(-10 * math.log10(p) + 1e-9)) <= 1 and fits == passes, (text[start:end], p)
+
+
+def test_random_spans_of_all_texts_by_plain_rules(frame):
+    texts = _random_texts() + ["token=" + _random(string.ascii_letters, 40, 5), ""]
+    docs = frame(*enumerate(texts))
+    found = docs.select("doc_id", secret_scan.spans(F.col("text"))["tested"].alias("tested"))
+    tested = {r.doc_id: r.tested for r in found.collect()}
+    levels = [(t.size, t.bin) for own in tested.values() for t in own]
+    lowest = {}
+    for size in {s for s, _ in levels}:
+        own = sorted((b for s, b in levels if s == size), reverse=True)
+        passing = [b for b in set(own) if 10 ** (-b / 10) * len(own) <= secret_scan.RATE * sum(x >= b for x in own)]
+        if passing:
+            lowest[size] = min(passing)
+    for r in secret_scan.scan(docs).collect():
+        base = [(a, b) for a, _, b, _ in _base(texts[r.doc_id])]
+        good = [(t.start, t.end) for t in tested[r.doc_id] if t.fits and t.bin >= lowest.get(t.size, 10 ** 9)]
+        kept = sorted(x for x in good if not any(a <= x[0] and x[1] <= b for a, b in base + [g for g in good if g != x]))
+        assert [(s.start, s.end) for s in r.spans if s.kind == "random"] == kept, texts[r.doc_id]
+
+
+def test_letters_alone_and_parts_of_paths_are_found(frame):
+    letters = {i: _random(string.ascii_letters, 40, i) for i in range(60)}
+    paths = {100 + i: _random(string.ascii_letters + string.digits, 32, i) for i in range(60)}
+    docs = frame(*((i, f"key is {s} here") for i, s in letters.items()),
+                 *((i, f"see /srv/conf/{s}/settings/main for more") for i, s in paths.items()))
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secret_scan.scan(docs).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for own, least in ((letters, 57), (paths, 59)):
+        assert sum(any(a <= texts[i].index(s) and texts[i].index(s) + len(s) <= b for a, b in found[i])
+                   for i, s in own.items()) >= least
+
+
+def test_a_megabyte_of_base64_and_many_spans_take_seconds(frame):
+    mixed = string.ascii_letters + string.digits + "+/"
+    many = " ".join(f"{'deadbeef' * 3} x{_random(mixed, 30, i)}" for i in range(15_000))
+    docs = frame((1, "data " + _random(mixed, 1_000_000, 1) + " end"), (2, many))
+    start = time.monotonic()
+    rows = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert time.monotonic() - start < 120
+    assert [(s.start, s.end, s.kind) for s in rows[1] if s.kind == "random"] == [(5, 1_000_005, "random")]
+    assert sum(s.kind == "hex" for s in rows[2]) >= 15_000
