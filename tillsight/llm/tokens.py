@@ -29,7 +29,7 @@ KINDS = {
 
 #: Pre-tokens kept by one worker, bytes of their text and ids, and characters worked on at once. Tables of
 #: powers as long as the longest stretch without a cut are kept up to WIDEST.
-KEPT, KEPT_BYTES, AT_ONCE, WIDEST = 300_000, 16 << 20, 1 << 18, 1 << 20
+KEPT, KEPT_BYTES, AT_ONCE, WIDEST = 500_000, 16 << 20, 1 << 18, 1 << 20
 
 _LETTER, _DIGIT, _OTHER, _BLANK = range(4)
 
