@@ -131,6 +131,39 @@ def test_join_of_odd_rows(frame, odd):
     assert jaccard_join.first_of_each(odd.where("false")).count() == 0
 
 
+def _groups_of_copies(seed):
+    """Texts in chains and stars of near copies, some of them joined by a bridge only."""
+    draw = random.Random(seed)
+    texts = []
+    for group in range(6):
+        own = [f"w{group}x{k}" for k in range(60)]
+        for _ in range(draw.choice([1, 2, 40])):
+            words_of = list(own)
+            for _ in range(draw.choice([0, 0, 1, 2])):
+                words_of[draw.randrange(60)] = f"new{draw.randrange(10 ** 6)}"
+            texts.append(" ".join(words_of))
+            if draw.random() < 0.3:  # the next ones follow this one
+                own = words_of
+    return texts + texts[:3] + ["", "short text", "short text"]
+
+
+@settings(max_examples=40, deadline=None)
+@given(seed=st.integers(0, 10 ** 6))
+def test_pivots_find_the_classes_of_all_pairs(seed):
+    texts = [t for t in _groups_of_copies(seed) if t]
+    found = jaccard_join.pivot_labels(shingle_sets(texts, 5), 0.8)
+    assert _same_classes(found.tolist(), _classes(texts)[1])
+
+
+@pytest.mark.parametrize("block", [1000, 7, 3])
+def test_first_of_each_with_components_of_many_blocks(frame, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    for seed in (1, 2, 3):
+        texts = _groups_of_copies(seed)
+        kept = sorted(r.doc_id for r in jaccard_join.first_of_each(frame(*enumerate(texts))).collect())
+        assert kept == sorted({min(i for i, c in enumerate(cs) if c == x) for cs in [_classes(texts)[1]] for x in cs})
+
+
 def test_recall_of_runs():
     """The share of pairs at the threshold that meet in some run agrees with the recursion."""
     rng = np.random.default_rng(8)

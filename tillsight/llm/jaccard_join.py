@@ -359,12 +359,30 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similari
     return found
 
 
-def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
+def pivot_labels(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """The smallest set that each one is linked to over any path, without comparing all pairs.
+
+    Sets are compared with all others, first one and then those outside the largest class so far;
+    a link between two classes has an end outside the largest, so none is missed. Near
+    copies of one text are one class after the first comparison.
+    """
+    label, compared = np.arange(len(sets)), np.zeros(len(sets), dtype=bool)
+    every, some = np.arange(len(sets)), np.arange(min(1, len(sets)))
+    while len(some):
+        for i, row in zip(some.tolist(), linked(sets, some, every, similarity)):
+            joined = np.unique(np.append(label[row], label[i]))
+            label[np.isin(label, joined)] = joined[0]
+        compared[some] = True
+        some = np.flatnonzero(~compared & (label != np.bincount(label).argmax()))[:64]
+    return label
+
+
+def _checked(members: DataFrame, similarity: float, shingle: int, counted: bool = True) -> DataFrame:
     """(key, links, label, other): numbers of linked documents of each set of a group, with the
     smallest key it is linked to over any path where the group is whole; where it is two
     blocks of a component, rows with ``other`` span their links.
 
-    members: (group, whole, key, side, copies, text).
+    members: (group, whole, key, side, copies, text). Links are 0 where they are not ``counted``.
     """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = members.select("group", "whole", "key", "side", "copies", "text").repartition(
@@ -379,14 +397,18 @@ def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
                 sets = shingle_sets(table["text"][start:stop].to_pylist(), shingle)
                 own, side, many = keys[start:stop], sides[start:stop], copies[start:stop]
                 rows = np.arange(stop - start)
+                links = np.zeros(len(rows), dtype=np.int64)
                 left = rows[side == 0]
                 right = rows[side == 1] if (side == 1).any() else left
-                found = linked(sets, left, right, similarity)
-                links = np.zeros(len(rows), dtype=np.int64)
-                links[left] += [int(many[right][row].sum()) for row in found]
-                if right is not left:
-                    links[right] += [int(many[left][column].sum()) for column in found.T]
-                label = matrix_labels(found, left, right, len(rows))
+                if counted or right is not left:
+                    found = linked(sets, left, right, similarity)
+                    label = matrix_labels(found, left, right, len(rows))
+                else:
+                    label = pivot_labels(sets, similarity)
+                if counted:
+                    links[left] += [int(many[right][row].sum()) for row in found]
+                    if right is not left:
+                        links[right] += [int(many[left][column].sum()) for column in found.T]
                 first = np.full(len(rows), np.iinfo(np.int64).max)
                 np.minimum.at(first, label, own)
                 whole, label = table["whole"][start].as_py(), pa.array(first[label])
@@ -397,12 +419,53 @@ def _checked(members: DataFrame, similarity: float, shingle: int) -> DataFrame:
     return mapped(rows, check, "key long, links long, label long, other long")
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members (key, label, n, copies) with ``blocks``, how many their component has, and their ``block``."""
+    sizes = members.groupBy("label").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"), F.min("key").alias("hub"))
+    return members.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+
+
+def _linked_classes(members: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """(key, links, label, other) as ``_checked``, without counting links or comparing all blocks.
+
+    Each block of a component is checked with one set of the component, its hub. Sets that are linked
+    to it, be it over others, are one class; only the others are compared with all blocks.
+    """
+    dealt = written(_dealt(members), "dealt")
+    hubs = dealt.where("key = hub AND blocks > 1").select(
+        "label", "key", "copies", "block", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("at")).where("at <> block")
+    near = dealt.select(F.xxhash64("label", "block").alias("group"), (F.col("blocks") == 1).alias("whole"), "key",
+                        F.lit(0).alias("side"), "copies").unionByName(
+        hubs.select(F.xxhash64("label", "at").alias("group"), F.lit(False).alias("whole"), "key", F.lit(0).alias("side"), "copies"))
+
+    def check(groups: DataFrame, name: str) -> DataFrame:
+        return written(_checked(groups.join(texts.hint("merge"), "key"), similarity, shingle, counted=False), name)
+
+    first = check(near, "near-hubs")
+    # ``other`` is the smallest key a set is linked to in its block, and the hub is the smallest of all.
+    far = written(dealt.where("blocks > 1").join(first.where("other IS NOT NULL").select(
+        F.col("key").alias("own"), "other"), (F.col("key") == F.col("own")) & (F.col("other") != F.col("hub")), "left_semi"), "far")
+    if far.isEmpty():
+        return first
+    parts = written(far.groupBy("label").agg(
+        F.ceil(F.count("*") / BLOCK).alias("far_blocks"), F.max("blocks").alias("blocks")), "far-parts")
+    left = far.join(parts.select("label", "far_blocks"), "label").select(
+        "label", "key", "copies", F.pmod(F.xxhash64("key"), F.col("far_blocks")).alias("far_block"),
+        F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(0).alias("side"))
+    right = dealt.join(parts.select("label", "far_blocks"), "label").select(
+        "label", "key", "copies", F.explode(F.expr("sequence(0L, far_blocks - 1)")).alias("far_block"), "block",
+        F.lit(1).alias("side"))
+    second = check(left.unionByName(right).select(
+        F.xxhash64("label", "far_block", "block", F.lit(1)).alias("group"), F.lit(False).alias("whole"), "key", "side", "copies"),
+        "far-from-hubs")
+    return first.unionByName(second)
+
+
 def _blocked(members: DataFrame) -> DataFrame:
     """(group, whole, key, side, copies) for members (key, label, n, copies): whole
     components, or pairs of blocks of one."""
-    sizes = members.groupBy("label").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    dealt = members.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    dealt = _dealt(members)
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
     return dealt.select("label", "key", "copies", "block", "blocks", other.alias("other")).select(
         F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
@@ -411,8 +474,11 @@ def _blocked(members: DataFrame) -> DataFrame:
 
 
 def classes(table: DataFrame, column: str, *carried: str, similarity: float = SIMILARITY,
-            recall: float = RECALL, shingle: int = SHINGLE) -> DataFrame:
-    """(key, class_id, n_links) and the carried columns of every row of a table of ``sketched``."""
+            recall: float = RECALL, shingle: int = SHINGLE, counted: bool = True) -> DataFrame:
+    """(key, class_id, n_links) and the carried columns of every row of a table of ``sketched``.
+
+    Links are not counted, and fewer sets compared, where only classes are wanted.
+    """
     rows = table.select(f"{column}.*", *carried)
     # One row a set: its first document, how many have it, and the sketch they share.
     sets = written(rows.groupBy("d1", "d2").agg(
@@ -424,8 +490,9 @@ def classes(table: DataFrame, column: str, *carried: str, similarity: float = SI
         sets.select(F.col("first").alias("key"), "n", "copies"), "key")
     texts = table.select(F.col(f"{column}.key").alias("key"), "text")
     # One plan at every size: the texts meet their keys by a shuffle, never by a broadcast.
-    checked = written(_checked(_blocked(written(members, "members")).join(texts.hint("merge"), "key"),
-                               similarity, shingle), "links")
+    members = written(members, "members")
+    checked = (written(_checked(_blocked(members).join(texts.hint("merge"), "key"), similarity, shingle), "links")
+               if counted else _linked_classes(members, texts, similarity, shingle))
     links = checked.groupBy(F.col("key").alias("first")).agg(
         F.sum("links").alias("links"), F.min("label").alias("label"))
     across = checked.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b"))
@@ -458,7 +525,7 @@ def first_of_each(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     """The document of the smallest ``doc_id`` of every class, unchanged."""
     column = _free_name(docs)
     table = sketched(docs, column)
-    found = classes(table, column, "doc_id", similarity=similarity, recall=recall)
+    found = classes(table, column, "doc_id", similarity=similarity, recall=recall, counted=False)
     kept = found.groupBy("class_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(
         F.col("first.key").alias("_key"))
