@@ -86,8 +86,27 @@ _REASONS = """concat_ws(', ', CASE WHEN quantity % 11 = 0 THEN 'order_date: no d
  'order_date: no such day' END, CASE WHEN quantity % 22 = 0 THEN 'ship_date: missing' END) AS reasons"""
 
 
+# Topic: the report that answers it.
+_REPORT_OF = {
+    "revenue_by_region": "rpt_revenue_by_region", "revenue_by_category": "rpt_revenue_by_category",
+    "revenue_trend": "rpt_revenue_trend", "total_revenue": "rpt_total_revenue", "profit_by_category": "rpt_profit_by_category",
+    "profit_by_region": "rpt_profit_by_region", "profit_overall": "rpt_total_profit",
+    "customer_segments": "rpt_customer_segments", "bottom_products": "rpt_bottom_products",
+    "discount_impact": "rpt_discount_impact", "quarterly": "rpt_quarterly", "city_analysis": "rpt_city",
+    "region_scorecard": "rpt_region_scorecard", "shipping": "rpt_shipping", "summary": "rpt_summary",
+}
+
+
+def _answered(own: dict[str, str]) -> str:
+    lines = " ".join(f"WHEN '{t}' THEN (SELECT COUNT(*) FROM ({own[r]}))" for t, r in _REPORT_OF.items())
+    topics = ", ".join(f"'{t}'" for t in _REPORT_OF)
+    return (f"SELECT intent, id, CASE intent {lines} END AS lines FROM (SELECT intent, MIN(id) AS id FROM ({own['intent_tag']}) "
+            f"WHERE intent IN ({topics}) GROUP BY intent)")
+
+
 def statements(own: dict[str, str]) -> dict[str, str]:
     return {
+        "intent_dispatch_asked": _answered(own),
         **{f"dash_{name}_slice": sql for name, sql in _pages().items()},
         "m_distinct_sketches": _close(),
         "m_distinct_sketches_year": _close(f"WHERE order_year = {R.YEAR}"),
