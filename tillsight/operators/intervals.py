@@ -55,8 +55,9 @@ def _searched(rows: DataFrame, value: Column, bounds: DataFrame, which: str, int
     arrays = bounds.where(F.col("set") == which).agg(
         F.sort_array(F.collect_list(F.struct("low", "high", "label"))).alias("_bounds")).select(
         F.transform("_bounds", lambda b: b["low"]).alias("_lows"), "_bounds")
-    # One row, of a size that was checked.
-    beside = rows.crossJoin(F.broadcast(arrays)).withColumn("_value", value.cast("double"))
+    # One value each, of a size that was checked.
+    beside = rows.withColumns({"_lows": arrays.select("_lows").scalar(), "_bounds": arrays.select("_bounds").scalar(),
+                               "_value": value.cast("double")})
     found = beside.withColumn("_found", F.get("_bounds", below(F.col("_lows"), F.col("_value")) - 1))
     return found.select(*rows.columns, F.when(
         _holds(F.col("_value"), F.col("_found.low"), F.col("_found.high")), F.col("_found.label")).alias(into))
@@ -69,12 +70,12 @@ def _joined(rows: DataFrame, value: Column, bounds: DataFrame, which: str, into:
     shares = [k / buckets for k in range(1, buckets)]
     edges = sorted(set(own.approxQuantile("low", shares, 0.1 / buckets))) if shares else []
     spark = rows.sparkSession
-    cut = F.broadcast(spark.createDataFrame([(edges,)], "_edges array<double>"))  # a PER_BUCKETth of the bounds
+    cut = spark.createDataFrame([(edges,)], "_edges array<double>").scalar()  # a PER_BUCKETth of the bounds
     # Bucket k holds the values above k edges; an open interval goes on to the last one.
-    spread = own.crossJoin(cut).select(
+    spread = own.withColumn("_edges", cut).select(
         F.explode(F.sequence(below(F.col("_edges"), F.col("low")), F.coalesce(
             below(F.col("_edges"), F.col("high")), F.size("_edges")))).alias("_bucket"), "low", "high", F.col("label").alias(into))
-    keyed = rows.crossJoin(cut).withColumn("_value", value.cast("double")).withColumn(
+    keyed = rows.withColumns({"_edges": cut, "_value": value.cast("double")}).withColumn(
         # Rows without a value match nothing; they are dealt out so that they fill no bucket.
         "_bucket", F.when(F.col("_value").isNull(), -1 - F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int"))
         .otherwise(below(F.col("_edges"), F.col("_value")))).drop("_edges")

@@ -54,9 +54,9 @@ def scores(texts: DataFrame, key: str, keywords: DataFrame, text: str = "text",
     grams = F.array_distinct(F.concat(*[_grams(F.col("_characters"), n) for n in sizes])) if sizes else F.array().cast("array<string>")
     had = lowered.select(key, "_row", "_lowered", grams.alias("_grams"))
     if many <= broadcast:
-        # One row with the grams of the index: a text keeps those it shares before it is multiplied.
-        known = found.agg(F.collect_set("gram").alias("_known"))
-        had = had.crossJoin(F.broadcast(known)).withColumn("_grams", F.array_intersect("_grams", "_known")).drop("_known")
+        # The grams of the index: a text keeps those it shares before it is multiplied.
+        known = found.agg(F.coalesce(F.collect_set("gram"), F.array().cast("array<string>"))).scalar()
+        had = had.withColumn("_grams", F.array_intersect("_grams", known))
         found = F.broadcast(found)
     near = had.select(key, "_row", "_lowered", F.explode("_grams").alias("gram")).join(found, "gram")
     hits = near.where(F.col("_lowered").contains(F.col("keyword")))

@@ -126,7 +126,9 @@ def _facts(star: Star, columns: Sequence[str], where: Where) -> DataFrame:
     if "order_year" in facts.columns:
         days = {k: v for k, v in where.items() if k in DIMENSIONS["dim_date"][1]}
         if isinstance(days.get("year"), int):
-            facts = facts.where(F.col("order_year") == days.pop("year"))
+            year = days.pop("year")
+            # The folder of the year, and a range on the key, which also narrows files.
+            facts = facts.where((F.col("order_year") == year) & F.col("date_key").between(year * 10_000 + 101, year * 10_000 + 1231))
         if days:
             # The years of the chosen days are known when the query runs; then their folders are read.
             chosen = star.dim_date.where(_condition({k: v for k, v in where.items() if k in DIMENSIONS["dim_date"][1]}))
