@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                     [pa.array(c, f.type) for c, f in zip(zip(*out), PIECES)], schema=PIECES)
 
     path = new_path(docs.sparkSession, "pieces")
-    (mapped(docs.select(F.col("doc_id").cast("long"), "text"), cut, _PIECES_DDL)
+    (mapped(docs.select(F.col("doc_id").cast("long"), "text"), cut, _PIECES_DDL, "tokens")
      .write.option("compression", "zstd").parquet(path))
     return docs.sparkSession.read.schema(_PIECES_DDL).parquet(path)
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workers import STORES, mapped
+
 SPACE = "▁"
 #: Where texts are cut, finest first; the first that leaves every piece whole is used.
 CUTS = (r" *(?:[^\W\d_²]+|\d|(?:[^\w \n]|[_²])+|\n)| +", r" *[^ ]+| +", r"(?s:.+)")
@@ -208,6 +210,7 @@ def pieces(path: str) -> Pieces:
     """The worker's model of a file, loaded once."""
     if path not in _loaded:
         _loaded[path] = Pieces(path)
+    STORES["pieces"] = _loaded.clear
     return _loaded[path]
 
 
@@ -222,7 +225,7 @@ def _mapped(rows: DataFrame, model: str, ddl: str, schema: pa.Schema, of) -> Dat
                     [some.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*made), list(schema)[1:]))],
                     schema=schema)
 
-    return rows.mapInArrow(work, ddl)
+    return mapped(rows, work, ddl, "pieces")
 
 
 _ID, _COUNT = ("doc_id", pa.int64()), ("n_tokens", pa.int64())

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
 from .tokens import encoder
+from .workers import mapped
 
 MAGIC = b"TSEF"
 #: Ids after which a segment is closed, and ones between two select samples.
@@ -206,9 +207,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
     # Equal ids are dealt on by text and row, so that one id never fills a task.
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumns({
         "_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
-    (rows.repartitionByRange(parts, "doc_id", "_text", "_row")
-         .sortWithinPartitions("doc_id", "_text", "_row").select("doc_id", "text")
-         .mapInArrow(segments, _SEGMENTS_DDL)
+    ordered = rows.repartitionByRange(parts, "doc_id", "_text", "_row").sortWithinPartitions("doc_id", "_text", "_row")
+    (mapped(ordered.select("doc_id", "text"), segments, _SEGMENTS_DDL, "tokens")
          .write.option("compression", "zstd").parquet(path))
 
 

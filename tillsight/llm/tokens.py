@@ -17,6 +17,8 @@ from collections.abc import Iterable
 import numpy as np
 import pandas as pd
 
+from .workers import STORES
+
 # Unicode's White_Space, which is what \s means in the tokenizer files.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -247,4 +249,5 @@ def encoder(path: str, kind: str) -> Encoder:
     """The worker's encoder for a tokenizer file as it is, loaded once."""
     if (path, kind) not in _loaded:
         _loaded[path, kind] = Encoder(path, kind, added=True)
+    STORES["tokens"] = _loaded.clear
     return _loaded[path, kind]

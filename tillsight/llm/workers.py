@@ -9,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: What this worker keeps from task to task, by name, and how to drop it. A worker serves one operator after
+#: another, and keeps the store of one at a time.
+STORES: dict[str, Callable[[], None]] = {}
+
 #: Bytes of a batch that is sent to a worker; a single row may be longer.
 BATCH = 4 << 20
 
@@ -27,9 +31,21 @@ def release() -> None:
         pass  # another C library: it keeps what it likes
 
 
-def mapped(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``rows.mapInArrow(work, schema)``; the worker's free memory is given back at the end of a task."""
+def only(keeps: str | None) -> None:
+    """Drop every store but one."""
+    others = [name for name in STORES if name != keeps]
+    for name in others:
+        STORES.pop(name)()
+    if others:
+        release()
+
+
+def mapped(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema,
+           keeps: str | None = None) -> DataFrame:
+    """``rows.mapInArrow(work, schema)``; stores other than ``keeps`` are dropped before a task, and the
+    worker's free memory is given back after it."""
     def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(keeps)
         yield from work(batches)
         release()
 
@@ -39,6 +55,7 @@ def mapped(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterator[
 def column_of(kind: str, work: Callable[[Iterable[pa.Array]], Iterator[pa.Array]], column: str) -> Column:
     """A column made of one other by arrays; no other column is sent to the workers."""
     def of(arrays: Iterable[pa.Array]) -> Iterator[pa.Array]:
+        only(None)
         yield from work(arrays)
         release()
 
