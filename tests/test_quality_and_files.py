@@ -193,3 +193,27 @@ def test_rows_with_bad_dates_are_kept_with_their_reasons(spark):
     assert {(r.order_id, r.order_date, r.ship_date) for r in bad.collect()} == set(rows[1:])
     none, empty = quality.split_dates(spark.createDataFrame([], "order_id int, order_date string, ship_date string"))
     assert none.count() == empty.count() == 0
+
+
+def test_sql_leaves_a_view_of_the_same_name_as_it_was(spark, prepared):
+    spark.range(7).createOrReplaceTempView("sales")
+    assert files.run_sql(prepared({}, {}), "SELECT count(*) AS n FROM sales").first().n == 2
+    assert spark.table("sales").count() == 7
+    spark.catalog.dropTempView("sales")
+    found = files.run_sql(prepared({}), "SELECT count(*) AS n FROM sales")
+    assert not spark.catalog.tableExists("sales") and found.first().n == 1
+    with pytest.raises(Exception):
+        files.run_sql(prepared({}), "SELECT nothing FROM sales")
+    assert not spark.catalog.tableExists("sales")
+
+
+def test_lines_without_a_parent_are_counted(spark, tmp_path):
+    from tillsight.sources import tables
+
+    rows = {"lineitem": ("l_orderkey long, l_partkey long", [(1, 1), (1, 9), (2, None), (7, 9)]), "orders": ("o_orderkey long, o_custkey long", [(1, 5), (2, 6)]),
+            "part": ("p_partkey long", [(1,)]), "customer": ("c_custkey long, c_nationkey int", [(5, 1)]),
+            "nation": ("n_nationkey int, n_regionkey int", [(1, 3)]), "region": ("r_regionkey int", [(3,)])}
+    for name, (ddl, data) in rows.items():
+        spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert {(r.child, r.parent): r.missing for r in tables.orphans(spark, str(tmp_path)).collect()} == {
+        ("lineitem", "orders"): 1, ("lineitem", "part"): 3, ("orders", "customer"): 1, ("customer", "nation"): 0, ("nation", "region"): 0}

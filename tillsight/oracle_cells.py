@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import registry as R
 from .oracle import CASE_BAND, P, S, VALUED, _with, amt, frac
+from .sources.tables import PARENTS
 
 _ORDERS = "COUNT(DISTINCT order_id)"
 _REVENUE, _PROFIT = f"{amt(S)} AS total_revenue", f"{amt(P)} AS total_profit"
@@ -106,6 +107,9 @@ def _answered(own: dict[str, str]) -> str:
 
 def statements(own: dict[str, str]) -> dict[str, str]:
     return {
+        "dq_orphans": " UNION ALL ".join(
+            f"SELECT '{child}' AS child, '{parent}' AS parent, COUNT(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN "
+            f"(SELECT {own_key} FROM {parent})) AS missing FROM {child}" for child, key, parent, own_key in PARENTS),
         "intent_dispatch_asked": _answered(own),
         **{f"dash_{name}_slice": sql for name, sql in _pages().items()},
         "m_distinct_sketches": _close(),

@@ -258,7 +258,8 @@ def monthly_revenue(star: Star, where: Where | None = None, by: Sequence[str] =
     without orders has NULL.
 
     The months are those from the first to the last of the gap-free date table, so
-    the line before is the month before.
+    the line before is the month before. There are as many lines as groups times months; for a ``by`` as
+    fine as customers, ``periods.rolling_by_day`` has lines only where a group has orders to look back on.
     """
     found = evaluate(star, ["total_revenue"], by=[*by, "year", "month"], where=where)
     span = star.dim_date.agg(F.min("date").alias("_from"), F.max("date").alias("_to"))

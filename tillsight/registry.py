@@ -382,6 +382,7 @@ _PLANS: dict[str, Query] = {
     # quality
     "dq_shape": _on(raw, quality.shape),
     "dq_sample_rows": _sample,
+    "dq_orphans": tables.orphans,
     "dq_null_counts": _on(raw, quality.null_counts),
     "dq_duplicate_count": _on(_with_copies, quality.duplicate_count),
     "clean_dedup": _on(_with_copies, quality.clean),

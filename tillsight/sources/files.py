@@ -106,9 +106,21 @@ def drop_versions(spark: SparkSession, name: str, path: str) -> int:
 
 
 def run_sql(sales: DataFrame, text: str, name: str = "sales") -> DataFrame:
-    """Run SQL text over the orders, visible to it as table ``name``."""
+    """Run SQL text over the orders, visible to it as table ``name``.
+
+    The name is taken while the text is read only; a view of that name in the session stays as it was.
+    """
+    spark = sales.sparkSession
+    taken = spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+    before = spark.table(name) if taken else None
     sales.createOrReplaceTempView(name)
-    return sales.sparkSession.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        if before is not None:
+            before.createOrReplaceTempView(name)
+        else:
+            spark.catalog.dropTempView(name)
 
 
 def with_iso_dates(rows: DataFrame) -> DataFrame:

@@ -95,6 +95,27 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Child table and key, parent table and key: the joins of ``sales_raw``.
+PARENTS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+           ("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
+           ("nation", "n_regionkey", "region", "r_regionkey")]
+
+
+def orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """(child, parent, missing): rows without their parent, which ``sales_raw`` leaves out.
+
+    Keys are counted before they are looked up, so a hot or missing key is one row.
+    """
+    found = None
+    for child, key, parent, own in PARENTS:
+        keys = table(spark, folder, child).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
+        lost = keys.join(table(spark, folder, parent).select(F.col(own).alias("k")), "k", "left_anti").agg(
+            F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("missing")).select(
+            F.lit(child).alias("child"), F.lit(parent).alias("parent"), "missing")
+        found = lost if found is None else found.unionByName(lost)
+    return found
+
+
 #: The words a made question asks about.
 WORDS = [w for words in TOPICS.values() for w in words]
 
