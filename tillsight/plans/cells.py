@@ -16,15 +16,15 @@ in about two of three cases.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.workspace import written
+from ..sources.workspace import COMPRESSION, written
 from . import measures as M
-from .star import Star
+from .star import Star, StarOnDemand
 
 #: Bits of a sketch's bucket number, and its relative standard error.
 BITS = 12
@@ -43,11 +43,19 @@ LEVELS: dict[str, tuple[str, ...]] = {
 }
 #: Levels made of another one's cells; the others are made of the facts.
 MADE_OF = {"by_segment": "by_customer", "by_tier": "by_customer"}
+#: All levels, those first that are the least work to make by themselves: without customers, then with few cells.
+COARSEST = ("by_band", "by_city", "by_month", "by_segment", "by_tier", "by_product", "by_customer")
 
 _SUMS = tuple(M._SUMS)
 _ORDERS, _HIGH = "_n_orders", "_n_high_orders"
 
 
+def _able(level: str, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> bool:
+    """Whether the level can answer."""
+    keys = LEVELS[level]
+    return set(attributes) <= set(keys) and (approximate or "customers" not in counts or "customer_id" in keys)
+
+
 @dataclass(frozen=True)
 class Cells:
     """Written levels, the crossing orders of each, and their numbers of cells."""
@@ -58,11 +66,7 @@ class Cells:
 
     def covering(self, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> str | None:
         """The smallest level that can answer, or none."""
-        def able(name: str) -> bool:
-            keys = LEVELS[name]
-            return set(attributes) <= set(keys) and (approximate or "customers" not in counts or "customer_id" in keys)
-
-        found = [name for name in self.levels if able(name)]
+        found = [name for name in self.levels if _able(name, attributes, counts, approximate)]
         return min(found, key=lambda n: (self.sizes[n], n)) if found else None
 
     def evaluate(self, level: str, measures: Sequence[str], by: Sequence[str], where: M.Where,
@@ -110,33 +114,48 @@ class PreparedStar(Star):
         return None if level is None else self.cells.evaluate(level, measures, by, where, self.approximate)
 
 
-def _attributed(star: Star, level: str) -> DataFrame:
+def _attributed(star: Star, level: str, facts: DataFrame | None = None) -> DataFrame:
     keys = [k for k in LEVELS[level] if k != "customer_id"]
+    star = star if facts is None else star.with_facts(facts)
     return M._attributed(star, M._facts(star, keys, {}), keys, {})
 
 
-def _cells(star: Star, level: str) -> tuple[DataFrame, DataFrame]:
+def repeated_lines(star: Star) -> DataFrame:
+    """What cells need of the lines of orders that have more than one. No other order can lie in several cells."""
+    facts = star.fact_sales
+    ids = facts.where("order_id IS NOT NULL").groupBy("order_id").agg(F.count("*").alias("_lines"))
+    ids = written(ids.where("_lines > 1").select(F.col("order_id").alias("_repeated")), "repeated-orders")
+    return facts.select(*[k for k, _ in M.DIMENSIONS.values() if k != "customer_id"], "order_id", "customer_id", "discount").join(
+        ids, F.col("order_id") == F.col("_repeated"), "left_semi")
+
+
+def _cells(star: Star, level: str, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cells of one level, and the orders that lie in several: one row a cell and order.
 
-    The facts are reduced to orders of cells first, whose ids deal out a hot cell; sketches and
-    sums are combined before they move.
+    Lines go straight into partial sums and sketches, so a hot cell is a few rows when it moves, and each
+    counts as an order. Only ``repeated_lines`` are reduced to one row a cell and order, which takes
+    its lines off again and, if the order lies in that cell alone, counts it there once.
     """
     keys = LEVELS[level]
-    by_customer = "customer_id" in keys
-    high = M._DISTINCT["high_orders"][1]()
-    per_order = written(_attributed(star, level).groupBy(*keys, "order_id").agg(
-        *[M._SUMS[p]().alias(p) for p in _SUMS], F.max(F.when(high, 1).otherwise(0)).alias("_high"),
-        *([] if by_customer else [F.hll_sketch_agg("customer_id", BITS).alias("_customers")])), "orders-of-cells")
-    several = per_order.where("order_id IS NOT NULL").groupBy("order_id").agg(F.count("*").alias("_in")).where("_in > 1")
-    several = written(several.select("order_id"), "crossing-ids").withColumnRenamed("order_id", "_crossing")
-    marked = per_order.join(several, F.col("order_id") == F.col("_crossing"), "left")
-    alone = F.col("order_id").isNotNull() & F.col("_crossing").isNull()
-    customers = F.hll_sketch_agg("customer_id", BITS) if by_customer else F.hll_union_agg("_customers")
-    cells = marked.groupBy(*keys).agg(
-        *[F.sum(p).alias(p) for p in _SUMS], F.count_if(alone).alias(_ORDERS),
-        F.count_if(alone & (F.col("_high") == 1)).alias(_HIGH),
-        F.hll_sketch_agg("order_id", BITS).alias("_orders_sketch"), customers.alias("_customers_sketch"))
-    return cells, marked.where("_crossing IS NOT NULL").select(*keys, "order_id", "_high")
+    is_high = F.when(M._DISTINCT["high_orders"][1](), 1).otherwise(0)
+    per_order = written(_attributed(star, level, repeated).groupBy(*keys, "order_id").agg(
+        F.count("*").alias("_lines"), F.sum(is_high).alias("_high_lines"), F.max(is_high).alias("_high")), "orders-of-cells")
+    several = written(per_order.groupBy("order_id").agg(F.count("*").alias("_in")).where("_in > 1").select(
+        F.col("order_id").alias("_crossing")), "crossing-ids")
+    marked = written(per_order.join(several, F.col("order_id") == F.col("_crossing"), "left"), "marked-orders")
+    crosses = F.col("_crossing").isNotNull()
+    amounts = ("sales", "profit", "quantity", "discount")
+    lines = _attributed(star, level).select(
+        *dict.fromkeys([*keys, "order_id", "customer_id"]), *amounts, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
+        F.when(F.col("order_id").isNotNull(), is_high).otherwise(0).cast("long").alias(_HIGH))
+    corrected = marked.groupBy(*keys).agg(
+        F.sum(F.when(crosses, 0).otherwise(1) - F.col("_lines")).alias(_ORDERS),
+        F.sum(F.when(crosses, 0).otherwise(F.col("_high")) - F.col("_high_lines")).alias(_HIGH))
+    cells = lines.unionByName(corrected, allowMissingColumns=True).groupBy(*keys).agg(
+        *[M._SUMS[p]().alias(p) for p in _SUMS], F.sum(_ORDERS).alias(_ORDERS), F.sum(_HIGH).alias(_HIGH),
+        F.hll_sketch_agg("order_id", BITS).alias("_orders_sketch"),
+        F.hll_sketch_agg("customer_id", BITS).alias("_customers_sketch"))
+    return cells, marked.where(crosses).select(*keys, "order_id", "_high")
 
 
 def _coarser(cells: DataFrame, level: str) -> DataFrame:
@@ -146,34 +165,80 @@ def _coarser(cells: DataFrame, level: str) -> DataFrame:
         *[F.hll_union_agg(c).alias(c) for c in ("_orders_sketch", "_customers_sketch")])
 
 
+def _put(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def write_cells(star: Star, folder: str) -> Cells:
     """Write all levels; the finest read the facts, the others the cells they are made of."""
     spark = star.fact_sales.sparkSession
-
-    def put(name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
+    repeated = written(repeated_lines(star), "repeated-lines")
     made: dict[str, DataFrame] = {}
     for name in LEVELS:
         source = MADE_OF.get(name)
         if source is None:
-            cells, crossing = _cells(star, name)
-            put(f"{name}_crossing", crossing)
+            cells, crossing = _cells(star, name, repeated)
+            _put(crossing, f"{folder}/{name}_crossing")
         else:
             cells = _coarser(made[source], name)
-        made[name] = put(name, cells)
-    put("levels", spark.createDataFrame([(n, table.count()) for n, table in made.items()], "level string, cells long"))
+        made[name] = _put(cells, f"{folder}/{name}")
+    _put(spark.createDataFrame([(n, table.count()) for n, table in made.items()], "level string, cells long"),
+         f"{folder}/levels")
     return read_cells(spark, folder)
 
 
+def write_level(star: Star, level: str, folder: str) -> None:
+    """Write one level, with its crossing orders, from the facts."""
+    cells, crossing = _cells(star, level, repeated_lines(star))
+    _put(crossing, f"{folder}/{level}_crossing")
+    _put(cells, f"{folder}/{level}")
+
+
 def read_cells(spark: SparkSession, folder: str) -> Cells:
     sizes = {r["level"]: r["cells"] for r in spark.read.parquet(f"{folder}/levels").collect()}  # one a level
     return Cells({n: spark.read.parquet(f"{folder}/{n}") for n in sizes},
                  {n: spark.read.parquet(f"{folder}/{MADE_OF.get(n, n)}_crossing") for n in sizes}, sizes)
 
 
+@dataclass(frozen=True)
+class CellsOnDemand(Cells):
+    """Levels that are written when the first page asks for them: ``make`` gives a level's folder.
+
+    Which level answers is decided before its size is known: the first that covers in the order of
+    ``COARSEST``. Cells of any covering level give the same figures.
+    """
+
+    make: Callable[[str], str]
+
+    def covering(self, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> str | None:
+        return next((n for n in COARSEST if _able(n, attributes, counts, approximate)), None)
+
+    def evaluate(self, level: str, measures: Sequence[str], by: Sequence[str], where: M.Where,
+                 approximate: bool = False) -> DataFrame:
+        folder, spark = self.make(level), SparkSession.active()
+        own = Cells({level: spark.read.parquet(f"{folder}/{level}")},
+                    {level: spark.read.parquet(f"{folder}/{level}_crossing")}, {})
+        return own.evaluate(level, measures, by, where, approximate)
+
+
+def on_demand(make: Callable[[str], str]) -> CellsOnDemand:
+    return CellsOnDemand({}, {}, {}, make)
+
+
+@dataclass(frozen=True)
+class PreparedOnDemand(StarOnDemand):
+    """A star on demand that is answered from cells where they suffice."""
+
+    cells: Cells
+    approximate: bool = False
+
+    answered = PreparedStar.answered
+
+
 def with_cells(star: Star, cells: Cells, approximate: bool = False) -> PreparedStar:
+    if isinstance(star, StarOnDemand):
+        return PreparedOnDemand(star.table, cells, approximate)
     return PreparedStar(*[getattr(star, f.name) for f in fields(Star)], cells=cells, approximate=approximate)
 
 

@@ -18,7 +18,6 @@ summed per day and group; only then are day totals joined to the sets.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +72,7 @@ def _day_totals(star: Star, by: Sequence[str], where: Where, days: DataFrame | N
                            F.date_format("date", "yyyyMMdd").cast("int").alias("date_key")).distinct()
         facts = star.fact_sales
         on = [c for c in ("order_year", "date_key") if c in facts.columns]
-        star = replace(star, fact_sales=facts.join(keys.select(*on).distinct(), on, "left_semi"))
+        star = star.with_facts(facts.join(keys.select(*on).distinct(), on, "left_semi"))
     found = evaluate(star, ["total_revenue"], by=[*by, "date"], where=where)
     return found.select(*by, "date", units("total_revenue").alias("cents"))
 

@@ -8,13 +8,15 @@ or place that holds a large share of the orders.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import numbered
 from ..sources.files import write_csv
+from ..sources.workspace import COMPRESSION
 
 # Surrogate id formats and the festive quarter.
 PRODUCT_ID = "PROD-%03d"
@@ -112,11 +114,16 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, places: DataFrame) -> DataFrame:
-    """Orders with surrogate keys; an unknown product or place gets NULL."""
+    """Orders with surrogate keys; an unknown product or place gets NULL.
+
+    Places are few, so theirs are looked up first: the rows that move to a large table of
+    products hold a place's id and a day's number instead of names and dates.
+    """
     return (
-        sales.join(products.select("product_name", "product_id"), "product_name", "left")
+        sales.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
         .join(places.select("region", "city", "geo_id"), ["region", "city"], "left")
-        .withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+        .select("product_name", *[c for c in FACT_COLUMNS if c != "product_id"])
+        .join(products.select("product_name", "product_id"), "product_name", "left")
         .select(*FACT_COLUMNS)
     )
 
@@ -129,28 +136,73 @@ class Star:
     dim_geography: DataFrame
     dim_date: DataFrame
 
+    def with_facts(self, facts: DataFrame) -> Star:
+        return replace(self, fact_sales=facts)
+
 
 TABLES = ("fact_sales", "dim_customer", "dim_product", "dim_geography", "dim_date")
 
 
+@dataclass(frozen=True)
+class StarOnDemand:
+    """A star whose tables are made when they are first asked for.
+
+    A report that names no attribute of customers makes no table of customers, nor the customer
+    value that it needs.
+    """
+
+    table: Callable[[str], DataFrame]
+
+    @property
+    def fact_sales(self) -> DataFrame:
+        return self.table("fact_sales")
+
+    @property
+    def dim_customer(self) -> DataFrame:
+        return self.table("dim_customer")
+
+    @property
+    def dim_product(self) -> DataFrame:
+        return self.table("dim_product")
+
+    @property
+    def dim_geography(self) -> DataFrame:
+        return self.table("dim_geography")
+
+    @property
+    def dim_date(self) -> DataFrame:
+        return self.table("dim_date")
+
+    def with_facts(self, facts: DataFrame) -> StarOnDemand:
+        return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name))
+
+
+def write_table(name: str, rows: DataFrame, path: str) -> DataFrame:
+    """Write one table of the star."""
+    writer = rows.write
+    if name == "fact_sales":
+        # By year, so that a filter on dates, also one found while the query runs, reads the
+        # folders of its years, and by date in each file, so that it reads parts of them. Rows
+        # stay in the tasks that the lookups left them in: they do not move for the layout.
+        years = rows.withColumn("order_year", F.floor(F.col("date_key") / 10_000).cast("int"))
+        writer = (years.sortWithinPartitions("order_year", "date_key")
+                  .write.partitionBy("order_year").option("maxRecordsPerFile", FILE_ROWS))
+    writer.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    return spark.read.schema(FACT_SCHEMA).parquet(path) if name == "fact_sales" else spark.read.parquet(path)
+
+
 def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
     """Write the five star tables, and the flat copy if wanted, as Parquet.
 
     Each table is a pass over ``sales`` with the columns it needs, so give the
     written clean table rather than a long plan.
     """
-    spark = sales.sparkSession
-
     def put(name: str, rows: DataFrame) -> DataFrame:
-        writer = rows.write
-        if name == "fact_sales":
-            # By year, so that a filter on dates, also one found while the query runs, reads the
-            # folders of its years; dealt by date, so a task writes files of a year or two.
-            years = rows.withColumn("order_year", F.floor(F.col("date_key") / 10_000).cast("int"))
-            writer = (years.repartitionByRange("order_year", "date_key").sortWithinPartitions("order_year", "date_key")
-                      .write.partitionBy("order_year").option("maxRecordsPerFile", FILE_ROWS))
-        writer.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+        return write_table(name, rows, f"{folder}/{name}")
 
     put("dim_customer", dim_customer(sales))
     products = put("dim_product", dim_product(sales))
@@ -159,12 +211,11 @@ def write_star(sales: DataFrame, folder: str, flat: bool = True) -> Star:
     put("fact_sales", fact_sales(sales, products, places))
     if flat:
         put("flat_sales", sales)
-    return read_star(spark, folder)
+    return read_star(sales.sparkSession, folder)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(spark.read.schema(FACT_SCHEMA).parquet(f"{folder}/fact_sales"),
-                *[spark.read.parquet(f"{folder}/{name}") for name in TABLES[1:]])
+    return Star(*[read_table(spark, name, f"{folder}/{name}") for name in TABLES])
 
 
 def write_star_csv(star: Star, folder: str) -> None:
