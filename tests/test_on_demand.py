@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from tillsight.operators import features
+from tillsight.operators import features, quality
 from tillsight.plans import cells, dashboard, measures, periods, star
 from tillsight.sources import workspace
 
@@ -104,3 +105,14 @@ def test_facts_do_not_move_for_their_layout(spark, full, written_star, tmp_path)
     files = {f.rsplit("/", 2)[-2] for f in back.inputFiles()}
     assert files == {"order_year=2022", "order_year=2023"} and len(back.inputFiles()) == 2
     assert back.count() == full.count()
+
+
+def test_repeated_rows_are_dropped_in_one_exchange_and_nothing_is_written(spark, tmp_path):
+    frame = spark.createDataFrame([(k % 50, f"t{k % 3}", None) for k in range(400)], "a int, b string, c double")
+    frame.write.parquet(str(tmp_path / "rows"))
+    before = workspace.run_folder(spark)
+    names = set(os.listdir(before)) if os.path.isdir(before) else set()
+    found = quality.drop_duplicates(spark.read.parquet(str(tmp_path / "rows")))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert found.count() == frame.distinct().count() == 150
+    assert (set(os.listdir(before)) if os.path.isdir(before) else set()) == names

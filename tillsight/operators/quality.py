@@ -76,19 +76,11 @@ def duplicate_count(rows: DataFrame, digest_bits: int = 64) -> DataFrame:
 def drop_duplicates(rows: DataFrame, digest_bits: int = 64) -> DataFrame:
     """One of each group of equal rows.
 
-    The rows are written once with a digest and a number. Of rows whose digest occurs twice, whole
-    copies are compared and all but the smallest number go, by an anti join on the numbers alone.
+    Whole rows are compared, so ``digest_bits``, which ``duplicate_count`` takes too, changes nothing here.
+    Each row moves once and nothing is written on the way. Copies meet before, in each task, so a hot
+    row is one line a task.
     """
-    names = [F.col(f"`{c}`") for c in rows.columns]
-    kept = written(rows.withColumns({"_digest": _digest(rows, digest_bits), "_number": F.monotonically_increasing_id()}), "numbered-rows")
-    twice = written(kept.groupBy("_digest").agg(F.count("*").alias("_n")).where("_n > 1").select(
-        F.col("_digest").alias("_twice")), "digests")
-    suspects = kept.join(twice, F.col("_digest") == F.col("_twice"), "left_semi")
-    # Copies meet in the map-side aggregation, so a hot group leaves one row per task.
-    first = written(suspects.groupBy("_digest", *names).agg(F.min("_number").alias("_first")).select("_first"), "first-copies")
-    later = written(suspects.select("_number").join(first, F.col("_number") == F.col("_first"), "left_anti").select(
-        F.col("_number").alias("_later")), "later-copies")
-    return kept.join(later, F.col("_number") == F.col("_later"), "left_anti").select(*names)
+    return rows.dropDuplicates()
 
 
 def column_types(rows: DataFrame) -> DataFrame:
