@@ -19,6 +19,19 @@ def vectors(spark, *rows):
     return spark.createDataFrame([(*r, "x", 1, 2, 3) for r in rows], SCHEMA)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_eigenvalues_that_crowd_just_outside_an_interval(seed):
+    """Three of 64 lie above a crowd that touches the interval's end; once the rounds ran out there."""
+    draw = np.random.default_rng(seed)
+    turn, _ = np.linalg.qr(draw.standard_normal((64, 64)))
+    known = np.concatenate([1 - 1e-5 * draw.random(61), 1 + 1e-4 * draw.random(3)])
+    v = turn * known @ turn.T
+    v = (v + v.T) / 2
+    values, vectors = spectrum.largest(v, 32)
+    np.testing.assert_allclose(values, np.sort(known)[::-1][:32], atol=1e-13)
+    assert np.abs(v @ vectors - vectors * values).max() < 1e-12
+
+
 def matrices():
     draw = np.random.default_rng(0)
     for size in (1, 2, 3, 17, 64):

@@ -5,7 +5,8 @@ counting the negative pivots of shifted factorisations (Sylvester's law of inert
 For each interval, a circle through its ends is a contour: the trapezoid rule over
 solves with the complex shifted matrix damps all that lies outside, Rayleigh-Ritz
 takes eigenvectors from what is left, and both repeat until the residuals are small.
-An interval must give as many eigenvalues as its ends' inertia counts say.
+An interval must give as many eigenvalues as its ends' inertia counts say. Its empty ends are cut
+off first, and where many eigenvalues crowd just outside of it the basis is made wider.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Nodes of the whole circle, eigenvalues of an interval, rounds, and the residual aimed at.
-NODES, MOST, ROUNDS, RESIDUAL = 16, 8, 40, 1e-13
+#: Nodes of the whole circle, eigenvalues of an interval, rounds with a basis of one width, and the residual aimed at.
+NODES, MOST, ROUNDS, RESIDUAL = 16, 8, 12, 1e-13
 #: Relative to the matrix: an interval of this width is not cut further, and ends keep so far off eigenvalues.
 NARROW, CLEAR = 1e-7, 1e-10
 
@@ -59,7 +60,7 @@ def intervals(v: np.ndarray, wanted: int) -> Iterator[tuple[float, float, int]]:
         low, high, below, over = waiting.pop()  # eigenvalues above low and above high
         if below == over:
             continue
-        if below - over <= MOST or high - low <= NARROW * scale:
+        if below - over == 1 or high - low <= NARROW * scale:
             found += below - over
             yield low, high, below - over
             continue
@@ -68,6 +69,10 @@ def intervals(v: np.ndarray, wanted: int) -> Iterator[tuple[float, float, int]]:
             between = above(v, middle - CLEAR * scale)
             if between == above(v, middle + CLEAR * scale):
                 break
+        if below - over <= MOST and below > between > over:  # no half is empty: the circle fits
+            found += below - over
+            yield low, high, below - over
+            continue
         waiting += [(low, middle, below, between), (middle, high, between, over)]
 
 
@@ -81,22 +86,22 @@ def within(v: np.ndarray, low: float, high: float, count: int) -> tuple[np.ndarr
     solvers = [s * np.linalg.inv((centre + s) * identity - v) for s in shifts]
     scale = np.abs(v).sum(axis=1).max()
     width = min(size, 2 * count + 4)
-    basis, last = np.random.default_rng(17).standard_normal((size, width)), np.inf
-    for _ in range(ROUNDS):
-        filtered = (2 / NODES) * sum((s @ basis).real for s in solvers)
-        basis, _ = np.linalg.qr(filtered)
-        values, turn = np.linalg.eigh(basis.T @ v @ basis)
-        basis = basis @ turn
-        inside = np.flatnonzero((values > low) & (values <= high))
-        if len(inside) == count:
-            residual = np.linalg.norm(v @ basis[:, inside] - basis[:, inside] * values[inside], axis=0).max()
-            if residual <= RESIDUAL * scale and residual >= last / 4:  # and it falls no further
-                return values[inside], basis[:, inside]
-            last = residual
-        elif len(inside) == width < size:  # more room than the count asks for does no harm
-            width = min(size, 2 * width)
-            basis = np.random.default_rng(width).standard_normal((size, width))
-    raise ArithmeticError(f"{len(inside)} of {count} eigenvalues found between {low} and {high}")
+    while True:
+        basis, last = np.random.default_rng(17).standard_normal((size, width)), np.inf
+        for _ in range(ROUNDS):
+            filtered = (2 / NODES) * sum((s @ basis).real for s in solvers)
+            basis, _ = np.linalg.qr(filtered)
+            values, turn = np.linalg.eigh(basis.T @ v @ basis)
+            basis = basis @ turn
+            inside = np.flatnonzero((values > low) & (values <= high))
+            if len(inside) == count:
+                residual = np.linalg.norm(v @ basis[:, inside] - basis[:, inside] * values[inside], axis=0).max()
+                if residual <= RESIDUAL * scale and residual >= last / 4:  # and it falls no further
+                    return values[inside], basis[:, inside]
+                last = residual
+        if width == size:
+            raise ArithmeticError(f"{len(inside)} of {count} eigenvalues found between {low} and {high}")
+        width = min(size, 2 * width)  # those just outside of the circle fall too slowly: take them along
 
 
 def largest(v: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
