@@ -98,6 +98,62 @@ def test_orders_of_one_line_are_counted_where_they_lie_and_others_once(written_s
     assert counted.where(F.col(cells._ORDERS) < 0).isEmpty() and counted.where(F.col(cells._HIGH) < 0).isEmpty()
 
 
+def test_a_report_looks_up_only_the_keys_it_names(full, written_star):
+    """Facts that are read once are planned with the keys of the report; the table of facts is not made."""
+    asked, planned = [], []
+
+    def table(name):
+        asked.append(name)
+        return getattr(written_star, name)
+
+    def lines(keys):
+        planned.append(set(keys))
+        return star.with_order_year(star.fact_sales(
+            full, table("dim_product") if "product_id" in keys else None, table("dim_geography") if "geo_id" in keys else None))
+
+    own = star.StarOnDemand(table, lines=lines)
+    for visual, where, dims in ((dashboard.kpis, {}, set()), (dashboard.trend, {"year": 2022}, {"dim_date"}),
+                                (dashboard.category_margin, {}, {"dim_product"}), (dashboard.region_aov, {}, {"dim_geography"}),
+                                (dashboard.segment_donut, SLICE, {"dim_customer", "dim_product", "dim_geography", "dim_date"})):
+        asked.clear()
+        assert values(visual(own, where=where)) == values(visual(written_star, where=where)), visual
+        assert set(asked) == dims
+    for period in ({"year": 2022, "week": 9}, {"year": 2022}):
+        assert values(periods.period_measures(own, period, ["region"])) == values(
+            periods.period_measures(written_star, period, ["region"]))
+    assert set() in planned and {"product_id"} in planned and {"geo_id"} in planned and "fact_sales" not in asked
+
+    def joins(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    # The product's number and its category are looked up, no place.
+    assert joins(measures.evaluate(own, ["total_revenue"], ["category"])) == joins(full) + 2
+
+
+def test_a_page_without_counts_makes_sums_only(spark, written_star, lazy):
+    own, _ = lazy
+    made = {"all": [], "sums": []}
+
+    def maker(kind, write):
+        def make(level):
+            path = workspace.new_path(spark, level)
+            made[kind].append(level)
+            write(own, level, path)
+            return path
+        return make
+
+    prepared = cells.with_cells(own, cells.on_demand(maker("all", cells.write_level), maker("sums", cells.write_sums)))
+    for name in ("segment_donut", "region_donut", "trend", "city_map", "product_table", "top_customers", "category_margin"):
+        for where in (SLICE, {}):
+            assert values(getattr(dashboard, name)(prepared, where=where)) == values(
+                getattr(dashboard, name)(written_star, where=where)), (name, where)
+    assert not made["all"]
+    sums = len(made["sums"])
+    for name in ("kpis", "region_aov", "tier_matrix"):
+        assert values(getattr(dashboard, name)(prepared, where=SLICE)) == values(getattr(dashboard, name)(written_star, where=SLICE))
+    assert len(made["sums"]) == sums and made["all"]
+
+
 def test_facts_do_not_move_for_their_layout(spark, full, written_star, tmp_path):
     """The only shuffle a fact row may see is that of a lookup: the layout by year is made in its task."""
     rows = star.fact_sales(full, written_star.dim_product, written_star.dim_geography)

@@ -48,6 +48,7 @@ COARSEST = ("by_band", "by_city", "by_month", "by_segment", "by_tier", "by_produ
 
 _SUMS = tuple(M._SUMS)
 _ORDERS, _HIGH = "_n_orders", "_n_high_orders"
+_AMOUNTS = ("sales", "profit", "quantity", "discount")
 
 
 def _able(level: str, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> bool:
@@ -122,31 +123,40 @@ def _attributed(star: Star, level: str, facts: DataFrame | None = None) -> DataF
 
 def repeated_lines(star: Star) -> DataFrame:
     """What cells need of the lines of orders that have more than one. No other order can lie in several cells."""
-    facts = star.fact_sales
-    ids = facts.where("order_id IS NOT NULL").groupBy("order_id").agg(F.count("*").alias("_lines"))
+    keys = [k for k, _ in M.DIMENSIONS.values() if k != "customer_id"]
+    return _repeated(star.fact_sales, *keys, "order_id", "customer_id", "discount")
+
+
+def _repeated(lines: DataFrame, *columns: str) -> DataFrame:
+    """The columns of those lines whose order has another line."""
+    ids = lines.where("order_id IS NOT NULL").groupBy("order_id").agg(F.count("*").alias("_lines"))
     ids = written(ids.where("_lines > 1").select(F.col("order_id").alias("_repeated")), "repeated-orders")
-    return facts.select(*[k for k, _ in M.DIMENSIONS.values() if k != "customer_id"], "order_id", "customer_id", "discount").join(
-        ids, F.col("order_id") == F.col("_repeated"), "left_semi")
+    return lines.select(*columns).join(ids, F.col("order_id") == F.col("_repeated"), "left_semi")
 
 
 def _cells(star: Star, level: str, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cells of one level, and the orders that lie in several: one row a cell and order.
+    """Cells of one level, and the orders that lie in several: one row a cell and order."""
+    star = star.with_facts(star.fact_sales)  # read several times, so from the table
+    return _counted(level, _attributed(star, level), _attributed(star, level, repeated))
+
+
+def _counted(level: str, lines: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells and crossing orders from lines with their attributes.
 
     Lines go straight into partial sums and sketches, so a hot cell is a few rows when it moves, and each
-    counts as an order. Only ``repeated_lines`` are reduced to one row a cell and order, which takes
+    counts as an order. Only ``repeated`` lines are reduced to one row a cell and order, which takes
     its lines off again and, if the order lies in that cell alone, counts it there once.
     """
     keys = LEVELS[level]
     is_high = F.when(M._DISTINCT["high_orders"][1](), 1).otherwise(0)
-    per_order = written(_attributed(star, level, repeated).groupBy(*keys, "order_id").agg(
+    per_order = written(repeated.groupBy(*keys, "order_id").agg(
         F.count("*").alias("_lines"), F.sum(is_high).alias("_high_lines"), F.max(is_high).alias("_high")), "orders-of-cells")
     several = written(per_order.groupBy("order_id").agg(F.count("*").alias("_in")).where("_in > 1").select(
         F.col("order_id").alias("_crossing")), "crossing-ids")
     marked = written(per_order.join(several, F.col("order_id") == F.col("_crossing"), "left"), "marked-orders")
     crosses = F.col("_crossing").isNotNull()
-    amounts = ("sales", "profit", "quantity", "discount")
-    lines = _attributed(star, level).select(
-        *dict.fromkeys([*keys, "order_id", "customer_id"]), *amounts, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
+    lines = lines.select(
+        *dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
         F.when(F.col("order_id").isNotNull(), is_high).otherwise(0).cast("long").alias(_HIGH))
     corrected = marked.groupBy(*keys).agg(
         F.sum(F.when(crosses, 0).otherwise(1) - F.col("_lines")).alias(_ORDERS),
@@ -189,12 +199,24 @@ def write_cells(star: Star, folder: str) -> Cells:
 
 
 def write_level(star: Star, level: str, folder: str) -> None:
-    """Write one level, with its crossing orders, from the facts."""
-    cells, crossing = _cells(star, level, repeated_lines(star))
+    """Write one level, with its crossing orders, from the facts.
+
+    Lines get the level's attributes once and are written with them, as they are read three times.
+    """
+    keys = LEVELS[level]
+    lines = written(_attributed(star, level).select(*dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS),
+                    "lines-of-cells", COMPRESSION)
+    cells, crossing = _counted(level, lines, _repeated(lines, *keys, "order_id", "discount"))
     _put(crossing, f"{folder}/{level}_crossing")
     _put(cells, f"{folder}/{level}")
 
 
+def write_sums(star: Star, level: str, folder: str) -> None:
+    """Write one level without its counts: what a page needs that names none. The facts are read once."""
+    keys = LEVELS[level]
+    _put(_attributed(star, level).groupBy(*keys).agg(*[M._SUMS[p]().alias(p) for p in _SUMS]), f"{folder}/{level}")
+
+
 def read_cells(spark: SparkSession, folder: str) -> Cells:
     sizes = {r["level"]: r["cells"] for r in spark.read.parquet(f"{folder}/levels").collect()}  # one a level
     return Cells({n: spark.read.parquet(f"{folder}/{n}") for n in sizes},
@@ -205,25 +227,32 @@ def read_cells(spark: SparkSession, folder: str) -> Cells:
 class CellsOnDemand(Cells):
     """Levels that are written when the first page asks for them: ``make`` gives a level's folder.
 
+    ``make_sums``, if given, does so for pages without a distinct count; such a level holds the sums alone.
+
     Which level answers is decided before its size is known: the first that covers in the order of
     ``COARSEST``. Cells of any covering level give the same figures.
     """
 
     make: Callable[[str], str]
+    make_sums: Callable[[str], str] | None = None
 
     def covering(self, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> str | None:
         return next((n for n in COARSEST if _able(n, attributes, counts, approximate)), None)
 
     def evaluate(self, level: str, measures: Sequence[str], by: Sequence[str], where: M.Where,
                  approximate: bool = False) -> DataFrame:
-        folder, spark = self.make(level), SparkSession.active()
-        own = Cells({level: spark.read.parquet(f"{folder}/{level}")},
-                    {level: spark.read.parquet(f"{folder}/{level}_crossing")}, {})
+        spark = SparkSession.active()
+        if self.make_sums and not any(M.MEASURES[m][1] for m in measures):
+            folder, crossing = self.make_sums(level), {}
+        else:
+            folder = self.make(level)
+            crossing = {level: spark.read.parquet(f"{folder}/{level}_crossing")}
+        own = Cells({level: spark.read.parquet(f"{folder}/{level}")}, crossing, {})
         return own.evaluate(level, measures, by, where, approximate)
 
 
-def on_demand(make: Callable[[str], str]) -> CellsOnDemand:
-    return CellsOnDemand({}, {}, {}, make)
+def on_demand(make: Callable[[str], str], make_sums: Callable[[str], str] | None = None) -> CellsOnDemand:
+    return CellsOnDemand({}, {}, {}, make, make_sums)
 
 
 @dataclass(frozen=True)
@@ -238,7 +267,7 @@ class PreparedOnDemand(StarOnDemand):
 
 def with_cells(star: Star, cells: Cells, approximate: bool = False) -> PreparedStar:
     if isinstance(star, StarOnDemand):
-        return PreparedOnDemand(star.table, cells, approximate)
+        return PreparedOnDemand(star.table, cells, approximate, lines=star.lines)
     return PreparedStar(*[getattr(star, f.name) for f in fields(Star)], cells=cells, approximate=approximate)
 
 
@@ -248,7 +277,7 @@ def distinct_by_day(star: Star) -> DataFrame:
     There are as many states as days times places, however many orders there are. Any choice of days
     and places is a union of them.
     """
-    return written(star.fact_sales.groupBy("date_key", "geo_id").agg(
+    return written(star.facts(["geo_id"]).groupBy("date_key", "geo_id").agg(
         F.hll_sketch_agg("order_id", BITS).alias("orders"), F.hll_sketch_agg("customer_id", BITS).alias("customers")),
         "day-sketches")
 

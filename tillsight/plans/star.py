@@ -8,8 +8,8 @@ or place that holds a large share of the orders.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Collection
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,19 +113,21 @@ def dim_date(sales: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, places: DataFrame) -> DataFrame:
+def fact_sales(sales: DataFrame, products: DataFrame | None, places: DataFrame | None) -> DataFrame:
     """Orders with surrogate keys; an unknown product or place gets NULL.
 
     Places are few, so theirs are looked up first: the rows that move to a large table of
-    products hold a place's id and a day's number instead of names and dates.
+    products hold a place's id and a day's number instead of names and dates. Without one of the
+    tables its key is not looked up, and the facts lack that column.
     """
-    return (
-        sales.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
-        .join(places.select("region", "city", "geo_id"), ["region", "city"], "left")
-        .select("product_name", *[c for c in FACT_COLUMNS if c != "product_id"])
-        .join(products.select("product_name", "product_id"), "product_name", "left")
-        .select(*FACT_COLUMNS)
-    )
+    facts = sales.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+    columns = [c for c in FACT_COLUMNS if not (c == "product_id" and products is None or c == "geo_id" and places is None)]
+    if places is not None:
+        facts = facts.join(places.select("region", "city", "geo_id"), ["region", "city"], "left")
+    if products is not None:
+        facts = facts.select("product_name", *[c for c in columns if c != "product_id"]).join(
+            products.select("product_name", "product_id"), "product_name", "left")
+    return facts.select(*columns)
 
 
 @dataclass(frozen=True)
@@ -136,6 +138,10 @@ class Star:
     dim_geography: DataFrame
     dim_date: DataFrame
 
+    def facts(self, keys: Collection[str]) -> DataFrame:
+        """The facts, with these foreign keys at least."""
+        return self.fact_sales
+
     def with_facts(self, facts: DataFrame) -> Star:
         return replace(self, fact_sales=facts)
 
@@ -148,10 +154,13 @@ class StarOnDemand:
     """A star whose tables are made when they are first asked for.
 
     A report that names no attribute of customers makes no table of customers, nor the customer
-    value that it needs.
+    value that it needs. ``lines``, if given, plans the facts with the foreign keys it is given: a report
+    that reads them once looks up only the keys it names, in its own plan, and moves only its own columns.
+    ``fact_sales`` is the whole table, for those who read it more than once.
     """
 
     table: Callable[[str], DataFrame]
+    lines: Callable[[Collection[str]], DataFrame] | None = field(default=None, kw_only=True)
 
     @property
     def fact_sales(self) -> DataFrame:
@@ -173,8 +182,15 @@ class StarOnDemand:
     def dim_date(self) -> DataFrame:
         return self.table("dim_date")
 
+    def facts(self, keys: Collection[str]) -> DataFrame:
+        return self.fact_sales if self.lines is None else self.lines(keys)
+
     def with_facts(self, facts: DataFrame) -> StarOnDemand:
-        return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name))
+        return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name), lines=None)
+
+
+def with_order_year(facts: DataFrame) -> DataFrame:
+    return facts.withColumn("order_year", F.floor(F.col("date_key") / 10_000).cast("int"))
 
 
 def write_table(name: str, rows: DataFrame, path: str) -> DataFrame:
@@ -184,8 +200,7 @@ def write_table(name: str, rows: DataFrame, path: str) -> DataFrame:
         # By year, so that a filter on dates, also one found while the query runs, reads the
         # folders of its years, and by date in each file, so that it reads parts of them. Rows
         # stay in the tasks that the lookups left them in: they do not move for the layout.
-        years = rows.withColumn("order_year", F.floor(F.col("date_key") / 10_000).cast("int"))
-        writer = (years.sortWithinPartitions("order_year", "date_key")
+        writer = (with_order_year(rows).sortWithinPartitions("order_year", "date_key")
                   .write.partitionBy("order_year").option("maxRecordsPerFile", FILE_ROWS))
     writer.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
