@@ -277,7 +277,7 @@ def distinct_by_day(star: Star) -> DataFrame:
     There are as many states as days times places, however many orders there are. Any choice of days
     and places is a union of them.
     """
-    return written(star.facts(["geo_id"]).groupBy("date_key", "geo_id").agg(
+    return written(star.facts(["geo_id"], ["order_id", "customer_id"]).groupBy("date_key", "geo_id").agg(
         F.hll_sketch_agg("order_id", BITS).alias("orders"), F.hll_sketch_agg("customer_id", BITS).alias("customers")),
         "day-sketches")
 

@@ -70,7 +70,7 @@ def _day_totals(star: Star, by: Sequence[str], where: Where, days: DataFrame | N
     if days is not None:
         keys = days.select(F.year("date").alias("order_year"),
                            F.date_format("date", "yyyyMMdd").cast("int").alias("date_key")).distinct()
-        facts = star.facts(_keys([*by, *where]))
+        facts = star.facts(_keys([*by, *where, "date"]))
         on = [c for c in ("order_year", "date_key") if c in facts.columns]
         star = star.with_facts(facts.join(keys.select(*on).distinct(), on, "left_semi"))
     found = evaluate(star, ["total_revenue"], by=[*by, "date"], where=where)

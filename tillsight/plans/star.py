@@ -138,8 +138,8 @@ class Star:
     dim_geography: DataFrame
     dim_date: DataFrame
 
-    def facts(self, keys: Collection[str]) -> DataFrame:
-        """The facts, with these foreign keys at least."""
+    def facts(self, keys: Collection[str], columns: Collection[str] | None = None) -> DataFrame:
+        """The facts, with these foreign keys and other columns (without: all) at least."""
         return self.fact_sales
 
     def with_facts(self, facts: DataFrame) -> Star:
@@ -154,13 +154,13 @@ class StarOnDemand:
     """A star whose tables are made when they are first asked for.
 
     A report that names no attribute of customers makes no table of customers, nor the customer
-    value that it needs. ``lines``, if given, plans the facts with the foreign keys it is given: a report
-    that reads them once looks up only the keys it names, in its own plan, and moves only its own columns.
+    value that it needs. ``lines``, if given, gives the facts with the foreign keys and columns it is given: a
+    report that reads them once looks up only the keys it names, and moves only its own columns.
     ``fact_sales`` is the whole table, for those who read it more than once.
     """
 
     table: Callable[[str], DataFrame]
-    lines: Callable[[Collection[str]], DataFrame] | None = field(default=None, kw_only=True)
+    lines: Callable[[Collection[str], Collection[str] | None], DataFrame] | None = field(default=None, kw_only=True)
 
     @property
     def fact_sales(self) -> DataFrame:
@@ -182,8 +182,8 @@ class StarOnDemand:
     def dim_date(self) -> DataFrame:
         return self.table("dim_date")
 
-    def facts(self, keys: Collection[str]) -> DataFrame:
-        return self.fact_sales if self.lines is None else self.lines(keys)
+    def facts(self, keys: Collection[str], columns: Collection[str] | None = None) -> DataFrame:
+        return self.fact_sales if self.lines is None else self.lines(keys, columns)
 
     def with_facts(self, facts: DataFrame) -> StarOnDemand:
         return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name), lines=None)
