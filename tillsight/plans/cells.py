@@ -20,6 +20,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.workspace import COMPRESSION, written
@@ -115,10 +116,14 @@ class PreparedStar(Star):
         return None if level is None else self.cells.evaluate(level, measures, by, where, self.approximate)
 
 
-def _attributed(star: Star, level: str, facts: DataFrame | None = None) -> DataFrame:
+#: What a level adds up, and what it counts.
+_COUNTED = (*_SUMS, "orders", "high_orders", "customers")
+
+
+def _attributed(star: Star, level: str, facts: DataFrame | None = None, of: Sequence[str] = _COUNTED) -> DataFrame:
     keys = [k for k in LEVELS[level] if k != "customer_id"]
     star = star if facts is None else star.with_facts(facts)
-    return M._attributed(star, M._facts(star, keys, {}), keys, {})
+    return M._attributed(star, M._facts(star, keys, {}, of, each=True), keys, {})
 
 
 def repeated_lines(star: Star) -> DataFrame:
@@ -140,7 +145,7 @@ def _cells(star: Star, level: str, repeated: DataFrame) -> tuple[DataFrame, Data
     return _counted(level, _attributed(star, level), _attributed(star, level, repeated))
 
 
-def _counted(level: str, lines: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _counted(level: str, lines: DataFrame, repeated: DataFrame, sketches: bool = True) -> tuple[DataFrame, DataFrame]:
     """Cells and crossing orders from lines with their attributes.
 
     Lines go straight into partial sums and sketches, so a hot cell is a few rows when it moves, and each
@@ -149,22 +154,20 @@ def _counted(level: str, lines: DataFrame, repeated: DataFrame) -> tuple[DataFra
     """
     keys = LEVELS[level]
     is_high = F.when(M._DISTINCT["high_orders"][1](), 1).otherwise(0)
-    per_order = written(repeated.groupBy(*keys, "order_id").agg(
-        F.count("*").alias("_lines"), F.sum(is_high).alias("_high_lines"), F.max(is_high).alias("_high")), "orders-of-cells")
-    several = written(per_order.groupBy("order_id").agg(F.count("*").alias("_in")).where("_in > 1").select(
-        F.col("order_id").alias("_crossing")), "crossing-ids")
-    marked = written(per_order.join(several, F.col("order_id") == F.col("_crossing"), "left"), "marked-orders")
-    crosses = F.col("_crossing").isNotNull()
+    per_order = repeated.groupBy(*keys, "order_id").agg(
+        F.count("*").alias("_lines"), F.sum(is_high).alias("_high_lines"), F.max(is_high).alias("_high"))
+    # The lines lie by order where they met the repeated ids, so the cells of an order are counted there.
+    marked = written(per_order.withColumn("_in", F.count("*").over(W.partitionBy("order_id"))), "marked-orders", COMPRESSION)
+    crosses = F.col("_in") > 1
     lines = lines.select(
         *dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
         F.when(F.col("order_id").isNotNull(), is_high).otherwise(0).cast("long").alias(_HIGH))
-    corrected = marked.groupBy(*keys).agg(
-        F.sum(F.when(crosses, 0).otherwise(1) - F.col("_lines")).alias(_ORDERS),
-        F.sum(F.when(crosses, 0).otherwise(F.col("_high")) - F.col("_high_lines")).alias(_HIGH))
+    corrected = marked.select(
+        *keys, (F.when(crosses, 0).otherwise(1) - F.col("_lines")).cast("long").alias(_ORDERS),
+        (F.when(crosses, 0).otherwise(F.col("_high")) - F.col("_high_lines")).cast("long").alias(_HIGH))
     cells = lines.unionByName(corrected, allowMissingColumns=True).groupBy(*keys).agg(
         *[M._SUMS[p]().alias(p) for p in _SUMS], F.sum(_ORDERS).alias(_ORDERS), F.sum(_HIGH).alias(_HIGH),
-        F.hll_sketch_agg("order_id", BITS).alias("_orders_sketch"),
-        F.hll_sketch_agg("customer_id", BITS).alias("_customers_sketch"))
+        *([F.hll_sketch_agg(f"{c[:-1]}_id", BITS).alias(f"_{c}_sketch") for c in ("orders", "customers")] if sketches else []))
     return cells, marked.where(crosses).select(*keys, "order_id", "_high")
 
 
@@ -198,15 +201,15 @@ def write_cells(star: Star, folder: str) -> Cells:
     return read_cells(spark, folder)
 
 
-def write_level(star: Star, level: str, folder: str) -> None:
-    """Write one level, with its crossing orders, from the facts.
+def write_level(star: Star, level: str, folder: str, sketches: bool = True) -> None:
+    """Write one level, with its crossing orders, from the facts; without ``sketches`` its counts are exact only.
 
     Lines get the level's attributes once and are written with them, as they are read three times.
     """
     keys = LEVELS[level]
     lines = written(_attributed(star, level).select(*dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS),
                     "lines-of-cells", COMPRESSION)
-    cells, crossing = _counted(level, lines, _repeated(lines, *keys, "order_id", "discount"))
+    cells, crossing = _counted(level, lines, _repeated(lines, *keys, "order_id", "discount"), sketches)
     _put(crossing, f"{folder}/{level}_crossing")
     _put(cells, f"{folder}/{level}")
 
@@ -214,7 +217,7 @@ def write_level(star: Star, level: str, folder: str) -> None:
 def write_sums(star: Star, level: str, folder: str) -> None:
     """Write one level without its counts: what a page needs that names none. The facts are read once."""
     keys = LEVELS[level]
-    _put(_attributed(star, level).groupBy(*keys).agg(*[M._SUMS[p]().alias(p) for p in _SUMS]), f"{folder}/{level}")
+    _put(_attributed(star, level, of=_SUMS).groupBy(*keys).agg(*[M._SUMS[p]().alias(p) for p in _SUMS]), f"{folder}/{level}")
 
 
 def read_cells(spark: SparkSession, folder: str) -> Cells:
@@ -227,7 +230,8 @@ def read_cells(spark: SparkSession, folder: str) -> Cells:
 class CellsOnDemand(Cells):
     """Levels that are written when the first page asks for them: ``make`` gives a level's folder.
 
-    ``make_sums``, if given, does so for pages without a distinct count; such a level holds the sums alone.
+    ``make_sums``, if given, does so for pages without a distinct count; such a level holds the sums alone. ``make_exact``,
+    if given, does so for pages whose counts are to be exact; such a level holds no sketches.
 
     Which level answers is decided before its size is known: the first that covers in the order of
     ``COARSEST``. Cells of any covering level give the same figures.
@@ -235,6 +239,7 @@ class CellsOnDemand(Cells):
 
     make: Callable[[str], str]
     make_sums: Callable[[str], str] | None = None
+    make_exact: Callable[[str], str] | None = None
 
     def covering(self, attributes: Sequence[str], counts: Sequence[str], approximate: bool) -> str | None:
         return next((n for n in COARSEST if _able(n, attributes, counts, approximate)), None)
@@ -245,14 +250,15 @@ class CellsOnDemand(Cells):
         if self.make_sums and not any(M.MEASURES[m][1] for m in measures):
             folder, crossing = self.make_sums(level), {}
         else:
-            folder = self.make(level)
+            folder = (self.make if approximate or not self.make_exact else self.make_exact)(level)
             crossing = {level: spark.read.parquet(f"{folder}/{level}_crossing")}
         own = Cells({level: spark.read.parquet(f"{folder}/{level}")}, crossing, {})
         return own.evaluate(level, measures, by, where, approximate)
 
 
-def on_demand(make: Callable[[str], str], make_sums: Callable[[str], str] | None = None) -> CellsOnDemand:
-    return CellsOnDemand({}, {}, {}, make, make_sums)
+def on_demand(make: Callable[[str], str], make_sums: Callable[[str], str] | None = None,
+              make_exact: Callable[[str], str] | None = None) -> CellsOnDemand:
+    return CellsOnDemand({}, {}, {}, make, make_sums, make_exact)
 
 
 @dataclass(frozen=True)
@@ -277,7 +283,7 @@ def distinct_by_day(star: Star) -> DataFrame:
     There are as many states as days times places, however many orders there are. Any choice of days
     and places is a union of them.
     """
-    return written(star.facts(["geo_id"], ["order_id", "customer_id"]).groupBy("date_key", "geo_id").agg(
+    return written(star.facts(["date_key", "geo_id"], ["order_id", "customer_id"]).groupBy("date_key", "geo_id").agg(
         F.hll_sketch_agg("order_id", BITS).alias("orders"), F.hll_sketch_agg("customer_id", BITS).alias("customers")),
         "day-sketches")
 

@@ -8,12 +8,14 @@ or place that holds a large share of the orders.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import bands
+from ..functions.exact import amount, sum_units0
 from ..operators.ranking import numbered
 from ..sources.files import write_csv
 from ..sources.workspace import COMPRESSION
@@ -36,6 +38,15 @@ FILE_ROWS = 20_000_000
 FACT_COLUMNS = ("order_id", "date_key", "customer_id", "product_id", "geo_id", "ship_mode",
                 "quantity", "unit_price", "discount", "sales", "profit", "profit_margin",
                 "days_to_ship")
+# What a line may get of its product besides the number.
+PRODUCT_ATTRIBUTES = ("product_name", "category")
+# Columns of the orders that a column of the facts is made of, where it is not one of them, and that a table is made of.
+FACTS_MADE_OF = {"date_key": ("order_date",), "product_id": ("product_name",), "geo_id": ("region", "city"),
+                 "days_to_ship": ("order_date", "ship_date")}
+TABLES_MADE_OF = {
+    "dim_customer": ("customer_id", "customer_name", "segment", "region", "city", "order_date", "order_id", "sales"),
+    "dim_product": ("product_name", "category", "order_date", "unit_price"),
+    "dim_geography": ("region", "city"), "dim_date": ("order_date",)}
 
 
 def _earliest(name: str) -> Column:
@@ -65,6 +76,23 @@ def dim_customer(sales: DataFrame) -> DataFrame:
     )
 
 
+def dim_customer_of_orders(orders: DataFrame, tier_limits: Sequence[float | None] = bands.TIER_LIMITS) -> DataFrame:
+    """``dim_customer`` from orders that do not carry their customer's value.
+
+    A customer has one value, and it is the sum of those of its attribute sets. So orders are reduced to
+    these before anything is added up by customer, and no order is given a value or moves for it.
+    """
+    sets = orders.where(F.col("customer_id").isNotNull()).groupBy(
+        "customer_id", "customer_name", "segment", "region", "city").agg(
+        F.min("order_date").alias("_seen"), F.count("order_id").alias("_orders"), sum_units0("sales").alias("_u"))
+    customers = sets.groupBy("customer_id").agg(
+        *[_earliest(a).alias(a) for a in ("customer_name", "segment", "region", "city")],
+        amount(F.sum("_u")).alias("customer_ltv"), F.sum("_orders").alias("total_orders"))
+    return customers.withColumn("customer_tier", bands.customer_tier(limits=tier_limits)).select(
+        "customer_id", "customer_name", "segment", "customer_tier", "customer_ltv",
+        F.col("region").alias("home_region"), F.col("city").alias("home_city"), "total_orders")
+
+
 def dim_product(sales: DataFrame) -> DataFrame:
     """One row per product, numbered by name."""
     seen = (
@@ -113,20 +141,29 @@ def dim_date(sales: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(sales: DataFrame, products: DataFrame | None, places: DataFrame | None) -> DataFrame:
+def fact_sales(sales: DataFrame, products: DataFrame | None, places: DataFrame | None,
+               wanted: Collection[str] = FACT_COLUMNS) -> DataFrame:
     """Orders with surrogate keys; an unknown product or place gets NULL.
 
     Places are few, so theirs are looked up first: the rows that move to a large table of
     products hold a place's id and a day's number instead of names and dates. Without one of the
-    tables its key is not looked up, and the facts lack that column.
+    tables its key is not looked up, and the facts lack that column. They have the ``wanted`` columns only,
+    and ``sales`` needs no more than these are made of. Attributes of products that are wanted come from the
+    same lookup as their number.
     """
-    facts = sales.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
-    columns = [c for c in FACT_COLUMNS if not (c == "product_id" and products is None or c == "geo_id" and places is None)]
+    facts = sales
+    if "date_key" in wanted:
+        facts = facts.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+    columns = [c for c in FACT_COLUMNS
+               if c in wanted and not (c == "product_id" and products is None or c == "geo_id" and places is None)]
     if places is not None:
         facts = facts.join(places.select("region", "city", "geo_id"), ["region", "city"], "left")
     if products is not None:
-        facts = facts.select("product_name", *[c for c in columns if c != "product_id"]).join(
-            products.select("product_name", "product_id"), "product_name", "left")
+        attributes = [c for c in PRODUCT_ATTRIBUTES if c in wanted]
+        found = products.select(F.col("product_name").alias("_name"), "product_id", *attributes)
+        facts = facts.select(F.col("product_name").alias("_sold"), *[c for c in columns if c != "product_id"]).join(
+            found, F.col("_sold") == F.col("_name"), "left")
+        columns += attributes
     return facts.select(*columns)
 
 
@@ -139,7 +176,10 @@ class Star:
     dim_date: DataFrame
 
     def facts(self, keys: Collection[str], columns: Collection[str] | None = None) -> DataFrame:
-        """The facts, with these foreign keys and other columns (without: all) at least."""
+        """The facts, with these foreign keys and other columns (without: all) at least.
+
+        Columns may be attributes of products; the facts hold them or not.
+        """
         return self.fact_sales
 
     def with_facts(self, facts: DataFrame) -> Star:
