@@ -159,8 +159,9 @@ def _counted(level: str, lines: DataFrame, repeated: DataFrame, sketches: bool =
     # The lines lie by order where they met the repeated ids, so the cells of an order are counted there.
     marked = written(per_order.withColumn("_in", F.count("*").over(W.partitionBy("order_id"))), "marked-orders", COMPRESSION)
     crosses = F.col("_in") > 1
+    ids = ["order_id", "customer_id"] if sketches else ["order_id"]
     lines = lines.select(
-        *dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
+        *dict.fromkeys([*keys, *ids]), *_AMOUNTS, F.col("order_id").isNotNull().cast("long").alias(_ORDERS),
         F.when(F.col("order_id").isNotNull(), is_high).otherwise(0).cast("long").alias(_HIGH))
     corrected = marked.select(
         *keys, (F.when(crosses, 0).otherwise(1) - F.col("_lines")).cast("long").alias(_ORDERS),
@@ -201,14 +202,19 @@ def write_cells(star: Star, folder: str) -> Cells:
     return read_cells(spark, folder)
 
 
-def write_level(star: Star, level: str, folder: str, sketches: bool = True) -> None:
+def write_level(star: Star, level: str, folder: str, sketches: bool = True,
+                keep: Callable[[], bool] = lambda: True) -> None:
     """Write one level, with its crossing orders, from the facts; without ``sketches`` its counts are exact only.
 
-    Lines get the level's attributes once and are written with them, as they are read three times.
+    Lines are read three times. To ``keep`` them, which is asked when they are planned, they get the level's attributes once and
+    are written with them. That is not needed where they lie in a file with all that their attributes are made of.
     """
     keys = LEVELS[level]
-    lines = written(_attributed(star, level).select(*dict.fromkeys([*keys, "order_id", "customer_id"]), *_AMOUNTS),
-                    "lines-of-cells", COMPRESSION)
+    ids = ["order_id", "customer_id"] if sketches else ["order_id"]
+    lines = _attributed(star, level, of=[c for c in _COUNTED if sketches or c != "customers" or "customer_id" in keys])
+    lines = lines.select(*dict.fromkeys([*keys, *ids]), *_AMOUNTS)
+    if keep():
+        lines = written(lines, "lines-of-cells", COMPRESSION)
     cells, crossing = _counted(level, lines, _repeated(lines, *keys, "order_id", "discount"), sketches)
     _put(crossing, f"{folder}/{level}_crossing")
     _put(cells, f"{folder}/{level}")
@@ -273,7 +279,7 @@ class PreparedOnDemand(StarOnDemand):
 
 def with_cells(star: Star, cells: Cells, approximate: bool = False) -> PreparedStar:
     if isinstance(star, StarOnDemand):
-        return PreparedOnDemand(star.table, cells, approximate, lines=star.lines)
+        return PreparedOnDemand(star.table, cells, approximate, lines=star.lines, attributes=star.attributes)
     return PreparedStar(*[getattr(star, f.name) for f in fields(Star)], cells=cells, approximate=approximate)
 
 

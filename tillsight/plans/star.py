@@ -40,13 +40,19 @@ FACT_COLUMNS = ("order_id", "date_key", "customer_id", "product_id", "geo_id", "
                 "days_to_ship")
 # What a line may get of its product besides the number.
 PRODUCT_ATTRIBUTES = ("product_name", "category")
-# Columns of the orders that a column of the facts is made of, where it is not one of them, and that a table is made of.
+# Columns of the orders that a column of the facts is made of, where it is not one of them, that a table is made of, and
+# that an attribute is made of which a line can have without its table.
 FACTS_MADE_OF = {"date_key": ("order_date",), "product_id": ("product_name",), "geo_id": ("region", "city"),
                  "days_to_ship": ("order_date", "ship_date")}
 TABLES_MADE_OF = {
     "dim_customer": ("customer_id", "customer_name", "segment", "region", "city", "order_date", "order_id", "sales"),
     "dim_product": ("product_name", "category", "order_date", "unit_price"),
     "dim_geography": ("region", "city"), "dim_date": ("order_date",)}
+DAY_ATTRIBUTES = ("date", "year", "quarter", "quarter_name", "month", "month_name", "month_short", "year_month", "week", "day",
+                  "day_name", "is_weekend", "is_festive_q")
+ATTRIBUTES_MADE_OF = {
+    "product_name": ("product_name",), "category": ("product_name", "category", "order_date"),
+    "region": ("region", "city"), "city": ("region", "city"), **dict.fromkeys(DAY_ATTRIBUTES, ("order_date",))}
 
 
 def _earliest(name: str) -> Column:
@@ -122,44 +128,77 @@ def dim_date(sales: DataFrame) -> DataFrame:
     span = sales.agg(F.min("order_date").alias("_from"), F.max("order_date").alias("_to"))
     days = span.where(F.col("_from").isNotNull()).select(
         F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))).alias("date"))
-    quarter = F.quarter("date")
+    of_day = _of_day("date")
     return days.select(
-        "date",
-        F.date_format("date", "yyyyMMdd").cast("int").alias("date_key"),
-        F.year("date").alias("year"),
-        quarter.alias("quarter"),
-        F.concat(F.lit("Q"), quarter.cast("string")).alias("quarter_name"),
-        F.month("date").alias("month"),
-        F.date_format("date", "MMMM").alias("month_name"),
-        F.date_format("date", "MMM").alias("month_short"),
-        F.date_format("date", "yyyy-MM").alias("year_month"),
-        F.weekofyear("date").alias("week"),
-        F.dayofmonth("date").alias("day"),
-        F.date_format("date", "EEEE").alias("day_name"),
-        (F.weekday("date") >= 5).alias("is_weekend"),
-        (quarter == FESTIVE_QUARTER).alias("is_festive_q"),
-    )
+        "date", F.date_format("date", "yyyyMMdd").cast("int").alias("date_key"),
+        *[of_day[a].alias(a) for a in DAY_ATTRIBUTES if a != "date"])
+
+
+def _of_day(day: str) -> dict[str, Column]:
+    """The attributes of a day."""
+    quarter = F.quarter(day)
+    return {
+        "date": F.col(day),
+        "year": F.year(day),
+        "quarter": quarter,
+        "quarter_name": F.concat(F.lit("Q"), quarter.cast("string")),
+        "month": F.month(day),
+        "month_name": F.date_format(day, "MMMM"),
+        "month_short": F.date_format(day, "MMM"),
+        "year_month": F.date_format(day, "yyyy-MM"),
+        "week": F.weekofyear(day),
+        "day": F.dayofmonth(day),
+        "day_name": F.date_format(day, "EEEE"),
+        "is_weekend": F.weekday(day) >= 5,
+        "is_festive_q": quarter == FESTIVE_QUARTER,
+    }
+
+
+def mixed_products(orders: DataFrame) -> DataFrame:
+    """(_mixed, _category): products whose orders name more than one category, none counted as one, and that of ``dim_product``."""
+    seen = orders.where(F.col("product_name").isNotNull()).groupBy("product_name", "category").agg(
+        F.min("order_date").alias("_seen"))
+    return seen.groupBy("product_name").agg(
+        _earliest("category").alias("_category"), F.count("*").alias("_categories")).where("_categories > 1").select(
+        F.col("product_name").alias("_mixed"), "_category")
+
+
+def with_attributes(orders: DataFrame, named: Collection[str], mixed: DataFrame | None = None) -> DataFrame:
+    """Orders with these attributes of their product, place and day, as the tables of the star made of them give them.
+
+    Names of products and places and the parts of a day are an order's own; an order that lacks the region or the city
+    has no place. The category of a product is that of any order of it, but for the ``mixed`` products, which are looked
+    up. So an order moves only where there are more of these than can be broadcast.
+    """
+    placed = F.col("region").isNotNull() & F.col("city").isNotNull()
+    found = {**{c: F.when(placed, F.col(c)) for c in ("region", "city")}, **_of_day("order_date"),
+             "category": F.when(F.col("product_name").isNotNull(), F.col("category"))}
+    if mixed is not None and "category" in named:
+        orders = orders.join(mixed, F.col("product_name") == F.col("_mixed"), "left")
+        found["category"] = F.when(F.col("_mixed").isNotNull(), F.col("_category")).otherwise(found["category"])
+    return orders.withColumns({c: found[c] for c in named if c in found})
 
 
 def fact_sales(sales: DataFrame, products: DataFrame | None, places: DataFrame | None,
-               wanted: Collection[str] = FACT_COLUMNS) -> DataFrame:
+               wanted: Collection[str] = FACT_COLUMNS, own: Sequence[str] = ()) -> DataFrame:
     """Orders with surrogate keys; an unknown product or place gets NULL.
 
     Places are few, so theirs are looked up first: the rows that move to a large table of
     products hold a place's id and a day's number instead of names and dates. Without one of the
     tables its key is not looked up, and the facts lack that column. They have the ``wanted`` columns only,
     and ``sales`` needs no more than these are made of. Attributes of products that are wanted come from the
-    same lookup as their number.
+    same lookup as their number, but for the ``own`` attributes, which ``sales`` holds and the facts keep.
     """
     facts = sales
     if "date_key" in wanted:
         facts = facts.withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
     columns = [c for c in FACT_COLUMNS
                if c in wanted and not (c == "product_id" and products is None or c == "geo_id" and places is None)]
+    columns += own
     if places is not None:
         facts = facts.join(places.select("region", "city", "geo_id"), ["region", "city"], "left")
     if products is not None:
-        attributes = [c for c in PRODUCT_ATTRIBUTES if c in wanted]
+        attributes = [c for c in PRODUCT_ATTRIBUTES if c in wanted and c not in own]
         found = products.select(F.col("product_name").alias("_name"), "product_id", *attributes)
         facts = facts.select(F.col("product_name").alias("_sold"), *[c for c in columns if c != "product_id"]).join(
             found, F.col("_sold") == F.col("_name"), "left")
@@ -175,10 +214,12 @@ class Star:
     dim_geography: DataFrame
     dim_date: DataFrame
 
+    attributes = ()  # that facts with a choice of columns hold without their key
+
     def facts(self, keys: Collection[str], columns: Collection[str] | None = None) -> DataFrame:
         """The facts, with these foreign keys and other columns (without: all) at least.
 
-        Columns may be attributes of products; the facts hold them or not.
+        Columns may be among ``attributes``. They may be others of products; the facts hold these or not.
         """
         return self.fact_sales
 
@@ -195,12 +236,14 @@ class StarOnDemand:
 
     A report that names no attribute of customers makes no table of customers, nor the customer
     value that it needs. ``lines``, if given, gives the facts with the foreign keys and columns it is given: a
-    report that reads them once looks up only the keys it names, and moves only its own columns.
+    report that reads them once looks up only the keys it names, and moves only its own columns. The columns may be
+    ``attributes``, whose tables are then not looked up.
     ``fact_sales`` is the whole table, for those who read it more than once.
     """
 
     table: Callable[[str], DataFrame]
     lines: Callable[[Collection[str], Collection[str] | None], DataFrame] | None = field(default=None, kw_only=True)
+    attributes: Collection[str] = field(default=(), kw_only=True)
 
     @property
     def fact_sales(self) -> DataFrame:
@@ -226,7 +269,8 @@ class StarOnDemand:
         return self.fact_sales if self.lines is None else self.lines(keys, columns)
 
     def with_facts(self, facts: DataFrame) -> StarOnDemand:
-        return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name), lines=None)
+        return replace(self, table=lambda name: facts if name == "fact_sales" else self.table(name), lines=None,
+                       attributes=())
 
 
 def with_order_year(facts: DataFrame) -> DataFrame:
