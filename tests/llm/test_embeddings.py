@@ -201,3 +201,20 @@ def test_hard_negatives_without_anchors_or_partners(spark, rows):
 def test_hard_negatives_beyond_floats_are_exact(spark):
     rows = [(50, [2.0 ** 22, 3.0], 1), (1, [2.0 ** 22, 1.0], 1), (2, [2.0 ** 22 * 0.75, 7.0], 2), (3, [2.0 ** 22 * 0.75, 6.0], 2)]
     assert mined(vectors(spark, *rows)) == brute_negatives(rows) != []
+
+
+def test_packs_of_queries_are_never_broadcast(spark, small_blocks):
+    """A visit's packs are many times larger than the file of the queries, which Spark guesses their size from."""
+    rows = vectors(spark, *clustered(300, 3, 1)).select(F.col("vec_id").alias("key"), "vec_id", F.col("label").cast("long").alias(
+        "label"), F.transform("embedding", lambda e: F.floor(256 * e).cast("long")).alias("x"))
+    table = hard_negatives.written(rows, "vectors")
+    index = hard_negatives.Index(table, 3)
+    windows = F.array(F.struct(F.lit(0).alias("window"), F.lit(hard_negatives.LOWEST).cast("long").alias("lo"),
+                               F.lit(hard_negatives.HIGHEST).cast("long").alias("hi")))
+    queries = hard_negatives.written(table.select("key", "label", "x", windows.alias("windows")), "queries")
+    for home in (True, False):
+        plan = index._visit(queries, 2, True, home)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    # Of leaves of several blocks every row is in one of them.
+    assert index.blocks.agg(F.sum(F.length("keys"))).first()[0] == 8 * 300
+    assert index.blocks.count() == sum(index.blocks_of.values())

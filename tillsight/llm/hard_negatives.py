@@ -178,11 +178,9 @@ class Index:
         sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # the leaves
         self.blocks_of = {leaf: -(-n // LEAF) for leaf, n in sizes.items()}
         self.sent = spark.sparkContext.broadcast((tree, self.ranges, self.blocks_of))
-        count = F.lit(1)
-        for leaf, n in self.blocks_of.items():
-            if n > 1:
-                count = F.when(F.col("leaf") == leaf, n).otherwise(count)
-        dealt = placed.withColumn("block", F.pmod(F.xxhash64("key"), count).cast("int"))
+        # By the leaf's number, as one list: an expression nested by leaves would grow with the rows.
+        blocks = F.lit([self.blocks_of.get(leaf, 1) for leaf in range(tree.leaves)])
+        dealt = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.get(blocks, F.col("leaf"))).cast("int"))
         schema = pa.schema([("leaf", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()),
                             ("labels", pa.binary()), ("kind", pa.string()), ("x", pa.binary())])
 
@@ -276,8 +274,9 @@ class Index:
 
         packs = queries.mapInArrow(route, "leaf int, block int, q_keys binary, q_labels binary, q_kind string, "
                                           "q_x binary, q_windows binary")
-        # A block meets many packs: it is dealt out with them, one at a time in a task.
-        return self.blocks.join(packs, ["leaf", "block"]).mapInArrow(
+        # A block meets many packs: it is dealt out with them, one at a time in a task. Packs are many times
+        # larger than the queries' file, which their size is guessed from: without the hint they are broadcast.
+        return self.blocks.join(packs.hint("merge"), ["leaf", "block"]).mapInArrow(
             compare, "key long, window int, found long, vec_id long, score long")
 
 
