@@ -87,6 +87,22 @@ def test_fixed_keywords_by_table_as_by_projection(spark):
     assert keywords.scores(texts, "id", none).count() == 0
 
 
+@pytest.mark.parametrize("few", [1_000, 0])
+def test_few_keywords_are_searched_for_where_the_texts_are(spark, few):
+    """Odd keywords and texts; up to ``few`` keywords no text moves or is taken apart, and results are the same."""
+    words = [("t1", "Top Region"), ("t1", "region"), ("t2", "region"), ("t2", "REGION"), ("t3", "a"), ("t3", " "), (None, "region"),
+             ("t4", "regional sales"), ("t4", ""), ("t5", None), ("t6", "\u00e9t\u00e9")]
+    texts = [("k", "regional SALES of the top region"), ("k", "regional SALES of the top region"), ("k", None), (None, "A \u00c9T\u00c9"),
+             ("m", "xyz"), ("n", "")]
+    frame = spark.createDataFrame(texts, "id string, text string")
+    table = spark.createDataFrame(words, "topic string, keyword string")
+    plan = keywords.scores(frame, "id", table, few=few)
+    one = [("k", None, 1), ("k", "t1", 2), ("k", "t2", 1), ("k", "t3", 2), ("k", "t4", 1)]
+    assert sorted(values(plan), key=str) == sorted([*one, *one, (None, "t3", 2), (None, "t6", 1)], key=str)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in text or "_grams" in text) == (few == 0)
+
+
 def test_made_questions_reach_nearly_all_topics_and_ties(spark):
     asked = registry.asked(spark, SF_DIR).where("id LIKE 'q%'")
     topics = {r.intent for r in questions.tag(asked).select("intent").distinct().collect()}

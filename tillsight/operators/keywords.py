@@ -1,6 +1,8 @@
 """Topics of texts from a table of keywords.
 
-A keyword counts where the lower-cased text contains it. Each keyword is indexed under one of its
+A keyword counts where the lower-cased text contains it. Up to ``FEW`` keywords a text is searched for
+the guard words that they share, and for a keyword only where its guard occurs; it does not move and is
+not multiplied. Of more keywords, each is indexed under one of its
 trigrams, the one that fewest keywords have; keywords of one or two characters under
 themselves. A text looks up the trigrams it has, which finds all keywords it may contain, and
 only these are searched for. The cost of a text grows with its length and the keywords that
@@ -11,12 +13,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.questions import _guards as guards
 from ..sources.workspace import written
 
 GRAM = 3
 #: Keywords whose index is sent to all tasks; beyond that it is joined by a shuffle.
 BROADCAST = 200_000
+#: Pairs of topic and keyword whose guards are searched for one by one, which takes less than a text's trigrams do.
+FEW = 1_000
 
 
 def _grams(characters: Column, size: int) -> Column:
@@ -27,9 +33,13 @@ def _grams(characters: Column, size: int) -> Column:
         places, lambda i: F.concat(*[p(i) for p in parts]))).otherwise(F.array().cast("array<string>"))
 
 
+def _distinct(keywords: DataFrame) -> DataFrame:
+    return keywords.where("keyword IS NOT NULL AND keyword <> ''").select("topic", F.lower("keyword").alias("keyword")).distinct()
+
+
 def index(keywords: DataFrame) -> DataFrame:
     """(gram, topic, keyword), written: every distinct keyword of (topic, keyword) under its rarest gram."""
-    own = keywords.where("keyword IS NOT NULL AND keyword <> ''").select("topic", F.lower("keyword").alias("keyword")).distinct()
+    own = _distinct(keywords)
     characters = F.split("keyword", "")
     held = own.select("keyword").distinct().select("keyword", F.explode(F.array_distinct(
         F.when(F.length("keyword") >= GRAM, _grams(characters, GRAM)).otherwise(F.array("keyword")))).alias("gram"))
@@ -39,12 +49,38 @@ def index(keywords: DataFrame) -> DataFrame:
     return written(own.join(chosen, "keyword").select("gram", "topic", "keyword"), "keyword-index")
 
 
-def scores(texts: DataFrame, key: str, keywords: DataFrame, text: str = "text", broadcast: int = BROADCAST) -> DataFrame:
+def _searched(texts: DataFrame, key: str, few: list[tuple], kind: T.DataType, text: str) -> DataFrame:
+    """``scores`` by searching every text for the guards of a few (topic, keyword)."""
+    topics: dict[str, list] = {}
+    for topic, keyword in few:
+        topics.setdefault(keyword, []).append(topic)
+    guarded: dict[str, list] = {}
+    for keyword, guard in guards({"": list(topics)}).items():
+        guarded.setdefault(guard, []).append((keyword, topics[keyword]))
+    member = T.StructType().add("keyword", "string").add("topics", T.ArrayType(kind))
+    schema = T.StructType().add("groups", T.ArrayType(T.StructType().add("guard", "string").add("members", T.ArrayType(member))))
+    groups = texts.sparkSession.createDataFrame([(sorted(guarded.items(), key=lambda g: g[0]),)], schema).scalar()
+    lowered = F.col("_lowered")
+    held = F.flatten(F.transform(
+        F.filter("_groups", lambda g: lowered.contains(g["guard"])),
+        lambda g: F.flatten(F.transform(F.filter(g["members"], lambda m: lowered.contains(m["keyword"])), lambda m: m["topics"]))))
+    found = texts.select(F.col(key), F.lower(F.col(text)).alias("_lowered"), groups.alias("_groups")).where(
+        "_lowered IS NOT NULL").select(key, held.alias("_held"))
+    counted = F.transform(F.array_distinct("_held"), lambda t: F.struct(
+        t.alias("intent"), F.size(F.filter("_held", lambda h: h.eqNullSafe(t))).alias("score")))
+    return found.select(key, F.inline(counted))
+
+
+def scores(texts: DataFrame, key: str, keywords: DataFrame, text: str = "text", broadcast: int = BROADCAST,
+           few: int = FEW) -> DataFrame:
     """(key, intent, score) for every topic with a keyword in the text: as many as it contains.
 
-    Rows of one key are texts of their own. Texts are looked up where they are; only the topics found in
-    them are dealt out.
+    Rows of one key are texts of their own. Texts are looked up where they are; of more than ``few`` keywords
+    only the topics found in them are dealt out.
     """
+    listed = _distinct(keywords).limit(few + 1).collect()  # few
+    if len(listed) <= few:
+        return _searched(texts, key, [tuple(r) for r in listed], keywords.schema["topic"].dataType, text)
     found = index(keywords)
     many = found.count()
     sizes = sorted(r[0] for r in found.select(F.length("gram")).distinct().collect())  # 1 to GRAM
