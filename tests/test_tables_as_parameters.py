@@ -103,6 +103,17 @@ def test_few_keywords_are_searched_for_where_the_texts_are(spark, few):
     assert ("Exchange" in text or "_grams" in text) == (few == 0)
 
 
+def test_tags_by_table_reach_every_row_of_a_key(spark):
+    """Rows of one key share the best topic of their texts; rows without a key or a hit are unknown."""
+    words = spark.createDataFrame([("t1", "region"), ("t2", "region"), ("t2", "top")], "topic string, keyword string")
+    places = spark.createDataFrame([("t1", 0), ("t2", 1)], "topic string, place int")
+    texts = spark.createDataFrame([("k", "region"), ("k", "top region"), (None, "top"), ("m", None), ("n", "a region")],
+                                  "id string, text string")
+    got = keywords.tagged(texts, "id", words, places)
+    assert sorted(values(got), key=str) == sorted([("k", "t2"), ("k", "t2"), (None, "unknown"), ("m", "unknown"), ("n", "t1")], key=str)
+    assert "_grams" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_made_questions_reach_nearly_all_topics_and_ties(spark):
     asked = registry.asked(spark, SF_DIR).where("id LIKE 'q%'")
     topics = {r.intent for r in questions.tag(asked).select("intent").distinct().collect()}
