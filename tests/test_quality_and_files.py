@@ -217,3 +217,21 @@ def test_lines_without_a_parent_are_counted(spark, tmp_path):
         spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
     assert {(r.child, r.parent): r.missing for r in tables.orphans(spark, str(tmp_path)).collect()} == {
         ("lineitem", "orders"): 1, ("lineitem", "part"): 3, ("orders", "customer"): 1, ("customer", "nation"): 0, ("nation", "region"): 0}
+
+
+def test_rows_that_hardly_repeat_are_not_moved_to_be_compared(spark):
+    """One digest of 2,000 occurs twice: only its rows, and those of its bit, are compared whole."""
+    frame = spark.range(2000).select("id", F.repeat(F.lit("x"), 50).alias("wide"))
+    twice = frame.unionByName(frame.where("id = 7"))
+    assert values(quality.duplicate_count(twice)) == [(1,)]
+    suspects = quality._suspects(*quality._repeated(twice, 64))
+    assert 2 <= suspects.count() < 20 and suspects.where("id = 7").count() == 2
+    plan = quality.duplicate_count(twice)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "LeftSemi" not in plan
+
+
+@pytest.mark.parametrize("most", [1 << 15, 1 << 28])
+def test_many_repeats_are_counted_whatever_the_bits(spark, monkeypatch, most):
+    monkeypatch.setattr(quality, "_MOST", most)
+    frame = spark.range(9000).select((F.col("id") % 4000).alias("k"), F.when(F.col("id") % 3 == 0, F.lit(0.5)).alias("v"))
+    assert quality.duplicate_count(frame).first()[0] == 9000 - frame.distinct().count()

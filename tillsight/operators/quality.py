@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.exact import amount, sum_units0
 from ..sources.schema import DATES
-from ..sources.workspace import new_path, written
+from ..sources.workspace import COMPRESSION, new_path, written
 
 _FLOATS = (T.DoubleType, T.FloatType)
 
@@ -40,15 +40,15 @@ def null_counts(rows: DataFrame) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def _digest(rows: DataFrame, bits: int = 64) -> Column:
-    """128 bits of a row, or fewer in tests: two hashes of all columns, and which are missing."""
-    missing = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in rows.columns])
-    columns = [F.col(f"`{c}`") for c in rows.columns]
+#: Bits that say which digests occur twice: so many for each of these, the least (one map) and the most (32 MB) in all.
+_ROOM, _LEAST, _MOST = 16, 1 << 15, 1 << 28
 
-    def cut(h: Column) -> Column:
-        return h if bits == 64 else F.pmod(h, F.lit(1 << bits))
 
-    return F.struct(cut(F.xxhash64(missing, *columns)).alias("a"), cut(F.xxhash64(*reversed(columns), F.lit(7), missing)).alias("b"))
+def _digest(rows: DataFrame, bits: int = 64) -> Column:
+    """64 bits of a row, or fewer in tests: a hash of all columns and of which are missing."""
+    missing = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in rows.columns])
+    found = F.xxhash64(missing, *[F.col(f"`{c}`") for c in rows.columns])
+    return found if bits == 64 else F.pmod(found, F.lit(1 << bits))
 
 
 def _repeated(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
@@ -61,15 +61,36 @@ def _repeated(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
     return keyed, written(counts.select(F.col("_digest").alias("_twice")), "digests")
 
 
+def _suspects(keyed: DataFrame, twice: DataFrame) -> DataFrame:
+    """The rows whose digest's bit is set by a digest that occurs twice: all copies, and few others.
+
+    The bits are sent to the tasks, so that the other rows stay where they are. There are at most ``_MOST``; beyond a
+    sixteenth of them in digests more rows pass that need not.
+    """
+    size = _LEAST
+    many = twice.count()
+    while size < min(_ROOM * many, _MOST):
+        size *= 2
+
+    def place(digest: str) -> Column:
+        return F.pmod(F.col(digest), F.lit(size)) + 1
+
+    maps = twice.select(place("_twice").alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits"))
+    at = F.bitmap_bit_position(place("_digest"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return keyed.join(F.broadcast(written(maps, "bits")), F.bitmap_bucket_number(place("_digest")) == F.col("_map")).where(
+        F.getbit(byte, (at % 8).cast("int")) == 1).select(*keyed.columns)
+
+
 def duplicate_count(rows: DataFrame, digest_bits: int = 64) -> DataFrame:
     """One row: how many rows repeat an earlier one in every column.
 
-    Rows are compared as a whole only where their digest occurs twice, so unequal rows of one digest
-    are told apart and the others never move. ``rows`` are read twice.
+    Rows are compared as a whole where their digest may occur twice, so unequal rows of one digest
+    are told apart and the others hardly ever move. ``rows`` are read twice.
     """
-    keyed, twice = _repeated(rows, digest_bits)
-    suspects = keyed.join(twice, F.col("_digest") == F.col("_twice"), "left_semi")
-    copies = suspects.groupBy("_digest", *[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
+    suspects = _suspects(*_repeated(rows, digest_bits))
+    copies = suspects.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0).cast("long")).alias("duplicate_rows"))
 
 
@@ -142,7 +163,8 @@ def split_dates(rows: DataFrame, columns: tuple[str, ...] = DATES, path: str | N
 
     path = path or new_path(rows.sparkSession, "split")
     tagged = rows.withColumn("reasons", F.filter(F.array(*map(reason, columns)), lambda r: r.isNotNull()))
-    tagged.withColumn("accepted", F.size("reasons") == 0).write.partitionBy("accepted").parquet(path)
+    tagged.withColumn("accepted", F.size("reasons") == 0).write.partitionBy("accepted").option(
+        "compression", COMPRESSION).parquet(path)
     schema = T.StructType([*tagged.schema.fields, T.StructField("accepted", T.BooleanType())])
     stored = rows.sparkSession.read.schema(schema).parquet(path)
     good = stored.where("accepted").select(*[F.col(f"`{c}`") for c in rows.columns])
