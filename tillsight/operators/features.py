@@ -59,9 +59,9 @@ def customer_value(sales: DataFrame) -> DataFrame:
     )
 
 
-def with_customer_value(sales: DataFrame) -> DataFrame:
-    """Add ``customer_ltv``; NULL for orders without a customer."""
-    return attach(sales, customer_value(sales), "customer_id", "customer_ltv",
+def with_customer_value(sales: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """Add ``customer_ltv``, by these or by all ``orders``; NULL for orders without a customer."""
+    return attach(sales, customer_value(sales if orders is None else orders), "customer_id", "customer_ltv",
                   "customer_rows", spread_by=F.col("order_id"))
 
 
@@ -71,7 +71,11 @@ def with_customer_tier(sales: DataFrame,
 
 
 def with_features(sales: DataFrame,
-                  tier_limits: Sequence[float | None] = bands.TIER_LIMITS) -> DataFrame:
-    """The clean table: 17 raw columns and 11 derived ones."""
-    full = with_customer_tier(with_customer_value(with_row_features(sales)), tier_limits)
+                  tier_limits: Sequence[float | None] = bands.TIER_LIMITS, orders: DataFrame | None = None) -> DataFrame:
+    """The clean table: 17 raw columns and 11 derived ones.
+
+    Customers are worth what they spent in ``sales``, or in all ``orders`` that these are some of. Their value
+    comes first, so that an order moves to it with its raw columns only.
+    """
+    full = with_customer_tier(with_row_features(with_customer_value(sales, orders)), tier_limits)
     return full.select(*CLEAN.fieldNames())

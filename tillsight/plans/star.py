@@ -317,9 +317,9 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     return Star(*[read_table(spark, name, f"{folder}/{name}") for name in TABLES])
 
 
-def write_star_csv(star: Star, folder: str) -> None:
+def write_star_csv(star: Star, folder: str, compression: str = "none") -> None:
     """The five tables as CSV with a header, each in a folder of its name."""
     for name in TABLES:
         rows = getattr(star, name)
-        write_csv(rows.select(*FACT_COLUMNS) if name == "fact_sales" else rows, f"{folder}/{name}")
+        write_csv(rows.select(*FACT_COLUMNS) if name == "fact_sales" else rows, f"{folder}/{name}", compression=compression)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schema as S
-from .workspace import new_path
+from .workspace import COMPRESSION, new_path
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -48,8 +48,9 @@ def read_clean_csv_text_dates(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, S.with_text_dates(S.CLEAN))
 
 
-def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    (rows.write.mode(mode).option("header", True).option("escape", '"')
+def write_csv(rows: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """CSV files with a header; with ``gzip`` each is compressed, which readers of folders undo by themselves."""
+    (rows.write.mode(mode).option("header", True).option("escape", '"').option("compression", compression)
      .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
@@ -58,16 +59,18 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.CLEAN).parquet(path)
 
 
-def write_clean(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_clean(sales: DataFrame, path: str, mode: str = "overwrite", dealt: bool = True) -> None:
     """Write the clean table by year, so a report on one year reads one folder.
 
     Rows are dealt by year and date first, so a task writes the files of a year or
-    two and not one for every year. The year moves to the end of the column list on
+    two and not one for every year; unless ``dealt``, they stay in their tasks, which moves no
+    whole row and leaves as many files a year as there are tasks. The year moves to the end of the column list on
     reading, as with any partition column.
     """
-    sales = sales.repartitionByRange("order_year", "order_date").sortWithinPartitions(
-        "order_year", "order_date")
-    sales.write.mode(mode).partitionBy("order_year").parquet(path)
+    if dealt:
+        sales = sales.repartitionByRange("order_year", "order_date")
+    sales.sortWithinPartitions("order_year", "order_date").write.mode(mode).option(
+        "compression", COMPRESSION).partitionBy("order_year").parquet(path)
 
 
 def publish(sales: DataFrame, name: str = "sales", path: str | None = None) -> DataFrame:
@@ -84,7 +87,7 @@ def publish(sales: DataFrame, name: str = "sales", path: str | None = None) -> D
     if spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema] != [
             (f.name, f.dataType) for f in sales.schema]:
         raise ValueError(f"{name} has other columns; publish under another name")
-    sales.write.parquet(version)
+    sales.write.option("compression", COMPRESSION).parquet(version)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
         spark.catalog.refreshTable(name)

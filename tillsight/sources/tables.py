@@ -2,7 +2,8 @@
 
 Line items are joined to their orders, customers, nations, regions and parts;
 each row is one order of the sales model. Orders meet customers before the
-four times larger line items, so the wide side moves once per large key; the
+four times larger line items, and these meet their parts first, so the wide side moves once per large key
+and its first move is narrow; lines of an order then lie together, which keeps what is made of them small. The
 names of nation and region, a handful of rows, come last, so no row carries
 them through a shuffle. No broadcast is forced: table sizes are known from the files and the optimizer
 broadcasts what is below its limit.
@@ -47,20 +48,22 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     buyers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     orders = (
         table(spark, folder, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("ordered"))
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     )
     lines = (
         table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                (F.rint(F.col("l_discount") * 100).cast("long") * 4).alias("disc_u"),
+                F.rint(F.col("l_tax") * 100).cast("long").alias("tax_u"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     margin = F.create_map(*[F.lit(x) for pair in BASE_MARGIN.items() for x in pair])
     sized = lines.select(
         "*",
         F.rint(F.col("l_extendedprice") * 100).cast("long").alias("list_u"),
-        (F.rint(F.col("l_discount") * 100).cast("long") * 4).alias("disc_u"),
-        F.rint(F.col("l_tax") * 100).cast("long").alias("tax_u"),
         margin[F.col("p_type")].alias("base_u"),
     )
     sized = sized.withColumn("sales_u", half_up("list_u * (100 - disc_u)", "100"))
@@ -71,8 +74,8 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     return sized.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("order_id"),
-        F.to_date("o_orderdate").alias("order_date"),
-        F.date_add(F.to_date("o_orderdate"), F.col("l_linenumber")).alias("ship_date"),
+        F.col("ordered").alias("order_date"),
+        F.date_add("ordered", F.col("l_linenumber")).alias("ship_date"),
         F.col("o_orderpriority").alias("ship_mode"),
         F.col("c_custkey").cast("string").alias("customer_id"),
         F.concat(F.lit("Customer#"), (F.col("c_custkey") - shared_name).cast("string"))
